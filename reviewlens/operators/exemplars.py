@@ -1,10 +1,11 @@
-"""Home areas by affinity propagation: messages are rows and each round is two shuffles.
+"""Home areas by affinity propagation, with messages as rows.
 
 All pairs of a user's places would grow with the square of the places. Instead places of one
 small grid cell form a *site*, weighted by its visits and standing at its most visited place,
-and similarities exist between sites within ``reach_miles`` only. A site then has a bounded
-number of neighbours whatever the data, so messages grow in line with the sites and a busy
-user's rows spread over the cluster by site.
+and similarities exist between sites within ``reach_miles`` only, a metropolitan area by default.
+A site then has a bounded number of neighbours whatever the data, so messages grow in line with
+the sites. Messages are shuffled by user once per block of rounds; a user with very many
+messages runs through the same rounds spread by site.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import geo
 from reviewlens.functions.grid import Grid
-from reviewlens.operators.scale import cut_lineage
+from reviewlens.operators.scale import apart_by_size, cut_lineage, shuffle_width
 
 _BLOCK = 5  # rounds between two lineage cuts
+_LARGE = 2_000_000  # messages beyond which a user is spread by site
+_LEAST_SPREAD = 0.01
 _ALONE = -1e9  # stands for "no rival" where a site has no neighbour
 
 
@@ -35,14 +38,15 @@ def sites(places: DataFrame, cell_miles: float = 1.0) -> DataFrame:
     )
 
 
-def similarities(sites: DataFrame, cell_miles: float = 1.0, reach_miles: float = 10.0) -> DataFrame:
+def similarities(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
     """(user_id, i, k, s): cost of site i following site k, and of being an exemplar where i = k.
 
-    Between sites it is the negative distance times the visits of i. The preference is the
-    median of the user's negative distances, taken at hundredths of a mile so that the counting
-    table behind it is bounded; a per-site millionth of it breaks ties between equal sites.
+    Between sites it is the negative distance times the visits of i. The preference is minus the
+    root-mean-square distance between two sites of the user, near or far: a typical similarity
+    that follows from the mean direction of the sites, without listing pairs. A per-site
+    millionth of it breaks ties between equal sites.
     """
-    grid = Grid(cell_miles)
+    grid = Grid(reach_miles)  # wide cells: a site looks into about nine of them
     spots = geo.with_vector(sites)
     left = spots.select(
         "user_id",
@@ -51,109 +55,141 @@ def similarities(sites: DataFrame, cell_miles: float = 1.0, reach_miles: float =
         *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
         F.explode(
             grid.cells_within(F.col("latitude"), F.col("longitude"), reach_miles)
-        ).alias("k"),
-    ).where(F.col("i") != F.col("k"))
-    right = spots.select("user_id", F.col("site").alias("k"), "vx", "vy", "vz")
+        ).alias("cell"),
+    )
+    right = spots.select(
+        "user_id",
+        F.col("site").alias("k"),
+        "vx",
+        "vy",
+        "vz",
+        grid.cell(F.col("latitude"), F.col("longitude")).alias("cell"),
+    )
     distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("v"))
-    pairs = cut_lineage(
-        left.join(right, ["user_id", "k"])
+    pairs = (
+        left.join(right, ["user_id", "cell"])
+        .where(F.col("i") != F.col("k"))
         .select("user_id", "i", "k", "visits", distance.alias("miles"))
         .where(F.col("miles") <= reach_miles)
-    )
-    preference = pairs.groupBy("user_id").agg(
-        F.percentile(-F.round("miles", 2), F.lit(0.5)).alias("preference")
+        .select("user_id", "i", "k", (-F.col("miles") * F.col("visits")).alias("s"))
     )
     tilt = F.pmod(F.xxhash64("user_id", "site"), F.lit(1_000_000)) / 1e12
-    own = sites.join(preference, "user_id", "left").select(
+    own = sites.join(_spreads(spots), "user_id").select(
         "user_id",
         F.col("site").alias("i"),
         F.col("site").alias("k"),
-        (F.coalesce("preference", F.lit(-1.0)) * (tilt + 1.0)).alias("s"),
+        (-F.greatest(F.col("spread"), F.lit(_LEAST_SPREAD)) * (tilt + 1.0)).alias("s"),
     )
-    return own.union(pairs.select("user_id", "i", "k", (-F.col("miles") * F.col("visits")).alias("s")))
+    return own.union(pairs)
+
+
+def _spreads(spots: DataFrame) -> DataFrame:
+    """Root-mean-square miles between two different sites of a user, to a hundredth."""
+    n = F.count("*")
+    mean = sum(F.avg(f"v{axis}") * F.avg(f"v{axis}") for axis in "xyz")
+    # mean squared chord over ordered pairs of different sites
+    chord = F.sqrt(F.greatest((F.lit(1.0) - mean) * 2.0 * n / F.greatest(n - 1, F.lit(1)), F.lit(0.0)))
+    arc = F.asin(F.least(chord / 2.0, F.lit(1.0))) * (2.0 * geo.EQUATOR_METRES / geo.METRES_PER_MILE)
+    return spots.groupBy("user_id").agg(F.round(arc, 2).alias("spread"))
 
 
 def _round(messages: DataFrame, damping: float) -> DataFrame:
-    follower = Window.partitionBy("user_id", "i")
-    leader = Window.partitionBy("user_id", "k")
-    own = F.col("i") == F.col("k")
-    rows = messages.withColumn("v", F.col("a") + F.col("s"))
-    rows = rows.withColumn("best", F.max("v").over(follower))
-    rows = rows.withColumns(
-        {
-            "ties": F.sum((F.col("v") == F.col("best")).cast("int")).over(follower),
-            "second": F.max(F.when(F.col("v") < F.col("best"), F.col("v"))).over(follower),
-        }
+    """One exchange of responsibilities ``r`` and availabilities ``a``, both damped."""
+    kept = ["user_id", "i", "k", "s", "held", "chosen"]
+    follower = "OVER (PARTITION BY user_id, i)"
+    leader = "OVER (PARTITION BY user_id, k)"
+    old, new = f"{damping}D", f"{1.0 - damping}D"
+
+    rows = messages.selectExpr("*", "a + s AS v", f"max(a + s) {follower} AS best")
+    # the best offer of all other sites: the second best for the one site that has the best
+    rival = f"""coalesce(
+        if(v = best AND sum(int(v = best)) {follower} = 1, max(if(v < best, v, NULL)) {follower}, best),
+        {_ALONE}D)"""
+    rows = rows.selectExpr(*kept, "a", f"r * {old} + (s - {rival}) * {new} AS r")
+    rows = rows.selectExpr("*", "if(i = k, r, greatest(r, 0D)) AS backing")
+    rows = rows.selectExpr("*", f"sum(backing) {leader} - backing AS others")
+    rows = rows.selectExpr(
+        *kept, "r", f"a * {old} + if(i = k, others, least(0D, others)) * {new} AS a"
     )
-    sole_best = (F.col("v") == F.col("best")) & (F.col("ties") == 1)
-    rival = F.coalesce(F.when(sole_best, F.col("second")).otherwise(F.col("best")), F.lit(_ALONE))
-    rows = rows.withColumn(
-        "r", F.col("r") * damping + (F.col("s") - rival) * (1.0 - damping)
-    )
-    support = F.when(own, F.col("r")).otherwise(F.greatest("r", F.lit(0.0)))
-    rows = rows.withColumn("support", F.sum(support).over(leader))
-    offered = F.when(own, F.col("support") - F.col("r")).otherwise(
-        F.least(F.lit(0.0), F.col("support") - F.greatest("r", F.lit(0.0)))
-    )
-    rows = rows.withColumn("a", F.col("a") * damping + offered * (1.0 - damping))
-    chosen = own & (F.col("a") + F.col("r") > 0.0)
-    return rows.select(
+    chosen = "(i = k AND a + r > 0)"
+    return rows.selectExpr(
         "user_id",
         "i",
         "k",
         "s",
         "r",
         "a",
-        F.when(chosen == F.col("chosen"), F.col("held") + 1).otherwise(1).alias("held"),
-        chosen.alias("chosen"),
+        f"if({chosen} = chosen, held + 1, 1) AS held",
+        f"{chosen} AS chosen",
+    )
+
+
+def _settled_exemplars(
+    similarity: DataFrame, keys: list[str], damping: float, max_rounds: int, settle_rounds: int
+) -> list[DataFrame]:
+    """Rounds over one layout of the messages; users with settled exemplars leave."""
+    width = shuffle_width(similarity)
+    zero = F.lit(0.0)
+    messages = cut_lineage(
+        similarity.withColumns({"r": zero, "a": zero, "held": F.lit(0), "chosen": F.lit(False)})
     )
+    done: list[DataFrame] = []
+    for _ in range(0, max_rounds, _BLOCK):
+        if messages.isEmpty():
+            return done
+        step = messages.repartition(width, *keys)
+        for _ in range(_BLOCK):
+            step = _round(step, damping)
+        by_user = Window.partitionBy("user_id")
+        own = F.col("i") == F.col("k")
+        if keys == ["user_id"]:
+            held = F.min(F.when(own, F.col("held"))).over(by_user)
+            any_chosen = F.max(F.when(own, F.col("chosen"))).over(by_user)
+            step = step.withColumn("settled", (held >= settle_rounds) & any_chosen)
+            step = cut_lineage(step)
+        else:
+            step = cut_lineage(step)
+            verdicts = step.where(own).groupBy("user_id").agg(
+                ((F.min("held") >= settle_rounds) & F.max("chosen")).alias("settled")
+            )
+            step = step.join(verdicts, "user_id")
+        done.append(step.where(own & F.col("chosen") & F.col("settled")).select("user_id", "k"))
+        messages = step.where(~F.col("settled")).drop("settled")
+    done.append(messages.where(F.col("chosen")).select("user_id", "k"))
+    return done
 
 
 def exemplar_sites(
-    similarity: DataFrame, damping: float = 0.5, max_rounds: int = 200, settle_rounds: int = 15
+    similarity: DataFrame,
+    damping: float = 0.5,
+    max_rounds: int = 200,
+    settle_rounds: int = 15,
+    large_user: int = _LARGE,
 ) -> DataFrame:
     """Sites that affinity propagation leaves as exemplars: (user_id, site).
 
     A user leaves the rounds when its exemplars, at least one, have not changed for
     ``settle_rounds`` rounds; this is looked at every five rounds.
     """
-    zero = F.lit(0.0)
-    messages = cut_lineage(
-        similarity.withColumns(
-            {"r": zero, "a": zero, "held": F.lit(0), "chosen": F.lit(False)}
-        )
-    )
-    done: list[DataFrame] = []
-    for _ in range(0, max_rounds, _BLOCK):
-        for _ in range(_BLOCK):
-            messages = _round(messages, damping)
-        messages = cut_lineage(messages)
-        own = messages.where(F.col("i") == F.col("k"))
-        settled = cut_lineage(
-            own.groupBy("user_id")
-            .agg(F.min("held").alias("held"), F.max("chosen").alias("any"))
-            .where((F.col("held") >= settle_rounds) & F.col("any"))
-            .select("user_id")
-        )
-        done.append(own.where("chosen").join(settled, "user_id", "left_semi"))
-        messages = messages.join(settled, "user_id", "left_anti")
-        if messages.isEmpty():
-            break
-    else:
-        done.append(messages.where(F.col("chosen")))
+    ordinary, large = apart_by_size(cut_lineage(similarity), "user_id", large_user)
+    settings = (damping, max_rounds, settle_rounds)
+    done = _settled_exemplars(ordinary, ["user_id"], *settings)
+    done += _settled_exemplars(large, ["user_id", "i"], *settings)
+    if not done:
+        return similarity.select("user_id", F.col("k").alias("site")).limit(0)
     return reduce(DataFrame.union, done).select("user_id", F.col("k").alias("site"))
 
 
 def exemplar_centers(
     places: DataFrame,
     cell_miles: float = 1.0,
-    reach_miles: float = 10.0,
+    reach_miles: float = 25.0,
     damping: float = 0.5,
     max_rounds: int = 200,
     settle_rounds: int = 15,
 ) -> DataFrame:
     """Coordinates of each user's exemplar places: (user_id, site, latitude, longitude, visits)."""
     spots = cut_lineage(sites(places, cell_miles))
-    similarity = similarities(spots, cell_miles, reach_miles)
+    similarity = similarities(spots, reach_miles)
     chosen = exemplar_sites(similarity, damping, max_rounds, settle_rounds)
     return spots.join(chosen, ["user_id", "site"], "left_semi")

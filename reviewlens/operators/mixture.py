@@ -1,8 +1,10 @@
 """Home areas by Gaussian mixtures: expectation-maximisation of all users in shared rounds.
 
-A round is one join of the places with their user's current parameters and one aggregation of
-sufficient sums. Places are laid out once by (user, part), a busy user being dealt over several
-parts, so a round shuffles parameters and partial sums but never the places.
+A round joins the places with their user's current parameters and adds up sufficient sums per
+(user, number of components). Places are laid out and sorted by user once and kept, so a round
+shuffles the small parameter rows only; joins and sums stay inside the partition. Users with
+very many places run through the same rounds spread by (user, part), where partial sums are all
+that is exchanged besides.
 """
 
 from __future__ import annotations
@@ -14,11 +16,18 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators.scale import cut_lineage, split_hot_groups
+from reviewlens.operators.scale import (
+    apart_by_size,
+    cut_lineage,
+    shuffle_width,
+    split_hot_groups,
+)
 
 MAX_COMPONENTS = 4
 _SLOTS = range(1, MAX_COMPONENTS + 1)
 _EMPTY = 1e-9
+_LARGE = 100_000  # places beyond which a user is spread over parts
+_STATE = ["n", "parts", "ll", "settled"]
 
 
 def _slot(name: str, c: int) -> Column:
@@ -79,118 +88,149 @@ def _initial(moments: DataFrame, var_floor: float) -> DataFrame:
         columns[f"var{c}"] = F.greatest((v_lat + v_lon) / 2.0 / F.col("k"), F.lit(var_floor))
     start = shaped.withColumns(columns)
     return start.select(
-        "user_id", "k", "n", "parts", *_parameter_columns(), F.lit(None).cast("double").alias("ll")
+        "user_id",
+        "k",
+        "n",
+        "parts",
+        F.lit(None).cast("double").alias("ll"),
+        F.lit(False).alias("settled"),
+        *_parameter_columns(),
     )
 
 
-def _sums(places: DataFrame, state: DataFrame) -> DataFrame:
-    """Per (user, k): log-likelihood and each component's responsibility-weighted sums."""
-    spread = state.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = places.join(spread.select("user_id", "part", "k", *_parameter_columns()), ["user_id", "part"])
-    rows = rows.withColumns(
-        {f"dx{c}": F.col("latitude") - _slot("lat", c) for c in _SLOTS}
-        | {f"dy{c}": F.col("longitude") - _slot("lon", c) for c in _SLOTS}
-    )
-    rows = rows.withColumns(
-        {f"sq{c}": _slot("dx", c) * _slot("dx", c) + _slot("dy", c) * _slot("dy", c) for c in _SLOTS}
-    )
-    rows = rows.withColumns(
-        {
-            f"log{c}": F.when(
-                _slot("share", c) > 0.0,
-                F.ln(_slot("share", c) / (_slot("var", c) * (2.0 * math.pi)))
-                - _slot("sq", c) / (_slot("var", c) * 2.0),
-            )
-            for c in _SLOTS
-        }
+def _each_slot(*texts: str) -> list[str]:
+    """The SQL texts once per component, ``#`` standing for its number."""
+    return [text.replace("#", str(c)) for text in texts for c in _SLOTS]
+
+
+def _over_slots(text: str, join: str) -> str:
+    return join.join(_each_slot(text))
+
+
+def _sums(places: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """State rows with the log-likelihood of their parameters and each component's
+    responsibility-weighted sums around its current mean."""
+    if "part" in keys:
+        state = state.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = places.join(state, keys)
+    rows = rows.selectExpr("*", *_each_slot("latitude - lat# AS dx#", "longitude - lon# AS dy#"))
+    rows = rows.selectExpr("*", *_each_slot("dx# * dx# + dy# * dy# AS sq#"))
+    density = f"ln(share# / (var# * {2.0 * math.pi}D)) - sq# / (var# * 2)"
+    rows = rows.selectExpr("*", *_each_slot(f"if(share# > 0, {density}, NULL) AS log#"))
+    rows = rows.selectExpr("*", f"greatest({_over_slots('log#', ', ')}) AS top")
+    rows = rows.selectExpr("*", *_each_slot("coalesce(exp(log# - top), 0D) AS e#"))
+    rows = rows.selectExpr("*", f"{_over_slots('e#', ' + ')} AS mass")
+    rows = rows.selectExpr("*", *_each_slot("visits * e# / mass AS r#"))
+    # The state is the same on every row of a group, so it rides along instead of being joined.
+    carried = [f"first({name}) AS {name}" for name in [*_STATE, *_parameter_columns()]]
+    sums = _each_slot(
+        "sum(r#) AS size#", "sum(r# * dx#) AS x#", "sum(r# * dy#) AS y#", "sum(r# * sq#) AS q#"
     )
-    rows = rows.withColumn("top", F.greatest(*(_slot("log", c) for c in _SLOTS)))
-    rows = rows.withColumns(
-        {f"e{c}": F.coalesce(F.exp(_slot("log", c) - F.col("top")), F.lit(0.0)) for c in _SLOTS}
+    totals = ["sum(visits * (top + ln(mass))) AS fit", *carried, *sums]
+    return rows.groupBy("user_id", "k").agg(*map(F.expr, totals))
+
+
+def _advanced(sums: DataFrame, var_floor: float, tolerance: float) -> DataFrame:
+    """Next state. A row whose mean log-likelihood has settled keeps its parameters."""
+    now = f"settled OR coalesce(abs(fit / n - ll) < {tolerance}D, false)"
+    rows = sums.withColumnsRenamed({"settled": "was"}).selectExpr(
+        "*", now.replace("settled", "was") + " AS settled"
     )
-    rows = rows.withColumn("mass", sum(_slot("e", c) for c in _SLOTS))
-    rows = rows.withColumns({f"r{c}": F.col("visits") * _slot("e", c) / F.col("mass") for c in _SLOTS})
-    totals = {"fit": F.sum(F.col("visits") * (F.col("top") + F.ln("mass")))}
-    for c in _SLOTS:
-        totals[f"size{c}"] = F.sum(_slot("r", c))
-        totals[f"x{c}"] = F.sum(_slot("r", c) * _slot("dx", c))
-        totals[f"y{c}"] = F.sum(_slot("r", c) * _slot("dy", c))
-        totals[f"q{c}"] = F.sum(_slot("r", c) * _slot("sq", c))
-    per_part = rows.groupBy("user_id", "part", "k").agg(*(v.alias(n) for n, v in totals.items()))
-    return per_part.groupBy("user_id", "k").agg(*(F.sum(n).alias(n) for n in totals))
-
-
-def _advanced(state: DataFrame, sums: DataFrame, var_floor: float, tolerance: float) -> DataFrame:
-    """Next state; a row whose mean log-likelihood has settled keeps its parameters."""
-    rows = state.join(sums, ["user_id", "k"])
-    fit = F.col("fit") / F.col("n")
-    settled = F.coalesce(F.abs(fit - F.col("ll")) < tolerance, F.lit(False))
-    rows = rows.withColumns({"settled": settled, "ll": fit})
-    columns = {}
-    for c in _SLOTS:
-        size = _slot("size", c)
-        move = ~F.col("settled") & (size > _EMPTY)
-        shift_x, shift_y = _slot("x", c) / size, _slot("y", c) / size
-        spread = (_slot("q", c) / size - shift_x * shift_x - shift_y * shift_y) / 2.0
-        columns[f"share{c}"] = F.when(move, size / F.col("n")).otherwise(_slot("share", c))
-        columns[f"lat{c}"] = F.when(move, _slot("lat", c) + shift_x).otherwise(_slot("lat", c))
-        columns[f"lon{c}"] = F.when(move, _slot("lon", c) + shift_y).otherwise(_slot("lon", c))
-        columns[f"var{c}"] = F.when(move, F.greatest(spread, F.lit(var_floor))).otherwise(
-            _slot("var", c)
-        )
-    return rows.select(
+    moves = f"NOT settled AND size# > {_EMPTY}D"
+    spread = "(q# / size# - x# / size# * x# / size# - y# / size# * y# / size#) / 2"
+    return rows.selectExpr(
         "user_id",
         "k",
         "n",
         "parts",
-        *(columns[name].alias(name) for name in _parameter_columns()),
-        "ll",
+        "fit / n AS ll",
         "settled",
+        *_each_slot(
+            f"if({moves}, size# / n, share#) AS share#",
+            f"if({moves}, lat# + x# / size#, lat#) AS lat#",
+            f"if({moves}, lon# + y# / size#, lon#) AS lon#",
+            f"if({moves}, greatest({spread}, {var_floor}D), var#) AS var#",
+        ),
     )
 
 
+def _fitted(
+    spots: DataFrame,
+    keys: list[str],
+    min_visits: int,
+    max_rounds: int,
+    tolerance: float,
+    var_floor: float,
+    trace: list | None,
+) -> DataFrame | None:
+    """Rounds over one layout of the places. Settled rows and the places only they need leave
+    whenever half of the rows have settled."""
+    width = shuffle_width(spots)
+    stored = cut_lineage(spots)
+    moments = _moments(stored).where(F.col("n") >= min_visits)
+    active = cut_lineage(_initial(moments, var_floor))
+    left = active.count()
+    if left == 0:
+        return None
+
+    def laid_out() -> DataFrame:
+        rows = stored.drop("parts").repartition(width, *keys).sortWithinPartitions(*keys).persist()
+        rows.count()  # once stored, its partitioning is known to the rounds
+        return rows
+
+    spots, served = laid_out(), left
+    done: list[DataFrame] = []
+    for _ in range(max_rounds):
+        rows = active.repartition(width, "user_id")
+        step = cut_lineage(_advanced(_sums(spots, rows, keys), var_floor, tolerance))
+        if trace is not None:
+            trace.append(step)
+        active = step.where(~F.col("settled"))
+        left = active.count()
+        if left * 2 > served:
+            active = step  # few have settled: they stay, unchanged, until it pays to part
+            continue
+        done.append(step.where("settled"))
+        if left == 0:
+            break
+        users = active.select("user_id").distinct()
+        spots.unpersist()
+        stored = cut_lineage(stored.join(users, "user_id", "left_semi"))
+        spots, served = laid_out(), left
+    else:
+        rows = active.repartition(width, "user_id")
+        last = _sums(spots, rows, keys).withColumn("ll", F.col("fit") / F.col("n"))
+        done.append(cut_lineage(last.select(*active.columns)))
+    spots.unpersist()
+    return reduce(DataFrame.union, done)
+
+
 def mixture_models(
     places: DataFrame,
     min_visits: int = 5,
     max_rounds: int = 100,
     tolerance: float = 1e-3,
     var_floor: float = 1e-3,
+    large_user: int = _LARGE,
     trace: list | None = None,
 ) -> DataFrame:
     """Fitted spherical mixtures per user for 1 to 4 components, with ``ll`` (mean log-likelihood
     of the parameters) and ``bic``. Users below ``min_visits`` have none.
 
-    Settled (user, k) rows leave the rounds, which end when none is left. ``trace`` collects
-    the state frame of each round, for tests.
+    A row is settled once its mean log-likelihood moves less than ``tolerance`` in a round.
+    ``trace`` collects the state after each round, for tests.
     """
-    partitions = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spots = split_hot_groups(
-        places.select("user_id", "latitude", "longitude", "visits"),
-        "user_id",
-        ["latitude", "longitude"],
-    )
-    spots = cut_lineage(spots.repartition(partitions, "user_id", "part"))
-    moments = _moments(spots).where(F.col("n") >= min_visits)
-    spots = spots.drop("parts")
-    active = cut_lineage(_initial(moments, var_floor))
-    done: list[DataFrame] = []
-    for round_no in range(max_rounds):
-        step = cut_lineage(_advanced(active, _sums(spots, active), var_floor, tolerance))
-        if trace is not None:
-            trace.append(step)
-        done.append(step.where("settled"))
-        active = step.where(~F.col("settled")).drop("settled")
-        if active.isEmpty():
-            break
-    else:
-        last = _sums(spots, active).select("user_id", "k", "fit")
-        done.append(
-            active.join(last, ["user_id", "k"])
-            .withColumns({"ll": F.col("fit") / F.col("n"), "settled": F.lit(False)})
-            .select(*step.columns)
-        )
+    columns = places.select("user_id", "latitude", "longitude", "visits")
+    ordinary, large = apart_by_size(columns, "user_id", large_user)
+    settings = (min_visits, max_rounds, tolerance, var_floor, trace)
+    models = _fitted(ordinary.withColumn("parts", F.lit(1)), ["user_id"], *settings)
+    spread = split_hot_groups(large, "user_id", ["latitude", "longitude"], large_user)
+    more = _fitted(spread, ["user_id", "part"], *settings)
+    found = [frame for frame in (models, more) if frame is not None]
+    if not found:
+        raise ValueError("no user has enough visits")
     weights = F.col("k") * 4 - 1
-    return reduce(DataFrame.union, done).withColumn(
+    return reduce(DataFrame.union, found).withColumn(
         "bic", F.col("ll") * F.col("n") * -2.0 + weights * F.ln("n")
     )
 

@@ -40,6 +40,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return df
 
 
+def shuffle_width(df: DataFrame) -> int:
+    """Partition count of the session's shuffles. Given to ``repartition`` it keeps adaptive
+    execution from merging partitions, so joins and groups on the same key need no exchange."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def group_sizes(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count("*").alias("group_rows"))
+
+
+def apart_by_size(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary groups, and rows of groups beyond the limit.
+
+    Both halves get the same computation, the second spread by a finer key, so a group that
+    holds a third of all rows is not bound to one task.
+    """
+    large = group_sizes(df, key).where(F.col("group_rows") > limit).select(key)
+    return df.join(large, key, "left_anti"), df.join(large, key, "left_semi")
+
+
 def split_hot_groups(
     df: DataFrame, key: str, spread_by: list[str], target_rows: int = 50_000
 ) -> DataFrame:
@@ -48,7 +68,9 @@ def split_hot_groups(
     Work keyed by (key, part) then has bounded pieces even if one key holds most rows. Ordinary
     groups keep the single part 0.
     """
-    sizes = df.groupBy(key).agg(F.ceil(F.count("*") / target_rows).cast("int").alias("parts"))
+    sizes = group_sizes(df, key).select(
+        key, F.ceil(F.col("group_rows") / target_rows).cast("int").alias("parts")
+    )
     return df.join(sizes, key).withColumn(
         "part", F.pmod(F.xxhash64(*spread_by), F.col("parts")).cast("int")
     )
