@@ -22,15 +22,18 @@ from pyspark.sql import functions as F
 from reviewlens.functions import geo
 from reviewlens.functions.grid import Grid
 from reviewlens.operators.components import connected_components
-from reviewlens.operators.scale import cut_lineage
+from reviewlens.operators.scale import cut_lineage, shuffle_width
 
 # Slack in miles when ruling sub-cells out: far above the error of the distance formula.
 _SLACK = 1e-3
-_RADIUS_MILES = geo.EQUATOR_METRES / geo.METRES_PER_MILE
 
 
 def _gridded(places: DataFrame, grid: Grid, min_visits: int) -> DataFrame:
-    """Places with unit vector, cell, whether the cell is crowded, and their graph node."""
+    """Places with unit vector, cell, whether the cell is crowded, and their graph node.
+
+    Written out evenly over the cluster, however full single cells are, since the next step
+    lists the cells around each place.
+    """
     spots = geo.with_vector(places).withColumn(
         "cell", grid.cell(F.col("latitude"), F.col("longitude"))
     )
@@ -41,24 +44,28 @@ def _gridded(places: DataFrame, grid: Grid, min_visits: int) -> DataFrame:
         spots.join(cells, ["user_id", "cell"])
         .withColumn("node", F.when(F.col("crowded"), F.col("first_place")).otherwise(F.col("place_id")))
         .drop("first_place")
+        .repartition(shuffle_width(places), "user_id", "place_id")
     )
 
 
 def _pairs_of_quiet_places(spots: DataFrame, grid: Grid, eps: float) -> DataFrame:
-    """(user_id, place_id, visits, node) where node and visits are those of a place within eps
-    of the quiet place ``place_id``, itself included."""
+    """(user_id, place_id, node, node_crowded, visits): for a quiet place every graph node with
+    places within eps, itself included, and the visits those places hold."""
     seekers = spots.where(~F.col("crowded")).select(
         "user_id",
         "place_id",
         *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
         F.explode(grid.cells_within(F.col("latitude"), F.col("longitude"), eps)).alias("cell"),
     )
-    targets = spots.select("user_id", "cell", "visits", "node", "vx", "vy", "vz")
-    distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("v"))
+    targets = spots.select(
+        "user_id", "cell", "visits", "node", F.col("crowded").alias("node_crowded"), "vx", "vy", "vz"
+    )
+    near = geo.near_between(geo.vector_columns("a"), geo.vector_columns("v"), eps)
     return (
         seekers.join(targets, ["user_id", "cell"])
-        .where(distance <= eps)
-        .select("user_id", "place_id", "visits", "node")
+        .where(near)
+        .groupBy("user_id", "place_id", "node", "node_crowded")
+        .agg(F.sum("visits").alias("visits"))
     )
 
 
@@ -67,7 +74,7 @@ def _summaries(spots: DataFrame, keys: list[str]) -> DataFrame:
     spans = sum((F.max(f"v{a}") - F.min(f"v{a}")) * (F.max(f"v{a}") - F.min(f"v{a}")) for a in "xyz")
     return spots.groupBy("user_id", *keys).agg(
         F.min_by(F.struct("vx", "vy", "vz"), "place_id").alias("rep"),
-        (F.sqrt(spans) * (_RADIUS_MILES * 1.001)).alias("width"),
+        (F.sqrt(spans) * (geo.RADIUS_MILES * 1.001)).alias("width"),
         F.count("*").alias("size"),
     )
 
@@ -149,6 +156,10 @@ def _links_of_crowded_cells(spots: DataFrame, grid: Grid, eps: float) -> DataFra
     return links.select("user_id", F.col("node_a").alias("node"), F.col("node_b").alias("other"))
 
 
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select("user_id", F.col("other").alias("node"), F.col("node").alias("other"))
+
+
 def density_labels(places: DataFrame, eps_miles: float = 4.0, min_visits: int = 5) -> DataFrame:
     """Cluster every user's places: the places' columns plus ``cluster_id`` and ``is_core``.
 
@@ -169,17 +180,19 @@ def density_labels(places: DataFrame, eps_miles: float = 4.0, min_visits: int =
     crowded = spots.where(F.col("crowded") & (F.col("place_id") == F.col("node")))
     nodes = crowded.select("user_id", "node").union(quiet_core)
     core_pairs = (
-        near.select("user_id", "place_id", "node")
-        .join(quiet_core.withColumnRenamed("node", "place_id"), ["user_id", "place_id"], "left_semi")
+        near.join(quiet_core.withColumnRenamed("node", "place_id"), ["user_id", "place_id"], "left_semi")
         .join(nodes, ["user_id", "node"], "left_semi")
         .where(F.col("node") != F.col("place_id"))
-        .select("user_id", F.col("place_id").alias("node"), F.col("node").alias("other"))
+        .select("user_id", F.col("place_id").alias("node"), F.col("node").alias("other"), "node_crowded")
     )
-    one_way = core_pairs.union(_links_of_crowded_cells(spots, grid, eps_miles))
-    both_ways = one_way.union(
-        one_way.select("user_id", F.col("other").alias("node"), F.col("node").alias("other"))
+    # Pairs of two quiet places are there in both directions already.
+    links = _links_of_crowded_cells(spots, grid, eps_miles)
+    edges = cut_lineage(
+        core_pairs.drop("node_crowded")
+        .union(_turned(core_pairs.where("node_crowded")))
+        .union(links)
+        .union(_turned(links))
     )
-    edges = cut_lineage(both_ways.distinct())
     labels = connected_components(nodes, edges)
 
     of_quiet = (

@@ -89,7 +89,7 @@ def _spreads(spots: DataFrame) -> DataFrame:
     mean = sum(F.avg(f"v{axis}") * F.avg(f"v{axis}") for axis in "xyz")
     # mean squared chord over ordered pairs of different sites
     chord = F.sqrt(F.greatest((F.lit(1.0) - mean) * 2.0 * n / F.greatest(n - 1, F.lit(1)), F.lit(0.0)))
-    arc = F.asin(F.least(chord / 2.0, F.lit(1.0))) * (2.0 * geo.EQUATOR_METRES / geo.METRES_PER_MILE)
+    arc = F.asin(F.least(chord / 2.0, F.lit(1.0))) * (2.0 * geo.RADIUS_MILES)
     return spots.groupBy("user_id").agg(F.round(arc, 2).alias("spread"))
 
 

@@ -93,8 +93,8 @@ def near_points(
     right = geo.with_vector(places, "q").withColumn(
         "cell", grid.cell(F.col("latitude"), F.col("longitude"))
     )
-    distance = geo.miles_between(geo.vector_columns("p"), geo.vector_columns("q"))
-    near = distance <= radius_miles if inclusive else distance < radius_miles
+    ends = geo.vector_columns("p"), geo.vector_columns("q")
+    near = geo.near_between(*ends, radius_miles, inclusive)
     spot = {"latitude", "longitude"}
     keep = [c for c in points.columns if c not in spot] + [c for c in places.columns if c not in spot]
     joined = left.drop(*spot).join(right.drop(*spot), "cell").where(near)

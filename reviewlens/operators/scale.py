@@ -3,30 +3,39 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Narrow rows (an id and a few numbers) up to this count are some tens of megabytes.
 BROADCAST_ROWS = 500_000
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the session names in ``spark.checkpoint.dir``.
+
+    Only a local session may go without one; it then gets a fresh temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="reviewlens-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write an iteration's state to the checkpoint folder, so a lost executor costs one round.
+    """Write a frame to the shared folder and go on from there.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session may go without
-    one; it then gets a fresh temporary folder.
+    A lost executor then costs one step of a loop, not the loop; and unlike other ways to cut
+    lineage a written table has a known size, so small states are joined without a shuffle.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="reviewlens-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/reviewlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import geo
 from reviewlens.functions.grid import Grid
-from reviewlens.operators.scale import split_hot_groups
+from reviewlens.operators.scale import shuffle_width, split_hot_groups
 
 
 def user_locations(review: DataFrame, business: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
     pairs of one cell always count: candidates stay in proportion to the pairs returned.
     """
     grid = Grid.with_diagonal(radius_miles)
-    spots = geo.with_vector(places)
+    spots = geo.with_vector(places.repartition(shuffle_width(places), "user_id", "place_id"))
     left = spots.select(
         "user_id",
         F.col("place_id").alias("place_a"),
@@ -68,12 +68,11 @@ def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
         *(F.col(f"v{axis}").alias(f"b{axis}") for axis in "xyz"),
         grid.cell(F.col("latitude"), F.col("longitude")).alias("cell"),
     )
-    distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("b"))
+    ends = geo.vector_columns("a"), geo.vector_columns("b")
     return (
         left.join(right, ["user_id", "cell"])
-        .where(F.col("place_a") < F.col("place_b"))
-        .select("user_id", "place_a", "place_b", distance.alias("miles"))
-        .where(F.col("miles") <= radius_miles)
+        .where((F.col("place_a") < F.col("place_b")) & geo.near_between(*ends, radius_miles))
+        .select("user_id", "place_a", "place_b", geo.miles_between(*ends).alias("miles"))
     )
 
 

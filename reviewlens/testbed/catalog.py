@@ -31,6 +31,7 @@ from reviewlens.testbed.tables import AS_OF, CENTER, YEAR_BEFORE, Tables
 
 RADIUS = 5.0
 CATEGORY = "Restaurants"
+EXEMPLAR_ROUNDS = 60  # round budget of affinity propagation in the catalogue
 OFTEN = 3  # reviews per city that count as frequent at the test data's sizes
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -351,7 +352,7 @@ def gmm_centers(t: Tables) -> DataFrame:
 
 @_query
 def affinity_exemplars(t: Tables) -> DataFrame:
-    return _rounded(home_areas.by_exemplars(t.review, t.business))
+    return _rounded(home_areas.by_exemplars(t.review, t.business, max_rounds=EXEMPLAR_ROUNDS))
 
 
 # --- ranking ---------------------------------------------------------------------------------
