@@ -174,7 +174,8 @@ def exemplar_sites(
     ordinary, large = apart_by_size(cut_lineage(similarity), "user_id", large_user)
     settings = (damping, max_rounds, settle_rounds)
     done = _settled_exemplars(ordinary, ["user_id"], *settings)
-    done += _settled_exemplars(large, ["user_id", "i"], *settings)
+    if large is not None:
+        done += _settled_exemplars(large, ["user_id", "i"], *settings)
     if not done:
         return similarity.select("user_id", F.col("k").alias("site")).limit(0)
     return reduce(DataFrame.union, done).select("user_id", F.col("k").alias("site"))

@@ -155,7 +155,7 @@ def _advanced(sums: DataFrame, var_floor: float, tolerance: float) -> DataFrame:
 
 
 def _fitted(
-    spots: DataFrame,
+    stored: DataFrame,
     keys: list[str],
     min_visits: int,
     max_rounds: int,
@@ -165,8 +165,7 @@ def _fitted(
 ) -> DataFrame | None:
     """Rounds over one layout of the places. Settled rows and the places only they need leave
     whenever half of the rows have settled."""
-    width = shuffle_width(spots)
-    stored = cut_lineage(spots)
+    width = shuffle_width(stored)
     moments = _moments(stored).where(F.col("n") >= min_visits)
     active = cut_lineage(_initial(moments, var_floor))
     left = active.count()
@@ -220,13 +219,14 @@ def mixture_models(
     A row is settled once its mean log-likelihood moves less than ``tolerance`` in a round.
     ``trace`` collects the state after each round, for tests.
     """
-    columns = places.select("user_id", "latitude", "longitude", "visits")
+    columns = cut_lineage(places.select("user_id", "latitude", "longitude", "visits"))
     ordinary, large = apart_by_size(columns, "user_id", large_user)
     settings = (min_visits, max_rounds, tolerance, var_floor, trace)
-    models = _fitted(ordinary.withColumn("parts", F.lit(1)), ["user_id"], *settings)
-    spread = split_hot_groups(large, "user_id", ["latitude", "longitude"], large_user)
-    more = _fitted(spread, ["user_id", "part"], *settings)
-    found = [frame for frame in (models, more) if frame is not None]
+    found = [_fitted(ordinary.withColumn("parts", F.lit(1)), ["user_id"], *settings)]
+    if large is not None:
+        spread = split_hot_groups(large, "user_id", ["latitude", "longitude"], large_user)
+        found.append(_fitted(cut_lineage(spread), ["user_id", "part"], *settings))
+    found = [frame for frame in found if frame is not None]
     if not found:
         raise ValueError("no user has enough visits")
     weights = F.col("k") * 4 - 1

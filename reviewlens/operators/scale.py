@@ -59,13 +59,17 @@ def group_sizes(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("group_rows"))
 
 
-def apart_by_size(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary groups, and rows of groups beyond the limit.
+def apart_by_size(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of groups beyond the limit if there are any.
 
     Both halves get the same computation, the second spread by a finer key, so a group that
-    holds a third of all rows is not bound to one task.
+    holds a third of all rows is not bound to one task. The list of large groups is written
+    out: it has a row per ``limit`` rows at most, and Spark broadcasts it if it is small.
     """
     large = group_sizes(df, key).where(F.col("group_rows") > limit).select(key)
+    large = cut_lineage(large)
+    if large.isEmpty():
+        return df, None
     return df.join(large, key, "left_anti"), df.join(large, key, "left_semi")
 
 
