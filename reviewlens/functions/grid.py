@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions.geo import MAX_MILES_PER_DEGREE, half_height_degrees
@@ -53,26 +53,38 @@ class Grid:
         column = F.pmod(F.floor((longitude + 180.0) * cells / 360.0), cells)
         return row * _STRIDE + column
 
-    def cells_within(self, latitude: Column, longitude: Column, radius: float) -> Column:
-        """Array of all cells that can hold a place within the radius. Its length depends on
-        radius / side only, never on the data."""
+    def near_cells(
+        self,
+        df: DataFrame,
+        radius: float,
+        name: str = "cell",
+        latitude: str = "latitude",
+        longitude: str = "longitude",
+    ) -> DataFrame:
+        """A row per cell that can hold a place within the radius of the row's place.
+
+        How many depends on radius / side only, never on the data. Rows of cells are listed
+        first and the cells of each row then, which both compile to plain loops.
+        """
+        lat, lon = F.col(latitude), F.col(longitude)
         high = half_height_degrees(radius)
-        first = F.greatest(F.floor((latitude - high + 90.0) / self.height), F.lit(0))
-        last = F.least(F.floor((latitude + high + 90.0) / self.height), F.lit(self.last_row))
-        wide = F.when(F.abs(latitude) + high >= 90.0, 180.0).otherwise(
-            F.degrees(
-                F.asin(F.least(math.sin(math.radians(high)) / F.cos(F.radians(latitude)), F.lit(1.0)))
-            )
-            + 1e-9
+        first = F.greatest(F.floor((lat - high + 90.0) / self.height), F.lit(0))
+        last = F.least(F.floor((lat + high + 90.0) / self.height), F.lit(self.last_row))
+        reach = F.least(math.sin(math.radians(high)) / F.cos(F.radians(lat)), F.lit(1.0))
+        wide = F.when(F.abs(lat) + high >= 90.0, 180.0).otherwise(F.degrees(F.asin(reach)) + 1e-9)
+        # Names no table column has; they are gone from the result.
+        row, cells, west, east = (F.col(f"_{name}_{part}") for part in ("row", "of", "west", "east"))
+        rows = df.select(
+            "*", wide.alias(f"_{name}_wide"), F.explode(F.sequence(first, last)).alias(f"_{name}_row")
         )
-
-        def row_cells(row: Column) -> Column:
-            cells = self._row_cells(row)
-            west = F.floor((longitude + 180.0 - wide) * cells / 360.0)
-            east = F.floor((longitude + 180.0 + wide) * cells / 360.0)
-            east = F.least(east, west + cells - 1)
-            return F.transform(
-                F.sequence(west, east), lambda column: row * _STRIDE + F.pmod(column, cells)
-            )
-
-        return F.flatten(F.transform(F.sequence(first, last), row_cells))
+        rows = rows.select("*", self._row_cells(row).alias(f"_{name}_of"))
+        span = F.col(f"_{name}_wide")
+        rows = rows.select(
+            "*",
+            F.floor((lon + 180.0 - span) * cells / 360.0).alias(f"_{name}_west"),
+            F.floor((lon + 180.0 + span) * cells / 360.0).alias(f"_{name}_east"),
+        )
+        column = F.explode(F.sequence(west, F.least(east, west + cells - 1)))
+        listed = rows.select("*", column.alias(f"_{name}_column"))
+        found = row * _STRIDE + F.pmod(F.col(f"_{name}_column"), cells)
+        return listed.select(*df.columns, found.alias(name))

@@ -48,21 +48,29 @@ def _gridded(places: DataFrame, grid: Grid, min_visits: int) -> DataFrame:
     )
 
 
-def _pairs_of_quiet_places(spots: DataFrame, grid: Grid, eps: float) -> DataFrame:
+def _pairs_of_quiet_places(spots: DataFrame, eps: float) -> DataFrame:
     """(user_id, place_id, node, node_crowded, visits): for a quiet place every graph node with
     places within eps, itself included, and the visits those places hold."""
-    seekers = spots.where(~F.col("crowded")).select(
+    grid = Grid(eps)  # about nine cells around a place, fewer than on the finer grid
+    seekers = grid.near_cells(spots.where(~F.col("crowded")), eps, "near_cell").select(
         "user_id",
         "place_id",
         *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
-        F.explode(grid.cells_within(F.col("latitude"), F.col("longitude"), eps)).alias("cell"),
+        "near_cell",
     )
     targets = spots.select(
-        "user_id", "cell", "visits", "node", F.col("crowded").alias("node_crowded"), "vx", "vy", "vz"
+        "user_id",
+        grid.cell(F.col("latitude"), F.col("longitude")).alias("near_cell"),
+        "visits",
+        "node",
+        F.col("crowded").alias("node_crowded"),
+        "vx",
+        "vy",
+        "vz",
     )
     near = geo.near_between(geo.vector_columns("a"), geo.vector_columns("v"), eps)
     return (
-        seekers.join(targets, ["user_id", "cell"])
+        seekers.join(targets, ["user_id", "near_cell"])
         .where(near)
         .groupBy("user_id", "place_id", "node", "node_crowded")
         .agg(F.sum("visits").alias("visits"))
@@ -105,12 +113,9 @@ def _links_of_crowded_cells(spots: DataFrame, grid: Grid, eps: float) -> DataFra
         "user_id", "cell", "node", "place_id", "latitude", "longitude", "vx", "vy", "vz"
     )
     whole = _summaries(crowded, ["cell", "node"])
-    around = crowded.where(F.col("place_id") == F.col("node")).select(
-        "user_id",
-        F.col("cell").alias("cell_a"),
-        F.explode(
-            grid.cells_within(F.col("latitude"), F.col("longitude"), 2.0 * eps)
-        ).alias("cell_b"),
+    firsts = crowded.where(F.col("place_id") == F.col("node"))
+    around = grid.near_cells(firsts, 2.0 * eps, "cell_b").select(
+        "user_id", F.col("cell").alias("cell_a"), "cell_b"
     )
     pairs = (
         around.where(F.col("cell_a") < F.col("cell_b"))
@@ -169,7 +174,7 @@ def density_labels(places: DataFrame, eps_miles: float = 4.0, min_visits: int =
     """
     grid = Grid.with_diagonal(eps_miles)
     spots = _gridded(places, grid, min_visits)
-    near = cut_lineage(_pairs_of_quiet_places(spots, grid, eps_miles))
+    near = cut_lineage(_pairs_of_quiet_places(spots, eps_miles))
 
     quiet_core = (
         near.groupBy("user_id", "place_id")

@@ -48,14 +48,12 @@ def similarities(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
     """
     grid = Grid(reach_miles)  # wide cells: a site looks into about nine of them
     spots = geo.with_vector(sites)
-    left = spots.select(
+    left = grid.near_cells(spots, reach_miles).select(
         "user_id",
         F.col("site").alias("i"),
         "visits",
         *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
-        F.explode(
-            grid.cells_within(F.col("latitude"), F.col("longitude"), reach_miles)
-        ).alias("cell"),
+        "cell",
     )
     right = spots.select(
         "user_id",

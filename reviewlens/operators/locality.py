@@ -86,10 +86,7 @@ def near_points(
     without coordinates; the names must differ.
     """
     grid = Grid(radius_miles)
-    left = geo.with_vector(points, "p").withColumn(
-        "cell",
-        F.explode(grid.cells_within(F.col("latitude"), F.col("longitude"), radius_miles)),
-    )
+    left = grid.near_cells(geo.with_vector(points, "p"), radius_miles)
     right = geo.with_vector(places, "q").withColumn(
         "cell", grid.cell(F.col("latitude"), F.col("longitude"))
     )

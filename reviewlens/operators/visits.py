@@ -49,30 +49,42 @@ def locations_per_user(places: DataFrame, target_rows: int = 10_000) -> DataFram
 def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
     """Pairs of places of one user within the radius, each pair once (place_a < place_b).
 
-    Cells have a diagonal below the radius, so only places a few cells apart meet at all and
-    pairs of one cell always count: candidates stay in proportion to the pairs returned.
+    Cells are as wide as the radius, so only places of neighbouring cells meet and a fixed share
+    of what meets is within the radius: candidates stay in proportion to the pairs returned. A
+    place looks at its own cell and the later ones only, as the earlier ones look at it.
     """
-    grid = Grid.with_diagonal(radius_miles)
-    spots = geo.with_vector(places.repartition(shuffle_width(places), "user_id", "place_id"))
-    left = spots.select(
-        "user_id",
-        F.col("place_id").alias("place_a"),
-        *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
-        F.explode(
-            grid.cells_within(F.col("latitude"), F.col("longitude"), radius_miles)
-        ).alias("cell"),
+    grid = Grid(radius_miles)
+    spots = geo.with_vector(
+        places.repartition(shuffle_width(places), "user_id", "place_id")
+    ).withColumn("home", grid.cell(F.col("latitude"), F.col("longitude")))
+    left = (
+        grid.near_cells(spots, radius_miles)
+        .where(F.col("cell") >= F.col("home"))
+        .select(
+            "user_id",
+            "home",
+            F.col("place_id").alias("one"),
+            *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
+            "cell",
+        )
     )
     right = spots.select(
         "user_id",
-        F.col("place_id").alias("place_b"),
+        F.col("place_id").alias("other"),
         *(F.col(f"v{axis}").alias(f"b{axis}") for axis in "xyz"),
-        grid.cell(F.col("latitude"), F.col("longitude")).alias("cell"),
+        F.col("home").alias("cell"),
     )
     ends = geo.vector_columns("a"), geo.vector_columns("b")
+    once = (F.col("home") < F.col("cell")) | (F.col("one") < F.col("other"))
     return (
         left.join(right, ["user_id", "cell"])
-        .where((F.col("place_a") < F.col("place_b")) & geo.near_between(*ends, radius_miles))
-        .select("user_id", "place_a", "place_b", geo.miles_between(*ends).alias("miles"))
+        .where(once & geo.near_between(*ends, radius_miles))
+        .select(
+            "user_id",
+            F.least("one", "other").alias("place_a"),
+            F.greatest("one", "other").alias("place_b"),
+            geo.miles_between(*ends).alias("miles"),
+        )
     )
 
 

@@ -92,19 +92,21 @@ def test_cells_hold_every_neighbour(spark):
     lon2 = (lon2 + 180) % 360 - 180
     rows = [tuple(map(float, r)) for r in zip(lat, lon, lat2, lon2)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    df = df.withColumn("id", F.monotonically_increasing_id())
     for grid in (Grid(4.0), Grid.with_diagonal(4.0), Grid(1.0)):
-        checked = df.select(
-            geo.miles(*[F.col(c) for c in "abcd"]).alias("miles"),
-            F.array_contains(
-                grid.cells_within(F.col("a"), F.col("b"), 4.0), grid.cell(F.col("c"), F.col("d"))
-            ).alias("found"),
-            F.size(grid.cells_within(F.col("a"), F.col("b"), 4.0)).alias("cells"),
-            F.size(F.array_distinct(grid.cells_within(F.col("a"), F.col("b"), 4.0))).alias("unique"),
-        ).collect()
+        listed = grid.near_cells(df, 4.0, "cell", "a", "b")
+        assert listed.columns == [*df.columns, "cell"]
+        checked = (
+            listed.withColumn("hit", (F.col("cell") == grid.cell(F.col("c"), F.col("d"))).cast("int"))
+            .groupBy("id", *"abcd")
+            .agg(F.sum("hit").alias("hits"), F.count("*").alias("n"), F.countDistinct("cell").alias("u"))
+            .withColumn("miles", geo.miles(*[F.col(c) for c in "abcd"]))
+            .collect()
+        )
         near = [row for row in checked if row["miles"] <= 4.0]
         assert len(near) > 300
-        assert all(row["found"] for row in near)
-        assert all(row["cells"] == row["unique"] for row in checked)
+        assert all(row["hits"] == 1 for row in near)
+        assert all(row["n"] == row["u"] for row in checked)
 
 
 def test_cell_diagonal(spark):
