@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.operators import locality, scoring
+from reviewlens.operators.scale import cut_lineage
 from reviewlens.sources import taxonomy as tax
 from reviewlens.sources.readers import predictions_for_category
 
 
+def _stored(businesses: DataFrame) -> DataFrame:
+    """The businesses in question, found once: they filter the reviews and name the result."""
+    return cut_lineage(businesses)
+
+
 def rank_businesses(
     business: DataFrame,
     review: DataFrame,
@@ -24,7 +30,7 @@ def rank_businesses(
     """Businesses of a category near a point, best first, by the mean over local users of their
     mean stars times their predicted expertise. ``top`` keeps the first few only."""
     members = tax.membership(taxonomy)
-    nearby = locality.local_businesses(business, members, category, center, radius_miles)
+    nearby = _stored(locality.local_businesses(business, members, category, center, radius_miles))
     locals_ = locality.local_users(centers, center, radius_miles)
     pairs = scoring.local_user_business(review, nearby, locals_)
     scores = scoring.weighted_scores(pairs, predictions_for_category(predictions, category))
@@ -42,7 +48,7 @@ def local_vs_overall_rating(
     radius_miles: float = 0.5,
 ) -> DataFrame:
     members = tax.membership(taxonomy)
-    nearby = locality.local_businesses(business, members, category, center, radius_miles)
+    nearby = _stored(locality.local_businesses(business, members, category, center, radius_miles))
     locals_ = locality.local_users(centers, center, radius_miles)
     return scoring.local_vs_overall(review, business, nearby, locals_)
 
@@ -72,7 +78,7 @@ def rank_batch(
     ).distinct()
 
     relevant = locality.relevant_businesses(business, tax.membership(taxonomy))
-    wanted = near_business.join(relevant, "business_id").join(asked, ["zip", "category"])
+    wanted = _stored(near_business.join(relevant, "business_id").join(asked, ["zip", "category"]))
     ratings = (
         scoring.pair_ratings(review, wanted.select("business_id").distinct())
         .withColumn("avg_rev_stars", F.try_divide("stars_sum", "stars_count"))
