@@ -16,7 +16,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     shortens paths, so rounds grow with the logarithm of a component's diameter. A round moves
     one row per node and edge and takes plain minima, which combine before the shuffle.
     """
-    state = cut_lineage(nodes.select("user_id", "node", F.col("node").alias("label")))
+    nearest = edges.groupBy("user_id", "node").agg(F.min("other").alias("nearest"))
+    state = cut_lineage(
+        nodes.join(nearest, ["user_id", "node"], "left").select(
+            "user_id", "node", F.least("node", "nearest").alias("label")
+        )
+    )
     while True:
         parents = state.select(
             "user_id", F.col("node").alias("label"), F.col("label").alias("grand")
