@@ -13,12 +13,10 @@ from reviewlens.operators import (
     checkins,
     cities,
     density,
-    exemplars,
     expertise,
     features,
     locality,
     metrics,
-    mixture,
     scoring,
     visits,
 )

@@ -4,7 +4,6 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from reviewlens import schemas
 from reviewlens.operators import cities, density, expertise, features
