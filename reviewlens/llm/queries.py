@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import byte_pairs, packing, warc
-from reviewlens.llm.common import table
+import corpus_pipeline
+from reviewlens.llm import byte_pairs, caps, language, nearest, packing, pseudonyms, quality, simhash, warc, wrappers
+from reviewlens.llm.common import held_out, table
+
+
+def op1_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +29,28 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pseudonyms.pseudonymized(docs, spans="spans")
+    return found.select("doc_id", "text", F.size("spans").cast("long").alias("n_found"), "spans")
+
+
+def op4_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id")))
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op5_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = caps.grouped(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     read_back = byte_pairs.decode(byte_pairs.encode(table(spark, sf_dir, "documents")))
     return read_back.select(
@@ -33,14 +61,38 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op8_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op9_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.grouped(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.profiles(docs.where(~held_out("doc_id"))))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_wrapper_text": op1_wrapper_text,
     "op2_warc_transactions": op2_warc_transactions,
+    "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
+    "op4_neighbour_quality": op4_neighbour_quality,
+    "op5_cap_filters": op5_cap_filters,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_multiprobe": op7_multiprobe,
     "op8_least_squares_packing": op8_least_squares_packing,
+    "op9_covering_simhash": op9_covering_simhash,
+    "op10_hyperdimensional_language": op10_hyperdimensional_language,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
