@@ -16,6 +16,7 @@ null doc_id is kept as null.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from itertools import combinations_with_replacement
 
@@ -38,33 +39,56 @@ RANK_GROUPS = 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-class WordIds:
+class WordIds(dict):
     """Ids of texts by a tokenizer whose pre-tokenization never crosses white space.
 
     Texts are split at spaces and line ends; the ids of a part do not depend on its neighbours, so
-    each distinct part is encoded once.
+    each distinct part is encoded once, on first sight. A part of Latin letters and ASCII marks is
+    taken to pre-tokens here, each looked up in the tokenizer's model once; any other part goes
+    through the whole tokenizer.
     """
 
+    _SIMPLE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff!-/:-@\[-`{-~]*").fullmatch
+    _TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[^a-z\u00df-\u00f6\u00f8-\u00ff]+").findall
+
     def __init__(self, definition: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        parts = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list(set().union(*parts) - self.known.keys())
-        for start in range(0, len(new), 20_000):
-            some = new[start : start + 20_000]
-            for part, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[part] = np.array(found.ids, "<u4").tobytes()
-        known = self.known.__getitem__
-        return [b"".join(map(known, words)) for words in parts]
+        self.model = self.tokenizer.model
+        # The letters that stand for bytes in the model's vocabulary.
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = {byte: byte for byte in range(256)}
+        for code in range(0x80, 0x180):
+            shown = level.pre_tokenize_str(chr(code))[0][0]
+            letters |= {byte: ord(letter) for byte, letter in zip(chr(code).encode("utf-8"), shown)}
+        self.letters = letters
+        self.tokens: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        if self._SIMPLE(part):
+            found = b"".join([self.tokens.get(token) or self._token(token) for token in self._TOKENS(part.lower())])
+        else:
+            found = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        self[part] = found
+        return found
+
+    def _token(self, token: str) -> bytes:
+        shown = token if token.isascii() else token.encode("utf-8").decode("latin-1").translate(self.letters)
+        found = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        self.tokens[token] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text."""
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.tokens.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def pieces(
@@ -86,9 +110,8 @@ def pieces(
             for first in range(0, batch.num_rows, 64):
                 some = batch.slice(first, 64)
                 rows = []
-                texts = ["" if text is None else text for text in some["text"].to_pylist()]
-                for doc_id, ids in zip(some["doc_id"].to_pylist(), words.encode(texts)):
-                    ids += closing
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist()):
+                    ids = words.encode(text or "") + closing
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         part = ids[4 * start : 4 * (start + window)]
