@@ -35,7 +35,7 @@ PROBES = 16
 SEED = 7
 #: Candidates and queries of a cell that meet in one group.
 BLOCK = 1024
-QUERY_BLOCK = 64
+QUERY_BLOCK = 512
 
 
 def projections(rows: np.ndarray, table: int) -> np.ndarray:
