@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ LONG = 64
 _NONE = np.int64(1) << 40
 #: Between these two characters no match of the pattern crosses, whatever stands around.
 _SEAM = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -185,6 +187,36 @@ def merge_all(parts: list[bytes], table: PairTable) -> list[np.ndarray]:
     return found
 
 
+class Memory(dict):
+    """Place of each name, new names numbered on first sight; their number arrays, end to end."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+        self.values, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def __missing__(self, name):
+        self[name] = place = len(self)
+        self.new.append(name)
+        return place
+
+    def places(self, lists: list[list]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(map(self.__getitem__, names) for names in lists), np.int64)
+
+    def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        """Arrays of the new names, in their order."""
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(lengths))
+        self.values = np.append(self.values, values)
+        self.new = []
+
+    def at(self, places: np.ndarray, lists: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """Values at all places, and how many each list has."""
+        starts = self.ends[places]
+        lengths = self.ends[places + 1] - starts
+        reached = np.append(0, np.cumsum(lengths))
+        return ragged(self.values, starts, lengths), np.diff(reached[np.append(0, np.cumsum(list(map(len, lists)), dtype=np.int64))])
+
+
 class Encoder:
     """Ids of texts, with the chunks between seams and the matches in them remembered."""
 
@@ -193,53 +225,27 @@ class Encoder:
 
         self.split = regex.compile(pattern)
         self.table = PairTable(ranks)
-        self.forget()
-
-    def forget(self) -> None:
         self.chunks, self.matches = Memory(), Memory()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and how many each text has."""
-        if len(self.chunks.place) > REMEMBERED:
-            self.forget()
-        # A chunk that follows a seam begins with its space.
-        chunks = []
+        if len(self.chunks) > REMEMBERED:
+            self.chunks, self.matches = Memory(), Memory()
+        lists = []
         for text in texts:
-            first, *rest = _SEAM.split(text)
-            chunks.append([first, *[" " + part for part in rest]])
-        new = list(set().union(*chunks) - self.chunks.place.keys())
-        if new:
-            found = list(map(self.split.findall, new))
-            fresh = list(set().union(*found) - self.matches.place.keys())
-            if fresh:
-                merged = merge_all([match.encode("utf-8") for match in fresh], self.table)
-                self.matches.add(fresh, np.concatenate(merged), np.array(list(map(len, merged))))
-            ids, lengths = self.matches.get(found)
-            self.chunks.add(new, ids, lengths)
-        return self.chunks.get(chunks)
-
-
-class Memory:
-    """Number arrays by string, kept end to end."""
-
-    def __init__(self):
-        self.place: dict[str, int] = {}
-        self.values, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def add(self, names: list[str], values: np.ndarray, lengths: np.ndarray) -> None:
-        self.place.update(zip(names, range(len(self.place), len(self.place) + len(names))))
-        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(lengths))
-        self.values = np.append(self.values, values)
-
-    def get(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Values of all names, list after list, and how many each list has."""
-        known = self.place.__getitem__
-        at = np.fromiter((place for names in lists for place in map(known, names)), np.int64)
-        starts = self.ends[at]
-        lengths = self.ends[at + 1] - starts
-        values = ragged(self.values, starts, lengths)
-        reached = np.append(0, np.cumsum(lengths))
-        return values, np.diff(reached[np.append(0, np.cumsum(list(map(len, lists)), dtype=np.int64))])
+            plain = not ("  " in text or " \n" in text or "\n " in text or _OTHER_SPACE.search(text))
+            names: list = text.split(" ") if plain else _SEAM.split(text)
+            names[0] = (names[0],)  # no space before it
+            lists.append(names)
+        places = self.chunks.places(lists)
+        if self.chunks.new:
+            found = [self.split.findall(name[0] if isinstance(name, tuple) else " " + name) for name in self.chunks.new]
+            inner = self.matches.places(found)
+            if self.matches.new:
+                merged = merge_all([match.encode("utf-8") for match in self.matches.new], self.table)
+                self.matches.add(np.concatenate(merged), np.array(list(map(len, merged))))
+            self.chunks.add(*self.matches.at(inner, found))
+        return self.chunks.at(places, lists)
 
 
 def _ranks(docs: DataFrame, vocabulary: str | None):
