@@ -67,7 +67,7 @@ LABEL, OPTIONAL, REPEATED, TEXT, INSIDE = range(5)
 
 def _label(name: str, rest: str) -> str:
     found = [f"{kind.lower()}={' '.join(sorted((a or b or c).lower().split()))}" for kind, a, b, c in _ATTRIBUTE.findall(rest)] if "=" in rest else []
-    return re.sub(r"\d+", "0", ";".join([name, *sorted(found)]))
+    return ";".join([name, *(re.sub(r"\d+", "0", attribute) for attribute in sorted(found))])
 
 
 def _aside(label: str) -> bool:
@@ -200,28 +200,33 @@ def bare(node: list) -> list:
 def main_texts(page: list, wrapper: list) -> list[int]:
     """Numbers of the page's texts that meet main slots of the wrapper."""
     inside: list[int] = []
-    outside: list[tuple[int, bool]] = []
-
-    def walk(node: list, rule: list | None, main: bool, repeated: bool) -> None:
+    outside: list[int] = []
+    template: set[int] = set()
+    varied = False
+
+    def walk(node: list, rule: list | None, main: bool, always: bool) -> None:
+        """``always``: the wrapper has this place once on every page."""
+        nonlocal varied
+        always = always and rule is not None and not rule[OPTIONAL] and not rule[REPEATED]
         if node[LABEL] == "#":
-            template = rule is not None and rule[TEXT] is not None and not repeated
-            inside.extend(node[INSIDE] if main else ())
-            outside.extend((number, template) for number in node[INSIDE])
+            (inside if main else outside).extend(node[INSIDE])
+            if always and rule[TEXT] is not None:
+                template.update(node[INSIDE])
+            elif always:
+                varied = True
             return
         if _aside(node[LABEL]):
             return
-        main, repeated = main or _main(node[LABEL]), repeated or node[REPEATED]
         rules = rule[INSIDE] if rule else []
         for i, j in matching(node[INSIDE], rules):
             if i is not None:
-                walk(node[INSIDE][i], None if j is None else rules[j], main, repeated)
+                walk(node[INSIDE][i], None if j is None else rules[j], main or _main(node[LABEL]), always)
 
-    walk(page, wrapper, False, False)
+    walk(page, wrapper, False, True)
     if inside:
         return sorted(inside)
-    # Where nothing on the host varies, all pages are copies and equal texts say nothing.
-    varied = any(not template for _, template in outside)
-    return sorted(number for number, template in outside if not (template and varied))
+    # Where no such place varies, the pages of the host are copies, and equal texts say nothing.
+    return sorted(number for number in outside if not (varied and number in template))
 
 
 def _host():
@@ -242,7 +247,7 @@ def infer(pages: DataFrame) -> DataFrame:
             some = hosts[first : first + 256]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([json.dumps(found[h]) for h in some], pa.string())], names=["host", "wrapper"])
 
-    def joined(key, group: pd.DataFrame) -> pd.DataFrame:
+    def joined(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         whole = None
         for text in sorted(group["wrapper"]):
             whole = json.loads(text) if whole is None else align(whole, json.loads(text))
