@@ -209,7 +209,7 @@ _MARKED = [
     ("mail", r"(?<![\w.+-])[A-Za-z0-9_](?:[\w.+%-]{0,62}[\w+%-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w@])", _mail),
 ]
 _NUMBERED = [
-    ("secret", r"(?<!\w)(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_\w{20,}|sk-\w{16,}|xox[a-z]-[\w-]{10,}|(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?[\w+/.-]*\d[\w+/.-]*)", _secret),
+    ("secret", r"(?<!\w)(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_\w{20,}|sk-\w{16,}|xox[a-z]-[\w-]{10,}|(?i:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?[\w+/.-]*\d(?:[\w+/.-]*[\w+/])?)", _secret),
     ("account", r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?!\w)", _account),
     ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w)|(?<![\w+(.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])", _phone),
     ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\w/-])", _date),
