@@ -6,9 +6,11 @@ inner product with the direction exceeds a threshold. All filters it passes are
 the words of both halves sorted by product, the second half is followed only as far as the sum
 stays above the threshold. Vectors that share a filter are compared in double precision.
 
-The code grows with the number of vectors, about four filters a vector, and the threshold is set so
-that a vector passes ``PASSED`` filters on average: buckets stay small however many vectors there are,
-and a pair at cosine 0.93 shares over ten filters.
+``CODES`` codes are used, each with its own turn, since how many filters of one code a vector passes
+varies much. A code grows with the number of vectors, about four filters a vector, and the threshold
+lets a vector pass ``PASSED`` filters of a code on average, so buckets stay small however many vectors
+there are. Measured on random pairs with the code for 51,000 vectors: 0.4 % of pairs at cosine 0.93 and
+0.2 % at 0.96 share no filter; with the code for 4,000 vectors none of 4,000.
 
 Only rows with equal labels, not null, are compared. A vector that is null, empty or zero or holds a
 null or non-finite component links with nothing; nor do vectors of different length. Equal vectors
@@ -31,14 +33,15 @@ from reviewlens.llm.simhash import block_pairs
 from reviewlens.llm.vectors import matrix, unit, usable
 
 COSINE = 0.93
-PASSED = 36
+CODES = 8
+PASSED = 12
 SEED = 5
 BLOCK = 128
 
 
-def code(dimension: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def code(dimension: int, words: int, number: int = 0) -> tuple[np.ndarray, list[np.ndarray]]:
     """The random turn and the unit code words of each half. Every task derives the same code."""
-    rng = np.random.default_rng([SEED, dimension, words])
+    rng = np.random.default_rng([SEED, dimension, words, number])
     turn = np.linalg.qr(rng.normal(size=(dimension, dimension)))[0]
     first = max(1, dimension // 2)
     halves = [rng.normal(size=(words, size)) for size in (first, dimension - first)]
@@ -50,10 +53,18 @@ def threshold(dimension: int, words: int) -> float:
     return NormalDist().inv_cdf(1 - min(0.5, PASSED / words**2)) * math.sqrt(2 / dimension)
 
 
-def passed(rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+def passed(rows: np.ndarray, words: int, codes: int = CODES) -> tuple[np.ndarray, np.ndarray]:
     """Filters that each unit row passes, row after row in rising order, and how many."""
+    found = [_passed(rows, words, number) for number in range(codes)]
+    who = np.concatenate([who for who, _ in found])
+    what = np.concatenate([what + number * np.int64(words) ** 2 for number, (_, what) in enumerate(found)])
+    by_row = np.lexsort((what, who))
+    return what[by_row], np.bincount(who, minlength=len(rows))
+
+
+def _passed(rows: np.ndarray, words: int, number: int) -> tuple[np.ndarray, np.ndarray]:
     dimension = rows.shape[1]
-    turn, (one, two) = code(dimension, words)
+    turn, (one, two) = code(dimension, words, number)
     turned, limit = rows @ turn, threshold(dimension, words)
     half = one.shape[1]
     products = [turned[:, :half] @ one.T, turned[:, half:] @ two.T]
@@ -72,9 +83,7 @@ def passed(rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
                 break
             who.append(inner)
             what.append(order[0][inner, i] * np.int64(words) + order[1][inner, j])
-    who, what = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, what))
-    by_row = np.lexsort((what, who))
-    return what[by_row], np.bincount(who, minlength=len(rows))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, what))
 
 
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
@@ -92,7 +101,7 @@ def _keyed(vectors: DataFrame) -> DataFrame:
     vec = F.col("embedding").cast("array<double>")
     # Adding zero makes the two zeros one.
     twin = F.sha2(F.array_join(F.transform(vec, lambda x: (x + 0.0).cast("string")), ","), 256)
-    return vectors.where(usable() & F.col("label").isNotNull()).select("vec_id", "label", vec.alias("vec"), twin.alias("twin"))
+    return vectors.where(usable() & F.col("label").isNotNull()).select("vec_id", "label", F.col("embedding").alias("vec"), twin.alias("twin"))
 
 
 def linked(distinct: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
