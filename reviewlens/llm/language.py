@@ -12,10 +12,13 @@ first in alphabetical order. Rows may repeat; extra columns are ignored; an empt
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIMENSIONS = 1024
 N_GRAM = 3
@@ -94,7 +97,7 @@ class Letters:
         return out, lettered
 
 
-def _bundled(stream, *extra: str):
+def _bundled(stream):
     """(rows, bundles scaled to length one, has a letter), few characters at a time."""
     letters = Letters()
     for batch in stream:
@@ -135,8 +138,8 @@ def profiles(training: DataFrame) -> dict[str, np.ndarray]:
     return {lang: found[lang] / max(np.linalg.norm(found[lang]), 1e-9) for lang in sorted(found)}
 
 
-def identify(docs: DataFrame, known: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, lang_pred and score (the cosine, none below 0) of every text."""
+def identify(docs: DataFrame, known: dict[str, np.ndarray], keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` (columns of the documents), lang_pred and score (the cosine, none below 0) of every text."""
     names = np.array([*known, UNKNOWN], object)
     matrix = np.array([*known.values()]).reshape(len(known), DIMENSIONS)
 
@@ -145,6 +148,9 @@ def identify(docs: DataFrame, known: dict[str, np.ndarray]) -> DataFrame:
             near = np.zeros((len(vectors), 1)) if not len(matrix) else vectors @ matrix.T
             best = np.where(lettered, near.argmax(axis=1), len(matrix)) if len(matrix) else np.zeros(len(vectors), int)
             value = np.where(best < len(matrix), np.clip(near.max(axis=1), 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(names[best], pa.string()), pa.array(value)], names=["doc_id", "lang_pred", "score"])
+            columns = [*rows.columns[1:], pa.array(names[best], pa.string()), pa.array(value)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, lang_pred string, score double")
+    chosen = docs.select(*keep)
+    schema = T.StructType([*chosen.schema.fields]).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    return docs.select(F.col("text").alias("text"), *[F.col(c).alias(f"kept_{c}") for c in keep]).mapInArrow(score, schema)

@@ -17,10 +17,13 @@ Rows may repeat; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE = 1500
 COLUMNS = 4096
@@ -173,14 +176,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model([(np.array(r["terms"], np.int64), np.array(r["counts"]), r["label"]) for r in rows], totals)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every text."""
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` (columns of the documents) and score of every text."""
     kinds, shipped = _classes(), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(stream):
         known = shipped.value
         for batch in stream:
             for rows, texts in _slices(batch):
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(known.scores(texts, kinds).astype(np.float64))], names=["doc_id", "score"])
+                scores = pa.array(known.scores(texts, kinds).astype(np.float64))
+                yield pa.RecordBatch.from_arrays([*rows.columns[1:], scores], names=[*keep, "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    schema = T.StructType([*docs.select(*keep).schema.fields]).add("score", T.DoubleType())
+    return docs.select(F.col("text").alias("text"), *[F.col(c).alias(f"kept_{c}") for c in keep]).mapInArrow(run, schema)
