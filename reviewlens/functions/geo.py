@@ -157,14 +157,15 @@ CENTRAL_MILES = 3.0
 
 
 def region_label(distance: Column, degree: Column, corrected: bool = False) -> Column:
-    """Name of the quarter of a city a place lies in, ``central`` within three miles."""
+    """Name of the quarter of a city a place lies in, ``central`` within three miles, null without
+    coordinates."""
     names = COMPASS_LABELS if corrected else LITERAL_LABELS
     return (
         F.when(distance <= CENTRAL_MILES, "central")
         .when((degree > -45) & (degree <= 45), names["ahead"])
         .when((degree > 45) & (degree <= 135), names["right"])
         .when((degree > -135) & (degree <= -45), names["left"])
-        .otherwise(names["behind"])
+        .when((degree > 135) | (degree <= -135), names["behind"])
     )
 
 

@@ -151,9 +151,11 @@ def _settled_exemplars(
                 ((F.min("held") >= settle_rounds) & F.max("chosen")).alias("settled")
             )
             step = step.join(verdicts, "user_id")
-        done.append(step.where(own & F.col("chosen") & F.col("settled")).select("user_id", "k"))
+        left = step.where(own & F.col("chosen") & F.col("settled"))
+        done.append(left.select("user_id", "k", "settled"))
         messages = step.where(~F.col("settled")).drop("settled")
-    done.append(messages.where(F.col("chosen")).select("user_id", "k"))
+    last = messages.where((F.col("i") == F.col("k")) & F.col("chosen"))
+    done.append(last.select("user_id", "k", F.lit(False).alias("settled")))
     return done
 
 
@@ -164,10 +166,11 @@ def exemplar_sites(
     settle_rounds: int = 15,
     large_user: int = _LARGE,
 ) -> DataFrame:
-    """Sites that affinity propagation leaves as exemplars: (user_id, site).
+    """Sites that affinity propagation leaves as exemplars: (user_id, site, settled).
 
     A user leaves the rounds when its exemplars, at least one, have not changed for
-    ``settle_rounds`` rounds; this is looked at every five rounds.
+    ``settle_rounds`` rounds; this is looked at every five rounds. Users that ``max_rounds`` left
+    unsettled have the exemplars of the last round, marked as not settled.
     """
     ordinary, large = apart_by_size(cut_lineage(similarity), "user_id", large_user)
     settings = (damping, max_rounds, settle_rounds)
@@ -175,8 +178,9 @@ def exemplar_sites(
     if large is not None:
         done += _settled_exemplars(large, ["user_id", "i"], *settings)
     if not done:
-        return similarity.select("user_id", F.col("k").alias("site")).limit(0)
-    return reduce(DataFrame.union, done).select("user_id", F.col("k").alias("site"))
+        nothing = similarity.select("user_id", F.col("k").alias("site")).limit(0)
+        return nothing.withColumn("settled", F.lit(False))
+    return reduce(DataFrame.union, done).select("user_id", F.col("k").alias("site"), "settled")
 
 
 def exemplar_centers(
@@ -187,8 +191,9 @@ def exemplar_centers(
     max_rounds: int = 200,
     settle_rounds: int = 15,
 ) -> DataFrame:
-    """Coordinates of each user's exemplar places: (user_id, site, latitude, longitude, visits)."""
+    """Coordinates of each user's exemplar places, and whether the user settled: (user_id, site,
+    latitude, longitude, visits, settled)."""
     spots = cut_lineage(sites(places, cell_miles))
     similarity = similarities(spots, reach_miles)
     chosen = exemplar_sites(similarity, damping, max_rounds, settle_rounds)
-    return spots.join(chosen, ["user_id", "site"], "left_semi")
+    return spots.join(chosen, ["user_id", "site"])

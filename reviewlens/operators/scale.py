@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -15,14 +18,22 @@ BROADCAST_ROWS = 500_000
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the session names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without one; it then gets a fresh temporary folder.
+    Only a session within one process may go without one; it then gets a folder that is removed
+    when the process ends. The session's settings are never changed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="reviewlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
+    return folder
+
+
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="reviewlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
@@ -42,9 +53,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """Mark a narrow frame for broadcast after counting that it is small enough.
 
     Beyond the bound the frame is returned as it is and Spark shuffles the join. Worth one
-    narrow scan where the other side is the review table, which then needs no shuffle at all.
+    narrow scan where the other side is the review table, which then needs no shuffle at all. The
+    count is a sum of the tasks' counts; no rows are gathered for it.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -21,16 +21,17 @@ def user_locations(review: DataFrame, business: DataFrame) -> DataFrame:
 def user_places(review: DataFrame, business: DataFrame) -> DataFrame:
     """Distinct coordinates per user: (user_id, place_id, latitude, longitude, visits).
 
-    Repeat visits are added up before the join. ``place_id`` is the smallest business there.
+    The narrow business columns meet the reviews first, so that visits are summed once, partly
+    before their only shuffle. ``place_id`` is the smallest business there.
     """
-    visits = review.groupBy("user_id", "business_id").agg(F.count("*").alias("visits"))
     spots = business.select("business_id", "latitude", "longitude").where(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
     return (
-        visits.join(spots, "business_id")
+        review.select("user_id", "business_id")
+        .join(spots, "business_id")
         .groupBy("user_id", "latitude", "longitude")
-        .agg(F.min("business_id").alias("place_id"), F.sum("visits").alias("visits"))
+        .agg(F.min("business_id").alias("place_id"), F.count("*").alias("visits"))
         .select("user_id", "place_id", "latitude", "longitude", "visits")
     )
 
@@ -91,14 +92,15 @@ def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
 def visits_by(review: DataFrame, business: DataFrame, *place_columns: str) -> DataFrame:
     """Review counts per user and the given business columns (city, or city and state).
 
-    Counts are first taken per user and business, so the join meets each pair once.
+    Joined first and counted once: where the business side is broadcast, the reviews are never
+    shuffled, only their partial counts.
     """
-    visits = review.groupBy("user_id", "business_id").agg(F.count("*").alias("visits"))
     where = business.select("business_id", *place_columns)
     return (
-        visits.join(where, "business_id")
+        review.select("user_id", "business_id")
+        .join(where, "business_id")
         .groupBy("user_id", *place_columns)
-        .agg(F.sum("visits").alias("count"))
+        .agg(F.count("*").alias("count"))
     )
 
 
@@ -121,11 +123,11 @@ def frequent_cities(
 
 def places_per_user(review: DataFrame, business: DataFrame) -> DataFrame:
     """Number of reviews of a user that have a known place."""
-    visits = review.groupBy("user_id", "business_id").agg(F.count("*").alias("visits"))
     return (
-        visits.join(business.select("business_id"), "business_id", "left_semi")
+        review.select("user_id", "business_id")
+        .join(business.select("business_id"), "business_id", "left_semi")
         .groupBy("user_id")
-        .agg(F.sum("visits").alias("count"))
+        .agg(F.count("*").alias("count"))
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from reviewlens.operators import density, exemplars, mixture
+from reviewlens.operators.scale import cut_lineage
+from reviewlens.operators.scoring import pair_ratings
 from reviewlens.operators.visits import user_places
 
 
@@ -15,6 +17,23 @@ def by_density(
     return density.density_centers(labels)
 
 
+def of_raters(
+    review: DataFrame,
+    business: DataFrame,
+    wanted: DataFrame,
+    eps_miles: float = 4.0,
+    min_visits: int = 5,
+) -> DataFrame:
+    """Density centres of the users who rated one of the wanted businesses.
+
+    A user's centres hang on the user's own reviews only, so a request about a few businesses
+    clusters the few users who can have a say in it; for them the result is that of
+    :func:`by_density`.
+    """
+    users = cut_lineage(pair_ratings(review, wanted).select("user_id").distinct())
+    return by_density(review.join(users, "user_id", "left_semi"), business, eps_miles, min_visits)
+
+
 def by_mixture(review: DataFrame, business: DataFrame, max_rounds: int = 100) -> DataFrame:
     models = mixture.mixture_models(user_places(review, business), max_rounds=max_rounds)
     return mixture.mixture_centers(models)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.operators import locality, scoring
 from reviewlens.operators.scale import cut_lineage
+from reviewlens.plans import home_areas
 from reviewlens.sources import taxonomy as tax
 from reviewlens.sources.readers import predictions_for_category
 
@@ -58,7 +59,7 @@ def rank_batch(
     zip_centroids: DataFrame,
     business: DataFrame,
     review: DataFrame,
-    centers: DataFrame,
+    centers: DataFrame | None,
     predictions: DataFrame,
     taxonomy: DataFrame,
     radius_miles: float = 5.0,
@@ -66,21 +67,24 @@ def rank_batch(
     """The ranking of every distinct (zip, category) request: (zip, category, business_id,
     business_name, business_stars, rank).
 
-    Nearness is worked out once per zip, not per request. Ratings of a user for a business are
+    Without stored ``centers``, those of the users who rated a business in question are found by
+    density. Nearness is worked out once per zip, not per request. Ratings of a user for a business are
     summed up before they meet the zips, and so are the scores per zip and category after.
     """
     asked = requests.select("zip", "category").distinct()
     zips = locality.zip_lookup(asked.select("zip").distinct(), zip_centroids)
     spots = business.select("business_id", "latitude", "longitude")
     near_business = locality.near_points(zips, spots, radius_miles)
+    relevant = locality.relevant_businesses(business, tax.membership(taxonomy))
+    wanted = _stored(near_business.join(relevant, "business_id").join(asked, ["zip", "category"]))
+    found = wanted.select("business_id").distinct()
+    if centers is None:
+        centers = home_areas.of_raters(review, business, found)
     near_user = locality.near_points(
         zips, centers.select("user_id", "latitude", "longitude"), radius_miles, inclusive=False
     ).distinct()
-
-    relevant = locality.relevant_businesses(business, tax.membership(taxonomy))
-    wanted = _stored(near_business.join(relevant, "business_id").join(asked, ["zip", "category"]))
     ratings = (
-        scoring.pair_ratings(review, wanted.select("business_id").distinct())
+        scoring.pair_ratings(review, found)
         .withColumn("avg_rev_stars", F.try_divide("stars_sum", "stars_count"))
         .select("user_id", "business_id", "avg_rev_stars")
     )

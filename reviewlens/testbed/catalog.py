@@ -29,7 +29,6 @@ from reviewlens.testbed.tables import AS_OF, CENTER, YEAR_BEFORE, Tables
 
 RADIUS = 5.0
 CATEGORY = "Restaurants"
-EXEMPLAR_ROUNDS = 60  # round budget of affinity propagation in the catalogue
 OFTEN = 3  # reviews per city that count as frequent at the test data's sizes
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -350,14 +349,23 @@ def gmm_centers(t: Tables) -> DataFrame:
 
 @_query
 def affinity_exemplars(t: Tables) -> DataFrame:
-    return _rounded(home_areas.by_exemplars(t.review, t.business, max_rounds=EXEMPLAR_ROUNDS))
+    return _rounded(home_areas.by_exemplars(t.review, t.business))
 
 
 # --- ranking ---------------------------------------------------------------------------------
 
 
+def _raters_centers(t: Tables, radius: float = RADIUS) -> DataFrame:
+    """Centres of the users who rated a wanted business: no other user can count."""
+    wanted = locality.local_businesses(
+        t.business, tax.membership(t.taxonomy), CATEGORY, CENTER, radius
+    )
+    return home_areas.of_raters(t.review, t.business, wanted)
+
+
 def _pairs(t: Tables) -> DataFrame:
-    return scoring.local_user_business(t.review, local_businesses(t), local_users(t))
+    locals_ = locality.local_users(_raters_centers(t), CENTER, RADIUS)
+    return scoring.local_user_business(t.review, local_businesses(t), locals_)
 
 
 @_query
@@ -375,7 +383,7 @@ def flagship(t: Tables, radius: float = RADIUS, top: int | None = None) -> DataF
     return ranking.rank_businesses(
         t.business,
         t.review,
-        _centers(t),
+        _raters_centers(t, radius),
         t.predictions,
         t.taxonomy,
         CATEGORY,
@@ -403,7 +411,7 @@ def rank_batch(t: Tables) -> DataFrame:
             t.zip_centroids,
             t.business,
             t.review,
-            _centers(t),
+            None,
             t.predictions,
             t.taxonomy,
             RADIUS,
@@ -415,7 +423,7 @@ def rank_batch(t: Tables) -> DataFrame:
 def local_vs_overall_rating(t: Tables) -> DataFrame:
     return _rounded(
         ranking.local_vs_overall_rating(
-            t.business, t.review, _centers(t), t.taxonomy, CATEGORY, CENTER, RADIUS
+            t.business, t.review, _raters_centers(t), t.taxonomy, CATEGORY, CENTER, RADIUS
         )
     )
 

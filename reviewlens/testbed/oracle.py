@@ -310,7 +310,7 @@ JOIN (SELECT category AS sub_category, COUNT(*) AS business_count FROM fx_busine
 FROM (SELECT DISTINCT category, sub_category FROM fx_taxonomy) t
 JOIN (SELECT category AS sub_category, COUNT(*) AS business_count FROM fx_business_category_raw
  GROUP BY category) v ON v.sub_category = t.sub_category""",
-    "predictions_for_category": """SELECT user_id, round(elite, 9) AS prediction FROM fx_elite""",
+    "predictions_for_category": """SELECT user_id, round(elite + 1, 9) AS prediction FROM fx_elite""",
     "zip_lookup": f"""SELECT r.user_id, r.zip, {_r('latitude longitude')} FROM fx_request r
 JOIN fx_zip z ON z.zip = r.zip""",
     "project_review": "SELECT user_id, business_id, stars FROM fx_review",
@@ -391,7 +391,8 @@ FROM fx_region g JOIN fx_business_category_raw c ON c.business_id = g.business_i
 FROM (SELECT * FROM fx_rank ORDER BY rank DESC, business_id LIMIT 20)""",
     "rank_batch": f"""SELECT zip, category, business_id, business_name, business_stars, {_r('rank')}
 FROM (SELECT q.zip, q.category, v.business_id, MIN(v.name) AS business_name,
- MIN(v.stars) AS business_stars, AVG(v.avg_rev_stars * v.elite) AS rank
+ MIN(v.stars) AS business_stars, AVG(v.avg_rev_stars * (v.elite + CASE q.category
+  WHEN 'Shopping' THEN 1 WHEN 'Beauty and Spa' THEN 2 WHEN 'Health and Medical' THEN 3 ELSE 0 END)) AS rank
  FROM (SELECT DISTINCT zip, category FROM fx_request) q
  JOIN fx_near_business nb ON nb.zip = q.zip
  JOIN fx_member m ON m.business_id = nb.business_id AND m.category = q.category

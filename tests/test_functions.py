@@ -184,3 +184,8 @@ def test_spherical_center_crosses_date_line(spark):
     row = df.agg(lat.alias("lat"), lon.alias("lon")).first()
     assert abs(row["lon"]) == pytest.approx(180.0)
     assert row["lat"] == pytest.approx(10.0, abs=0.01)
+
+
+def test_region_is_unknown_without_coordinates(spark):
+    df = spark.createDataFrame([(None, None), (5.0, None), (5.0, 170.0), (5.0, -135.0)], "m double, d double")
+    assert values(df, geo.region_label(F.col("m"), F.col("d"))) == [None, None, "west", "west"]

@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_point
-from reviewlens.testbed import check
+from reviewlens.testbed import catalog, check, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -28,6 +28,7 @@ def test_gives_rows(spark, key):
 def test_every_oracle_has_a_query():
     assert not set(ORACLES) - set(QUERIES)
     assert len(QUERIES) == 65
+    assert not set(QUERIES) - set(entry_point.queries())
 
 
 def test_entry_ranks_best_first(spark):
