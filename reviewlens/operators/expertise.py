@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.operators import metrics
 from reviewlens.operators.scale import cut_lineage
 
 # Model inputs in the order of the vector, and the categories that are modelled.
@@ -48,22 +49,27 @@ def with_split(rows: DataFrame, seed: int = SPLIT_SEED, tenths: int = 7) -> Data
 
 
 def training_rows(features: DataFrame, category: str | None = None) -> DataFrame:
-    """Assembled and split rows written out once, since every fit passes over them repeatedly."""
+    """Assembled and split rows written out once, since every fit passes over them repeatedly.
+
+    Users with a null input have null ``features``: no fit uses them, and scoring keeps them.
+    """
     chosen = features if category is None else features.where(F.col("category") == category)
     narrow = chosen.select("user_id", "category", "elite", "elite_cat", *INPUTS)
-    return cut_lineage(
-        with_split(assembled(narrow)).select(
-            "user_id", "category", "elite", "elite_cat", "features", "is_train"
-        )
+    names = ["user_id", "category", "elite", "elite_cat"]
+    lacking = reduce(lambda one, two: one | two, [F.col(name).isNull() for name in INPUTS])
+    whole = with_split(assembled(narrow)).select(*names, "features", "is_train")
+    rest = with_split(narrow.where(lacking)).select(
+        *names, F.lit(None).cast(whole.schema["features"].dataType).alias("features"), "is_train"
     )
+    return cut_lineage(whole.union(rest))
 
 
 def train_part(rows: DataFrame) -> DataFrame:
-    return rows.where("is_train")
+    return rows.where("is_train AND features IS NOT NULL")
 
 
 def test_part(rows: DataFrame) -> DataFrame:
-    return rows.where(~F.col("is_train"))
+    return rows.where("NOT is_train AND features IS NOT NULL")
 
 
 test_part.__test__ = False  # the name is not meant for test collection
@@ -132,10 +138,16 @@ def predict_class(model: Model, rows: DataFrame) -> DataFrame:
 
 
 def category_predictions(rows: DataFrame, category: str, fit=fit_forest) -> DataFrame:
-    """Fit on the category's training users and score all its users."""
+    """Fit on the category's training users and score all its users; a user with a null input
+    gets a null prediction."""
     chosen = rows.where(F.col("category") == category)
     model = fit(train_part(chosen))
-    return model.transform(chosen).select("user_id", "prediction", "category")
+    scored = model.transform(chosen.where("features IS NOT NULL"))
+    return scored.select("user_id", "prediction", "category").union(
+        chosen.where("features IS NULL").select(
+            "user_id", F.lit(None).cast("double").alias("prediction"), "category"
+        )
+    )
 
 
 def all_category_predictions(rows: DataFrame, categories: list[str] | None = None) -> DataFrame:
@@ -143,9 +155,48 @@ def all_category_predictions(rows: DataFrame, categories: list[str] | None = Non
     without any training user give no rows."""
     scored = []
     for category in categories or CATEGORIES:
-        trainable = rows.where((F.col("category") == category) & F.col("is_train"))
+        trainable = train_part(rows.where(F.col("category") == category))
         if not trainable.isEmpty():
             scored.append(category_predictions(rows, category))
     if not scored:
         return rows.select("user_id", F.col("elite").alias("prediction"), "category").limit(0)
     return reduce(DataFrame.union, scored)
+
+
+def model_quality(rows: DataFrame, categories: list[str] | None = None) -> DataFrame:
+    """Quality of the three models on each category's held-out users: (category, model, metric,
+    value, rows). Errors of the regressions, accuracy and weighted F1 of the classes. Predictions
+    are stored once and measured with plain aggregates."""
+    predicted = []
+    for category in categories or CATEGORIES:
+        chosen = rows.where(F.col("category") == category)
+        train, test = train_part(chosen), test_part(chosen)
+        if train.isEmpty():
+            continue
+        for name, fit, predict in (
+            ("tree", fit_tree, predict_elite),
+            ("forest", fit_forest, predict_elite),
+            ("logistic", fit_logistic, predict_class),
+        ):
+            found = predict(fit(train), test)
+            predicted.append(
+                found.select("category", F.lit(name).alias("model"), "label", "prediction")
+            )
+    if not predicted:
+        schema = "category string, model string, metric string, value double, rows long"
+        return rows.sparkSession.createDataFrame([], schema)
+    stored = cut_lineage(reduce(DataFrame.union, predicted))
+    regressions, classes = stored.where("model <> 'logistic'"), stored.where("model = 'logistic'")
+    measured = [
+        (regressions, "mse", metrics.mse),
+        (regressions, "rmse", metrics.rmse),
+        (classes, "accuracy", metrics.accuracy),
+        (classes, "weighted_f1", metrics.weighted_f1),
+    ]
+    keys = ["category", "model"]
+    values = [
+        measure(part, *keys).select(*keys, F.lit(name).alias("metric"), F.col(name).alias("value"))
+        for part, name, measure in measured
+    ]
+    sizes = stored.groupBy(*keys).agg(F.count("*").alias("rows"))
+    return reduce(DataFrame.union, values).join(sizes, keys).select(*keys, "metric", "value", "rows")

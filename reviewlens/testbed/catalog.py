@@ -506,8 +506,24 @@ def rf_predictions(t: Tables) -> DataFrame:
 
 @_query
 def lr_predictions(t: Tables) -> DataFrame:
-    rows = _held_out(t, CATEGORY, expertise.fit_logistic, expertise.predict_class)
-    return rows.select("user_id", "category", "label", "prediction")
+    return _classes_shown(_held_out(t, CATEGORY, expertise.fit_logistic, expertise.predict_class))
+
+
+def _classes_shown(rows: DataFrame) -> DataFrame:
+    """Predicted classes with the probability of each class as an array."""
+    return rows.withColumn("probability", vector_to_array("probability"))
+
+
+@_query
+def lr_cv_predictions(t: Tables) -> DataFrame:
+    """The best model of the cross-validation on the test part."""
+    rows = _held_out(t, CATEGORY, expertise.fit_logistic_folds, expertise.predict_class)
+    return _classes_shown(rows)
+
+
+@_query
+def model_quality(t: Tables) -> DataFrame:
+    return _rounded(expertise.model_quality(_training_rows(t, None)))
 
 
 @_query

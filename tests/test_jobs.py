@@ -242,3 +242,31 @@ def test_ranking_ignores_partitioning(spark):
     assert one == two
     assert len(one) == 21
     assert AS_OF.year == 2002
+
+
+def test_model_quality_equals_the_evaluators(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+
+    t = Tables(spark, SF_DIR)
+    rows = catalog._training_rows(t, "Shopping")
+    found = {(r["model"], r["metric"]): r["value"] for r in expertise.model_quality(rows, ["Shopping"]).collect()}
+    train, test = expertise.train_part(rows), expertise.test_part(rows)
+    tree = expertise.predict_elite(expertise.fit_tree(train), test)
+    classes = expertise.predict_class(expertise.fit_logistic(train), test)
+    evaluator = RegressionEvaluator(labelCol="label", metricName="rmse")
+    assert abs(found["tree", "rmse"] - evaluator.evaluate(tree)) < 1e-9
+    f1 = MulticlassClassificationEvaluator(metricName="f1").evaluate(classes)
+    assert abs(found["logistic", "weighted_f1"] - f1) < 1e-9
+    assert len(found) == 6
+
+
+def test_scoring_keeps_users_with_null_inputs(spark):
+    t = Tables(spark, SF_DIR)
+    features = catalog._features(t).where("category = 'Shopping'")
+    one = features.agg({"user_id": "min"}).collect()[0][0]
+    changed = features.withColumn(
+        "months_yelping", F.when(F.col("user_id") != one, F.col("months_yelping"))
+    )
+    scored = expertise.category_predictions(expertise.training_rows(changed), "Shopping").collect()
+    assert len(scored) == features.count()
+    assert [r["user_id"] for r in scored if r["prediction"] is None] == [one]

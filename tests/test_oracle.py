@@ -27,7 +27,7 @@ def test_gives_rows(spark, key):
 
 def test_every_oracle_has_a_query():
     assert not set(ORACLES) - set(QUERIES)
-    assert len(QUERIES) == 65
+    assert len(QUERIES) == 67
     assert not set(QUERIES) - set(entry_point.queries())
 
 
