@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from functools import cache
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -31,7 +32,7 @@ WINDOW = 4096
 CLOSING_ID = 2
 GRAIN = 16
 DEPTH = 3
-#: Words whose ids a task remembers; beyond it the memory starts anew.
+#: Words whose ids a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 400_000
 #: Pieces of one length are ranked within this many groups, so a frequent length is no hot key.
 RANK_GROUPS = 256
@@ -91,6 +92,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@cache
+def _words(definition: str) -> WordIds:
+    """A Python worker that runs several tasks keeps what it remembers."""
+    return WordIds(definition)
+
+
 def pieces(
     docs: DataFrame,
     vocabulary: str | None = None,
@@ -105,7 +112,7 @@ def pieces(
     closing = np.array([closing_id], "<u4").tobytes()
 
     def cut(stream):
-        words = WordIds(definition.value)
+        words = _words(definition.value)
         for batch in stream:
             for first in range(0, batch.num_rows, 64):
                 some = batch.slice(first, 64)
