@@ -25,6 +25,8 @@ RADIUS_MILES = EQUATOR_METRES / METRES_PER_MILE
 # Shortest and longest length in miles of a degree of arc on that ellipsoid.
 MIN_MILES_PER_DEGREE = 68.70
 MAX_MILES_PER_DEGREE = 69.41
+# No two places are further apart.
+HALF_WAY_ROUND_MILES = 180.0 * MAX_MILES_PER_DEGREE
 
 Vector = tuple[Column, Column, Column]
 

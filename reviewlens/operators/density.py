@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from reviewlens.functions import geo
 from reviewlens.functions.grid import Grid
 from reviewlens.operators.components import connected_components
-from reviewlens.operators.scale import cut_lineage, shuffle_width
+from reviewlens.operators.scale import cut_lineage, width_for
 
 # Slack in miles when ruling sub-cells out: far above the error of the distance formula.
 _SLACK = 1e-3
@@ -34,6 +34,7 @@ def _gridded(places: DataFrame, grid: Grid, min_visits: int) -> DataFrame:
     Written out evenly over the cluster, however full single cells are, since the next step
     lists the cells around each place.
     """
+    places = cut_lineage(places)  # read twice, and its size sets the width
     spots = geo.with_vector(places).withColumn(
         "cell", grid.cell(F.col("latitude"), F.col("longitude"))
     )
@@ -44,7 +45,7 @@ def _gridded(places: DataFrame, grid: Grid, min_visits: int) -> DataFrame:
         spots.join(cells, ["user_id", "cell"])
         .withColumn("node", F.when(F.col("crowded"), F.col("first_place")).otherwise(F.col("place_id")))
         .drop("first_place")
-        .repartition(shuffle_width(places), "user_id", "place_id")
+        .repartition(width_for(places), "user_id", "place_id")
     )
 
 

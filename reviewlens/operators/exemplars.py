@@ -1,26 +1,35 @@
-"""Home areas by affinity propagation, with messages as rows.
+"""Home areas by affinity propagation over bounded candidates.
 
 All pairs of a user's places would grow with the square of the places. Instead places of one
-small grid cell form a *site*, weighted by its visits and standing at its most visited place,
-and similarities exist between sites within ``reach_miles`` only, a metropolitan area by default.
-A site then has a bounded number of neighbours whatever the data, so messages grow in line with
-the sites. Messages are shuffled by user once per block of rounds; a user with very many
-messages runs through the same rounds spread by site.
+small grid cell form a *site*, weighted by its visits and standing at its most visited place. A
+site may follow every site within ``reach_miles``, and of the farther ones the most visited site
+of each occupied cell of ever larger grids, up to the whole earth. Candidates per site are bounded
+by the area and the number of grids whatever the data, and no town of a user is out of reach.
+
+The rounds of a user are one array computation, so whole users are dealt over the cluster with a
+single shuffle and a task takes some of them at a time. Users with more messages than a task should
+hold run through the same rounds as rows spread by site.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import geo
 from reviewlens.functions.grid import Grid
-from reviewlens.operators.scale import apart_by_size, cut_lineage, shuffle_width
+from reviewlens.operators.scale import apart_by_size, cut_lineage, width_for
 
 _BLOCK = 5  # rounds between two lineage cuts
-_LARGE = 2_000_000  # messages beyond which a user is spread by site
+_LARGE = 1_000_000  # messages beyond which a user is spread by site
+_TOGETHER = 500_000  # messages of ordinary users that a task works on at a time
+_WIDER = 4.0  # ratio of the sides of two consecutive grids
+_STEPS = 32.0  # steps per unit of the logarithm in which distances are counted
 _LEAST_SPREAD = 0.01
 _ALONE = -1e9  # stands for "no rival" where a site has no neighbour
 
@@ -38,57 +47,215 @@ def sites(places: DataFrame, cell_miles: float = 1.0) -> DataFrame:
     )
 
 
-def similarities(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
-    """(user_id, i, k, s): cost of site i following site k, and of being an exemplar where i = k.
-
-    Between sites it is the negative distance times the visits of i. The preference is minus the
-    root-mean-square distance between two sites of the user, near or far: a typical similarity
-    that follows from the mean direction of the sites, without listing pairs. A per-site
-    millionth of it breaks ties between equal sites.
-    """
-    grid = Grid(reach_miles)  # wide cells: a site looks into about nine of them
-    spots = geo.with_vector(sites)
-    left = grid.near_cells(spots, reach_miles).select(
+def _ends(spots: DataFrame, grid: Grid, radius: float) -> DataFrame:
+    """Sites as followers, a row per cell in which they look for candidates."""
+    return grid.near_cells(spots, radius).select(
         "user_id",
         F.col("site").alias("i"),
         "visits",
         *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
         "cell",
     )
+
+
+def candidates(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
+    """(user_id, i, k, visits, miles, weight): sites k that site i may follow, ``visits`` those of
+    i and ``weight`` the number of visit pairs the candidate stands for."""
+    spots = geo.with_vector(sites)
+    distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("v"))
+    grid = Grid(reach_miles)  # wide cells: a site looks into about nine of them
     right = spots.select(
         "user_id",
         F.col("site").alias("k"),
         "vx",
         "vy",
         "vz",
+        F.col("visits").alias("met"),
         grid.cell(F.col("latitude"), F.col("longitude")).alias("cell"),
     )
-    distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("v"))
-    pairs = (
-        left.join(right, ["user_id", "cell"])
+    columns = ["user_id", "i", "k", "visits", "miles"]
+    weight = (F.col("visits") * F.col("met")).alias("weight")
+    near = (
+        _ends(spots, grid, reach_miles)
+        .join(right, ["user_id", "cell"])
         .where(F.col("i") != F.col("k"))
-        .select("user_id", "i", "k", "visits", distance.alias("miles"))
+        .withColumn("miles", distance)
         .where(F.col("miles") <= reach_miles)
-        .select("user_id", "i", "k", (-F.col("miles") * F.col("visits")).alias("s"))
+        .select(*columns, weight)
     )
+    rings = []
+    side = reach_miles
+    while side < geo.HALF_WAY_ROUND_MILES:
+        side = min(side * _WIDER, geo.HALF_WAY_ROUND_MILES)
+        wide = Grid(side)
+        cell = wide.cell(F.col("latitude"), F.col("longitude"))
+        main = F.min_by(
+            F.struct(F.col("site").alias("k"), "vx", "vy", "vz"),
+            F.struct(-F.col("visits"), F.col("site")),
+        )
+        mains = (
+            spots.groupBy("user_id", cell.alias("cell"))
+            .agg(main.alias("main"), F.sum("visits").alias("met"))
+            .select("user_id", "cell", "main.*", "met")
+        )
+        rings.append(
+            _ends(spots, wide, side)
+            .join(mains, ["user_id", "cell"])
+            .withColumn("miles", distance)
+            .where(F.col("miles") > reach_miles)
+            .select(*columns, weight, F.lit(side).alias("side"))
+        )
+    far = (
+        reduce(DataFrame.union, rings)
+        .groupBy("user_id", "i", "k")
+        .agg(
+            F.min("visits").alias("visits"),
+            F.min("miles").alias("miles"),
+            F.min_by("weight", F.struct("side", "weight")).alias("weight"),
+        )
+    )
+    return near.union(far)
+
+
+def similarities(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
+    """(user_id, i, k, s): cost of site i following site k, and of being an exemplar where i = k.
+
+    Between sites it is the negative distance times the visits of i. The preference is minus the
+    median distance between two visits at different sites of the user. A per-site millionth of it
+    breaks ties between equal sites.
+    """
+    pairs = cut_lineage(candidates(sites, reach_miles))
     tilt = F.pmod(F.xxhash64("user_id", "site"), F.lit(1_000_000)) / 1e12
-    own = sites.join(_spreads(spots), "user_id").select(
+    spread = F.greatest(F.coalesce("spread", F.lit(_LEAST_SPREAD)), F.lit(_LEAST_SPREAD))
+    own = sites.join(_median_miles(pairs), "user_id", "left").select(
         "user_id",
         F.col("site").alias("i"),
         F.col("site").alias("k"),
-        (-F.greatest(F.col("spread"), F.lit(_LEAST_SPREAD)) * (tilt + 1.0)).alias("s"),
+        (-spread * (tilt + 1.0)).alias("s"),
     )
-    return own.union(pairs)
+    return own.union(pairs.select("user_id", "i", "k", (-F.col("miles") * F.col("visits")).alias("s")))
+
+
+def _median_miles(pairs: DataFrame) -> DataFrame:
+    """Weighted median distance of each user's pairs, to about one and a half per cent.
+
+    Distances are counted in logarithmic steps, of which a user has some hundreds at most.
+    """
+    step = F.round(F.ln(F.greatest("miles", F.lit(_LEAST_SPREAD))) * _STEPS).cast("int")
+    counts = pairs.groupBy("user_id", step.alias("step")).agg(F.sum("weight").alias("weight"))
+    by_user = Window.partitionBy("user_id")
+    upto = F.sum("weight").over(by_user.orderBy("step"))
+    total = F.sum("weight").over(by_user)
+    reached = counts.select("user_id", "step", (upto * 2 >= total).alias("half")).where("half")
+    return reached.groupBy("user_id").agg(F.exp(F.min("step") / _STEPS).alias("spread"))
+
+
+class _Messages:
+    """Messages of some whole users as arrays, sorted by follower."""
+
+    def __init__(self, rows: pd.DataFrame):
+        user, self.names = pd.factorize(rows["user_id"], sort=False)
+        i, k = rows["i"].to_numpy(), rows["k"].to_numpy()
+        sites, codes = np.unique(np.concatenate([i, k]), return_inverse=True)
+        follower = user * np.int64(len(sites)) + codes[: len(i)]
+        leader = user * np.int64(len(sites)) + codes[len(i) :]
+        order = np.lexsort((leader, follower))
+        known, self.follower = np.unique(follower[order], return_inverse=True)
+        self.leader = np.searchsorted(known, leader[order])
+        self.s = rows["s"].to_numpy()[order]
+        self.r, self.a = np.zeros(len(order)), np.zeros(len(order))
+        self.site, self.user = sites[known % len(sites)], known // len(sites)
+        self.held, self.chosen = np.zeros(len(known), int), np.zeros(len(known), bool)
+        self._index()
+
+    def _index(self) -> None:
+        self.starts = np.flatnonzero(np.diff(self.follower, prepend=-1))
+        self.own = self.follower == self.leader
+        self.user_starts = np.flatnonzero(np.diff(self.user, prepend=-1))
+
+    def round(self, damping: float) -> None:
+        """One exchange of responsibilities and availabilities, both damped."""
+        v = self.a + self.s
+        best = np.maximum.reduceat(v, self.starts)[self.follower]
+        first = v == best
+        alone = np.add.reduceat(first.astype(int), self.starts)[self.follower] == 1
+        second = np.maximum.reduceat(np.where(first, _ALONE, v), self.starts)[self.follower]
+        rival = np.where(first & alone, second, best)
+        self.r = self.r * damping + (self.s - rival) * (1.0 - damping)
+        backing = np.where(self.own, self.r, np.maximum(self.r, 0.0))
+        total = np.bincount(self.leader, backing, len(self.site))
+        others = total[self.leader] - backing
+        offer = np.where(self.own, others, np.minimum(others, 0.0))
+        self.a = self.a * damping + offer * (1.0 - damping)
+        now = (self.a + self.r)[self.own] > 0
+        self.held = np.where(now == self.chosen, self.held + 1, 1)
+        self.chosen = now
 
+    def settled(self, settle_rounds: int) -> np.ndarray:
+        """Whether the user of each site has settled."""
+        held = np.minimum.reduceat(self.held, self.user_starts)
+        any_chosen = np.logical_or.reduceat(self.chosen, self.user_starts)
+        return np.repeat((held >= settle_rounds) & any_chosen, np.diff(self.user_starts, append=len(self.user)))
 
-def _spreads(spots: DataFrame) -> DataFrame:
-    """Root-mean-square miles between two different sites of a user, to a hundredth."""
-    n = F.count("*")
-    mean = sum(F.avg(f"v{axis}") * F.avg(f"v{axis}") for axis in "xyz")
-    # mean squared chord over ordered pairs of different sites
-    chord = F.sqrt(F.greatest((F.lit(1.0) - mean) * 2.0 * n / F.greatest(n - 1, F.lit(1)), F.lit(0.0)))
-    arc = F.asin(F.least(chord / 2.0, F.lit(1.0))) * (2.0 * geo.RADIUS_MILES)
-    return spots.groupBy("user_id").agg(F.round(arc, 2).alias("spread"))
+    def exemplars(self, of: np.ndarray, settled: bool) -> pd.DataFrame:
+        found = of & self.chosen
+        return pd.DataFrame(
+            {"user_id": self.names[self.user[found]], "k": self.site[found], "settled": settled}
+        )
+
+    def keep(self, sites: np.ndarray) -> None:
+        edges, number = sites[self.follower], np.cumsum(sites) - 1
+        self.follower, self.leader = number[self.follower[edges]], number[self.leader[edges]]
+        self.s, self.r, self.a = self.s[edges], self.r[edges], self.a[edges]
+        self.site, self.user = self.site[sites], self.user[sites]
+        self.held, self.chosen = self.held[sites], self.chosen[sites]
+        self._index()
+
+
+def _whole_users(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by user, cut only between users, about ``_TOGETHER`` at a time."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        held.append(batch)
+        if sum(map(len, held)) >= _TOGETHER:
+            rows = pd.concat(held, ignore_index=True)
+            last = rows["user_id"] == rows["user_id"].iloc[-1]
+            if not last.all():
+                yield rows[~last]
+            held = [rows[last]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _exemplars_of_whole_users(
+    similarity: DataFrame, damping: float, max_rounds: int, settle_rounds: int
+) -> DataFrame:
+    """The rounds of users that fit into a task, one shuffle for all of them."""
+
+    def propagate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole_users(batches):
+            messages = _Messages(rows)
+            for number in range(1, max_rounds + 1):
+                messages.round(damping)
+                if number % _BLOCK:
+                    continue
+                settled = messages.settled(settle_rounds)
+                if settled.any():
+                    yield messages.exemplars(settled, True)
+                    messages.keep(~settled)
+                if not len(messages.site):
+                    break
+            if len(messages.site):
+                yield messages.exemplars(np.ones(len(messages.site), bool), False)
+
+    user = similarity.schema["user_id"].dataType.simpleString()
+    return (
+        similarity.repartition(width_for(similarity), "user_id")
+        .sortWithinPartitions("user_id")
+        .mapInPandas(propagate, f"user_id {user}, k long, settled boolean")
+    )
 
 
 def _round(messages: DataFrame, damping: float) -> DataFrame:
@@ -122,39 +289,32 @@ def _round(messages: DataFrame, damping: float) -> DataFrame:
     )
 
 
-def _settled_exemplars(
-    similarity: DataFrame, keys: list[str], damping: float, max_rounds: int, settle_rounds: int
+def _exemplars_spread_by_site(
+    similarity: DataFrame, damping: float, max_rounds: int, settle_rounds: int
 ) -> list[DataFrame]:
-    """Rounds over one layout of the messages; users with settled exemplars leave."""
-    width = shuffle_width(similarity)
+    """The rounds of very large users as rows; users with settled exemplars leave."""
+    width = width_for(similarity)
     zero = F.lit(0.0)
     messages = cut_lineage(
         similarity.withColumns({"r": zero, "a": zero, "held": F.lit(0), "chosen": F.lit(False)})
     )
     done: list[DataFrame] = []
+    own = F.col("i") == F.col("k")
     for _ in range(0, max_rounds, _BLOCK):
         if messages.isEmpty():
             return done
-        step = messages.repartition(width, *keys)
+        step = messages.repartition(width, "user_id", "i")
         for _ in range(_BLOCK):
             step = _round(step, damping)
-        by_user = Window.partitionBy("user_id")
-        own = F.col("i") == F.col("k")
-        if keys == ["user_id"]:
-            held = F.min(F.when(own, F.col("held"))).over(by_user)
-            any_chosen = F.max(F.when(own, F.col("chosen"))).over(by_user)
-            step = step.withColumn("settled", (held >= settle_rounds) & any_chosen)
-            step = cut_lineage(step)
-        else:
-            step = cut_lineage(step)
-            verdicts = step.where(own).groupBy("user_id").agg(
-                ((F.min("held") >= settle_rounds) & F.max("chosen")).alias("settled")
-            )
-            step = step.join(verdicts, "user_id")
+        step = cut_lineage(step)
+        verdicts = step.where(own).groupBy("user_id").agg(
+            ((F.min("held") >= settle_rounds) & F.max("chosen")).alias("settled")
+        )
+        step = step.join(verdicts, "user_id")
         left = step.where(own & F.col("chosen") & F.col("settled"))
         done.append(left.select("user_id", "k", "settled"))
         messages = step.where(~F.col("settled")).drop("settled")
-    last = messages.where((F.col("i") == F.col("k")) & F.col("chosen"))
+    last = messages.where(own & F.col("chosen"))
     done.append(last.select("user_id", "k", F.lit(False).alias("settled")))
     return done
 
@@ -174,12 +334,9 @@ def exemplar_sites(
     """
     ordinary, large = apart_by_size(cut_lineage(similarity), "user_id", large_user)
     settings = (damping, max_rounds, settle_rounds)
-    done = _settled_exemplars(ordinary, ["user_id"], *settings)
+    done = [_exemplars_of_whole_users(ordinary, *settings)]
     if large is not None:
-        done += _settled_exemplars(large, ["user_id", "i"], *settings)
-    if not done:
-        nothing = similarity.select("user_id", F.col("k").alias("site")).limit(0)
-        return nothing.withColumn("settled", F.lit(False))
+        done += _exemplars_spread_by_site(large, *settings)
     return reduce(DataFrame.union, done).select("user_id", F.col("k").alias("site"), "settled")
 
 

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from reviewlens.operators.scale import (
     apart_by_size,
     cut_lineage,
-    shuffle_width,
     split_hot_groups,
+    width_for,
 )
 
 MAX_COMPONENTS = 4
@@ -165,7 +165,7 @@ def _fitted(
 ) -> DataFrame | None:
     """Rounds over one layout of the places. Settled rows and the places only they need leave
     whenever half of the rows have settled."""
-    width = shuffle_width(stored)
+    width = width_for(stored)
     moments = _moments(stored).where(F.col("n") >= min_visits)
     active = cut_lineage(_initial(moments, var_floor))
     left = active.count()

@@ -61,10 +61,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return df
 
 
-def shuffle_width(df: DataFrame) -> int:
-    """Partition count of the session's shuffles. Given to ``repartition`` it keeps adaptive
-    execution from merging partitions, so joins and groups on the same key need no exchange."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def width_for(df: DataFrame, rows_each: int = 1_000_000) -> int:
+    """Partition count for a layout that loops keep: by the measured size of the frame, and at
+    least the session's. Given to ``repartition`` it keeps adaptive execution from merging
+    partitions, so joins and groups on the same key need no exchange. Meant for written tables,
+    whose count is read from their footers."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // rows_each))
 
 
 def group_sizes(df: DataFrame, key: str) -> DataFrame:

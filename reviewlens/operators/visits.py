@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import geo
 from reviewlens.functions.grid import Grid
-from reviewlens.operators.scale import shuffle_width, split_hot_groups
+from reviewlens.operators.scale import split_hot_groups
 
 
 def user_locations(review: DataFrame, business: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
     """
     grid = Grid(radius_miles)
     spots = geo.with_vector(
-        places.repartition(shuffle_width(places), "user_id", "place_id")
+        places.repartition("user_id", "place_id")
     ).withColumn("home", grid.cell(F.col("latitude"), F.col("longitude")))
     left = (
         grid.near_cells(spots, radius_miles)
