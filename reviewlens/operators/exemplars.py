@@ -61,7 +61,7 @@ def _ends(spots: DataFrame, grid: Grid, radius: float) -> DataFrame:
 def candidates(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
     """(user_id, i, k, visits, miles, weight): sites k that site i may follow, ``visits`` those of
     i and ``weight`` the number of visit pairs the candidate stands for."""
-    spots = geo.with_vector(sites)
+    spots = geo.with_vector(sites.repartition(width_for(sites), "user_id", "site"))
     distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("v"))
     grid = Grid(reach_miles)  # wide cells: a site looks into about nine of them
     right = spots.select(
