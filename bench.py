@@ -23,6 +23,7 @@ HEADLINE = [
     "user_locations",
     "locations_per_user",
     "user_pair_distances",
+    "near_place_counts",
     "user_city_state_counts",
     "user_frequent_cities",
     "avg_rating_per_user",
@@ -37,6 +38,7 @@ HEADLINE = [
     "dbscan_centers",
     "rank_businesses",
     "rank_topk",
+    "rank_from_stored_centers",
     "rank_batch",
     "local_vs_overall_rating",
     "metric_weighted_f1",

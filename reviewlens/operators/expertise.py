@@ -43,8 +43,10 @@ def assembled(features: DataFrame, keep_nulls: bool = False) -> DataFrame:
 
 def with_split(rows: DataFrame, seed: int = SPLIT_SEED, tenths: int = 7) -> DataFrame:
     """Add ``is_train``, true for seven tenths of the users. It hangs on the user id alone, so
-    partitioning, retries and added columns do not move a user."""
-    bucket = F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(10))
+    partitioning, retries and added columns do not move a user; the hash is one every engine has.
+    Rows without a user id hang together."""
+    text = F.concat(F.coalesce(F.col("user_id").cast("string"), F.lit("")), F.lit(f":{seed}"))
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10
     return rows.withColumn("is_train", bucket < tenths)
 
 

@@ -89,6 +89,34 @@ def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
     )
 
 
+def near_counts(places: DataFrame, radius_miles: float) -> DataFrame:
+    """Per place the number of the user's other places within the radius and their visits:
+    (user_id, place_id, near_places, near_visits). Neighbours are summed where they are found."""
+    grid = Grid(radius_miles)
+    spots = geo.with_vector(places.repartition("user_id", "place_id"))
+    left = grid.near_cells(spots, radius_miles).select(
+        "user_id", "place_id", *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"), "cell"
+    )
+    right = spots.select(
+        "user_id",
+        F.col("place_id").alias("other"),
+        F.col("visits").alias("met"),
+        *(F.col(f"v{axis}").alias(f"b{axis}") for axis in "xyz"),
+        grid.cell(F.col("latitude"), F.col("longitude")).alias("cell"),
+    )
+    ends = geo.vector_columns("a"), geo.vector_columns("b")
+    other = F.col("place_id") != F.col("other")
+    return (
+        left.join(right, ["user_id", "cell"])
+        .where(geo.near_between(*ends, radius_miles))
+        .groupBy("user_id", "place_id")
+        .agg(
+            F.count_if(other).alias("near_places"),
+            F.coalesce(F.sum(F.when(other, F.col("met"))), F.lit(0)).alias("near_visits"),
+        )
+    )
+
+
 def visits_by(review: DataFrame, business: DataFrame, *place_columns: str) -> DataFrame:
     """Review counts per user and the given business columns (city, or city and state).
 

@@ -13,13 +13,16 @@ from reviewlens.operators import (
     checkins,
     cities,
     density,
+    exemplars,
     expertise,
     features,
     locality,
     metrics,
+    mixture,
     scoring,
     visits,
 )
+from reviewlens.operators.scale import cut_lineage
 from reviewlens.plans import features as feature_plans
 from reviewlens.plans import home_areas, ranking
 from reviewlens.sources import taxonomy as tax
@@ -110,6 +113,12 @@ def user_profile_v0(t: Tables) -> DataFrame:
     return features.user_profile_v0(t.user, AS_OF)
 
 
+@_query
+def user_profiles_v0(t: Tables) -> DataFrame:
+    """Profiles with the number of frequent cities filled in."""
+    return feature_plans.user_profiles_v0(t.business, t.review, t.user, AS_OF, OFTEN)
+
+
 def _business_category(t: Tables) -> DataFrame:
     return features.business_category(t.business, tax.last_wins(t.taxonomy))
 
@@ -199,6 +208,13 @@ def features_to_json(t: Tables) -> DataFrame:
     return as_json_lines(user_features(t))
 
 
+@_query
+def features_from_json(t: Tables) -> DataFrame:
+    """The features read back from their JSON text."""
+    rows = user_features(t)
+    return as_json_lines(rows).select(F.from_json("value", rows.schema).alias("row")).select("row.*")
+
+
 # --- joins and aggregations ------------------------------------------------------------------
 
 
@@ -268,6 +284,11 @@ def user_pair_distances(t: Tables) -> DataFrame:
     return _rounded(visits.near_pairs(visits.user_places(t.review, t.business), 4.0))
 
 
+@_query
+def near_place_counts(t: Tables) -> DataFrame:
+    return visits.near_counts(visits.user_places(t.review, t.business), 4.0)
+
+
 @_query
 def user_city_counts(t: Tables) -> DataFrame:
     return visits.visits_by(t.review, t.business, "city")
@@ -347,6 +368,36 @@ def gmm_centers(t: Tables) -> DataFrame:
     return _rounded(home_areas.by_mixture(t.review, t.business))
 
 
+@_query
+def gmm_models_k1(t: Tables) -> DataFrame:
+    """Mixtures of one component, whose fit has a closed form."""
+    models = mixture.mixture_models(visits.user_places(t.review, t.business)).where("k = 1")
+    found = models.select(
+        "user_id",
+        F.radians("lat1").alias("latitude"),  # in radians no mean lies on a rounding edge
+        F.radians("lon1").alias("longitude"),
+        F.col("var1").alias("variance"),
+        "ll",
+        "bic",
+    )
+    return _rounded(found, 5)
+
+
+@_query
+def exemplar_consistency(t: Tables) -> DataFrame:
+    """Per user its places and visits, and the exemplars that are none of its places."""
+    places = cut_lineage(visits.user_places(t.review, t.business))
+    chosen = exemplars.exemplar_centers(places)
+    spot = ["user_id", "latitude", "longitude"]
+    strays = chosen.join(places, spot, "left_anti").groupBy("user_id").agg(F.count("*").alias("n"))
+    totals = places.groupBy("user_id").agg(
+        F.count("*").alias("places"), F.sum("visits").alias("visits")
+    )
+    return totals.join(strays, "user_id", "left").select(
+        "user_id", "places", "visits", F.coalesce("n", F.lit(0)).cast("long").alias("strays")
+    )
+
+
 @_query
 def affinity_exemplars(t: Tables) -> DataFrame:
     return _rounded(home_areas.by_exemplars(t.review, t.business))
@@ -379,12 +430,18 @@ def weighted_scores(t: Tables) -> DataFrame:
     return _rounded(scoring.weighted_scores(_pairs(t), predictions))
 
 
-def flagship(t: Tables, radius: float = RADIUS, top: int | None = None) -> DataFrame:
+def flagship(
+    t: Tables,
+    radius: float = RADIUS,
+    top: int | None = None,
+    centers: DataFrame | None = None,
+    predictions: DataFrame | None = None,
+) -> DataFrame:
     return ranking.rank_businesses(
         t.business,
         t.review,
-        _raters_centers(t, radius),
-        t.predictions,
+        _raters_centers(t, radius) if centers is None else centers,
+        t.predictions if predictions is None else predictions,
         t.taxonomy,
         CATEGORY,
         CENTER,
@@ -398,6 +455,20 @@ def rank_businesses(t: Tables) -> DataFrame:
     return _rounded(flagship(t))
 
 
+@_query
+def rank_from_stored_centers(t: Tables) -> DataFrame:
+    """The ranking on centres of all users stored before, one row of centres per user."""
+    stored = cut_lineage(density.centers_as_arrays(t.user, _centers(t)))
+    return _rounded(flagship(t, centers=density.centers_as_rows(stored)))
+
+
+@_query
+def rank_with_trained(t: Tables) -> DataFrame:
+    """From features over fitted models and their stored predictions to the ranking."""
+    trained = cut_lineage(expertise.all_category_predictions(_training_rows(t, None), [CATEGORY]))
+    return _rounded(flagship(t, predictions=trained))
+
+
 @_query
 def rank_topk(t: Tables) -> DataFrame:
     return _rounded(flagship(t, top=20))
@@ -428,6 +499,21 @@ def local_vs_overall_rating(t: Tables) -> DataFrame:
     )
 
 
+@_query
+def local_vs_overall_mixture(t: Tables) -> DataFrame:
+    """The rating comparison on mixture centres within half a mile."""
+    return _rounded(
+        ranking.local_vs_overall_rating(
+            t.business,
+            t.review,
+            home_areas.by_mixture(t.review, t.business),
+            t.taxonomy,
+            CATEGORY,
+            CENTER,
+        )
+    )
+
+
 # --- learning --------------------------------------------------------------------------------
 
 

@@ -268,6 +268,18 @@ _VIEWS["fx_stale_class"] = """
 SELECT user_id, category, CAST(floor(label / 5e-2) AS INT) AS label,
  CAST(floor(prediction / 5e-2) AS INT) AS prediction FROM fx_stale"""
 
+_VIEWS["fx_k1"] = """
+SELECT m.user_id, m.latitude, m.longitude, m.n, SUM(p.visits * (power(p.latitude - m.latitude, 2)
+ + power(p.longitude - m.longitude, 2))) / m.n AS spread
+FROM (SELECT user_id, CAST(SUM(visits) AS DOUBLE) AS n,
+ SUM(visits * latitude) / SUM(visits) AS latitude, SUM(visits * longitude) / SUM(visits) AS longitude
+ FROM fx_place GROUP BY user_id HAVING SUM(visits) >= 5) m
+JOIN fx_place p ON p.user_id = m.user_id GROUP BY m.user_id, m.latitude, m.longitude, m.n"""
+
+_VIEWS["fx_k1_fit"] = """
+SELECT *, -ln(2 * pi() * variance) - spread / (2 * variance) AS ll
+FROM (SELECT *, greatest(spread / 2, 1e-3) AS variance FROM fx_k1)"""
+
 _RECURSIVE = {"fx_reach"}
 _MATERIALIZED = {"fx_place", "fx_pair", "fx_core", "fx_link", "fx_label", "fx_center", "fx_review"}
 
@@ -411,6 +423,27 @@ JOIN fx_local_user u ON u.user_id = r.user_id GROUP BY b.business_id, b.stars"""
  months_yelping AS x5, CAST(review_count AS DOUBLE) AS x6, CAST(votes_cool AS DOUBLE) AS x7,
  CAST(votes_funny AS DOUBLE) AS x8, CAST(votes_useful AS DOUBLE) AS x9
 FROM fx_features WHERE months_yelping IS NOT NULL""",
+    "train_test_split": """SELECT user_id, category,
+ CAST('0x' || substr(md5(concat(CAST(user_id AS VARCHAR), ':11')), 1, 8) AS BIGINT) % 10 < 7 AS is_train
+FROM fx_features""",
+    "near_place_counts": """SELECT user_id, a AS place_id,
+ CAST(SUM(CASE WHEN a <> b THEN 1 ELSE 0 END) AS BIGINT) AS near_places,
+ CAST(SUM(CASE WHEN a <> b THEN visits ELSE 0 END) AS BIGINT) AS near_visits
+FROM fx_pair GROUP BY user_id, a""",
+    "gmm_models_k1": f"""SELECT user_id, round(radians(latitude), 5) AS latitude,
+ round(radians(longitude), 5) AS longitude, {_r('variance ll', 5)},
+ round(-2 * ll * n + 3 * ln(n), 5) AS bic FROM fx_k1_fit""",
+    "exemplar_consistency": """SELECT user_id, COUNT(*) AS places,
+ CAST(SUM(visits) AS BIGINT) AS visits, CAST(0 AS BIGINT) AS strays FROM fx_place GROUP BY user_id""",
+    "user_profiles_v0": """SELECT u.user_id, u.name AS "userName", u.review_count AS "totalReviews",
+ u.funny, u.cool, u.useful, u.fans, CAST(2002 * 12 + 1 - (CAST(substr(u.yelping_since, 1, 4) AS BIGINT)
+ * 12 + CAST(substr(u.yelping_since, 6, 2) AS BIGINT)) AS BIGINT) AS "yelpingSince",
+ e.elite_v0 AS elite, COALESCE(g.k, 0) AS k
+FROM fx_user u JOIN fx_elite e ON e.user_id = u.user_id
+LEFT JOIN (SELECT user_id, COUNT(*) AS k FROM (SELECT r.user_id FROM fx_review r
+  JOIN fx_business b ON b.business_id = r.business_id
+  GROUP BY r.user_id, b.city, b.state HAVING COUNT(*) > 3) GROUP BY user_id) g
+ ON g.user_id = u.user_id""",
     "metric_mse": """SELECT category, round(AVG(power(label - prediction, 2)), 9) AS mse FROM fx_stale
 GROUP BY category""",
     "metric_rmse": """SELECT category, round(sqrt(AVG(power(label - prediction, 2))), 9) AS rmse
@@ -430,5 +463,9 @@ GROUP BY category""",
 }
 
 
+_BODIES["features_from_json"] = _BODIES["user_features"]
+_BODIES["rank_from_stored_centers"] = _BODIES["rank_businesses"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _query(body) for name, body in _BODIES.items()}

@@ -205,6 +205,8 @@ PLANNED = sorted(
     - {"gmm_centers", "affinity_exemplars", "lr_cv_metrics", "dt_predictions", "rf_predictions"}
     - {"lr_predictions", "category_predictions", "all_category_predictions"}
     - {"dbscan_centers", "local_users", "rank_topk", "weighted_scores", "local_user_business"}
+    # the exemplar rounds of whole users run in Python by design
+    - {"exemplar_consistency", "gmm_models_k1", "local_vs_overall_mixture", "rank_with_trained"}
 )
 
 

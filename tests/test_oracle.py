@@ -19,15 +19,21 @@ def test_matches_oracle(spark, key):
 
 
 @pytest.mark.parametrize(
-    "key", sorted(set(QUERIES) - set(ORACLES) - {"gmm_centers", "affinity_exemplars"})
+    "key", sorted(set(QUERIES) - set(ORACLES) - {"local_vs_overall_mixture"})
 )
 def test_gives_rows(spark, key):
     assert QUERIES[key](spark, SF_DIR).limit(1).count() == 1
 
 
+def test_half_a_mile_around_mixture_centers_may_be_empty(spark):
+    rows = QUERIES["local_vs_overall_mixture"](spark, SF_DIR)
+    assert rows.columns == QUERIES["local_vs_overall_rating"](spark, SF_DIR).columns
+    rows.collect()
+
+
 def test_every_oracle_has_a_query():
     assert not set(ORACLES) - set(QUERIES)
-    assert len(QUERIES) == 67
+    assert len(QUERIES) == 75
     assert not set(QUERIES) - set(entry_point.queries())
 
 
