@@ -33,20 +33,25 @@ BLOCK = 128
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Unsigned 64-bit fingerprint of the word shingles of a text."""
+def shingle_hashes(text: str | None, shingle: int) -> bytes:
+    """Eight bytes of hash per word shingle of a text; a text of fewer words is one shingle."""
     words = (text or "").encode("utf-8").translate(_LOWER).split()
     if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+        return b""
     # A shingle is a slice of the words joined by one space.
     joined = b" ".join(words)
+    digest = xxhash.xxh64_digest
+    if len(words) <= shingle:
+        return digest(joined, SEED)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.append(0, ends[:-shingle]).tolist()
-    digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())])
-    n = len(starts)
+    return b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())])
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """Unsigned 64-bit fingerprint of the word shingles of a text."""
+    hashes = shingle_hashes(text, shingle)
+    n = len(hashes) // 8
     ones = np.zeros(BITS, np.int64)
     bits = np.frombuffer(hashes, np.uint8).reshape(n, 8)
     for first in range(0, n, 4096):
