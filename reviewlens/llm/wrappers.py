@@ -4,7 +4,8 @@ A page becomes nested streams of tokens: block elements and texts. Neighbouring
 label become a repeated element. The wrapper of a host is the page streams aligned one after the
 other, level by level: what only one side has becomes optional, repeated elements stay repeated, and
 texts that differ become a text slot, while equal ones stay template text. Tasks align what they read,
-their wrappers are aligned in two steps; a wrapper covers every page of its host. A page is then
+their wrappers are aligned in two steps; a wrapper covers every page of its host that is not empty and
+counts the pages that have each part. A page is then
 aligned with its host's wrapper, and the texts that meet main slots are its main text.
 
 Main slots lie inside an article or main element, where the wrapper has one on the page, and else in
@@ -33,6 +34,8 @@ from reviewlens.llm.common import stored
 DEPTH = 100
 #: Partial wrappers of a host are aligned within this many groups first.
 SPREAD = 16
+#: Share of a host's pages that must have a place for its text to be template text.
+SHARE = 0.8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -60,9 +63,9 @@ _ASIDE_WORDS = frozenset(
     "widget toolbar pagination pager".split()
 )
 
-# A node is [label, optional, repeated, text, children]; label "#" is a text: ``text`` is its checksum
+# A node is [label, optional, repeated, text, children, pages that have it]; label "#" is a text: ``text`` is its checksum
 # in a page or as template text, None for a slot. In a page a text's children are its numbers.
-LABEL, OPTIONAL, REPEATED, TEXT, INSIDE = range(5)
+LABEL, OPTIONAL, REPEATED, TEXT, INSIDE, PAGES = range(6)
 
 
 def _label(name: str, rest: str) -> str:
@@ -90,14 +93,14 @@ def _main(label: str) -> bool:
 
 def parse(page: str) -> tuple[list, list[str]]:
     """Tree of a page with neighbouring equal labels joined, and its texts in page order."""
-    root = ["", False, False, None, []]
+    root = ["", False, False, None, [], 1]
     stack, names, texts, piece = [root], [""], [], []
 
     def flush():
         text = _SPACE.sub(" ", references.unescape("".join(piece))).strip()
         piece.clear()
         if text:
-            stack[-1][INSIDE].append(["#", False, False, crc32(text.encode("utf-8", "replace")), [len(texts)]])
+            stack[-1][INSIDE].append(["#", False, False, crc32(text.encode("utf-8", "replace")), [len(texts)], 1])
             texts.append(text)
 
     at = 0
@@ -129,7 +132,7 @@ def parse(page: str) -> tuple[list, list[str]]:
             names.pop()
             stack.pop()
         if len(stack) < DEPTH:
-            node = [_label(name, token["rest"]), False, False, None, []]
+            node = [_label(name, token["rest"]), False, False, None, [], 1]
             stack[-1][INSIDE].append(node)
             stack.append(node)
             names.append(name)
@@ -146,7 +149,7 @@ def fold(node: list) -> None:
         if child[LABEL] != "#":
             fold(child)
         if joined and joined[-1][LABEL] == child[LABEL] and child[LABEL] != "#":
-            joined[-1] = align(joined[-1], child)
+            joined[-1] = align(joined[-1], child, within=True)
             joined[-1][REPEATED] = True
         else:
             joined.append(child)
@@ -177,24 +180,28 @@ def matching(one: list, two: list) -> list[tuple[int | None, int | None]]:
     return pairs
 
 
-def align(one: list, two: list) -> list:
-    """Smallest common wrapper of two nodes with one label; texts of a page keep their numbers."""
+def align(one: list, two: list, within: bool = False) -> list:
+    """Smallest common wrapper of two nodes with one label; texts of a page keep their numbers.
+
+    ``within``: both are of one page, so a page counts once.
+    """
+    pages = max(one[PAGES], two[PAGES]) if within else one[PAGES] + two[PAGES]
     if one[LABEL] == "#":
-        return ["#", one[OPTIONAL] or two[OPTIONAL], False, one[TEXT] if one[TEXT] == two[TEXT] else None, one[INSIDE] + two[INSIDE]]
+        return ["#", one[OPTIONAL] or two[OPTIONAL], False, one[TEXT] if one[TEXT] == two[TEXT] else None, one[INSIDE] + two[INSIDE], pages]
     inside = []
     for i, j in matching(one[INSIDE], two[INSIDE]):
         if i is not None and j is not None:
-            inside.append(align(one[INSIDE][i], two[INSIDE][j]))
+            inside.append(align(one[INSIDE][i], two[INSIDE][j], within))
         else:
             only = one[INSIDE][i] if j is None else two[INSIDE][j]
             inside.append([only[LABEL], True, *only[REPEATED:]])
-    return [one[LABEL], one[OPTIONAL] or two[OPTIONAL], one[REPEATED] or two[REPEATED], None, inside]
+    return [one[LABEL], one[OPTIONAL] or two[OPTIONAL], one[REPEATED] or two[REPEATED], None, inside, pages]
 
 
 def bare(node: list) -> list:
     """The node without the numbers of a page's texts."""
     inside = [] if node[LABEL] == "#" else [bare(child) for child in node[INSIDE]]
-    return [*node[:INSIDE], inside]
+    return [*node[:INSIDE], inside, node[PAGES]]
 
 
 def main_texts(page: list, wrapper: list) -> list[int]:
@@ -203,11 +210,12 @@ def main_texts(page: list, wrapper: list) -> list[int]:
     outside: list[int] = []
     template: set[int] = set()
     varied = False
+    pages = wrapper[PAGES] if wrapper else 0
 
     def walk(node: list, rule: list | None, main: bool, always: bool) -> None:
-        """``always``: the wrapper has this place once on every page."""
+        """``always``: nearly every page of the host has this place, and once."""
         nonlocal varied
-        always = always and rule is not None and not rule[OPTIONAL] and not rule[REPEATED]
+        always = always and rule is not None and rule[PAGES] >= SHARE * pages and not rule[REPEATED]
         if node[LABEL] == "#":
             (inside if main else outside).extend(node[INSIDE])
             if always and rule[TEXT] is not None:
@@ -241,6 +249,8 @@ def infer(pages: DataFrame) -> DataFrame:
         for batch in stream:
             for host, page in zip(batch["host"].to_pylist(), batch["html"]):
                 tree = bare(parse(page.as_py() or "")[0])
+                if not tree[INSIDE]:
+                    continue
                 found[host] = align(found[host], tree) if host in found else tree
         hosts = list(found)
         for first in range(0, len(hosts), 256):

@@ -375,3 +375,12 @@ def test_near_copies_of_edited_texts(spark):
     assert {r.component_id for r in rows if r.doc_id is not None and r.doc_id >= 900} == {900}
     kept = corpus_pipeline.drop_near_copies(spark, docs.selectExpr("doc_id", "text", "'en' lang", "'s' source", "0L n_chars"), DATA)
     assert {r.doc_id for r in kept.collect()} == set(closure(range(len(texts)), pairs).values()) | {None, 900}
+
+
+def test_an_odd_page_does_not_keep_the_template_text_of_its_host(spark):
+    html = [page(f"<div><p>Welcome to the site</p><div><h1>{i}</h1><p>text {i}</p></div></div>") for i in range(8)]
+    rows = [*enumerate(html), (100, None), (101, ""), (102, "broken")]
+    pages = spark.createDataFrame([(i, "http://one.example/", h) for i, h in rows], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in wrappers.main_text(pages).collect()}
+    assert [found[i] for i in range(8)] == [f"{i} text {i}" for i in range(8)]
+    assert (found[100], found[101], found[102]) == ("", "", "broken")
