@@ -13,7 +13,8 @@ the body where the text is no template text. Never inside menus, headers, footer
 adverts, forms, scripts, styles or comments, known by element, role or class.
 
 Null html has an empty text, as has a page without main text. A null or odd url is a host of its own.
-Elements nested deeper than ``DEPTH`` are seen as part of their parent. Rows may repeat; extra columns
+Elements nested deeper than ``DEPTH`` are seen as part of their parent, but their end tags close only
+them, and whether a text is in an aside or main element among them is kept. Rows may repeat; extra columns
 are ignored; an empty table gives no rows.
 """
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 import html as references
 import json
 import re
+from collections import Counter
 from zlib import crc32
 
 import pandas as pd
@@ -95,12 +97,24 @@ def parse(page: str) -> tuple[list, list[str]]:
     """Tree of a page with neighbouring equal labels joined, and its texts in page order."""
     root = ["", False, False, None, [], 1]
     stack, names, texts, piece = [root], [""], [], []
+    # Open elements beyond DEPTH: name and kind ("aside", "main" or none); how many there are of each.
+    over: list[tuple[str, str]] = []
+    beyond: Counter = Counter()
+    kinds: Counter = Counter()
+
+    def leave() -> str:
+        name, kind = over.pop()
+        beyond[name] -= 1
+        kinds[kind] -= 1
+        return name
 
     def flush():
         text = _SPACE.sub(" ", references.unescape("".join(piece))).strip()
         piece.clear()
         if text:
-            stack[-1][INSIDE].append(["#", False, False, crc32(text.encode("utf-8", "replace")), [len(texts)], 1])
+            node = ["#", False, False, crc32(text.encode("utf-8", "replace")), [len(texts)], 1]
+            kind = "aside" if kinds["aside"] else "main" if kinds["main"] else ""
+            stack[-1][INSIDE].append([kind, False, False, None, [node], 1] if kind else node)
             texts.append(text)
 
     at = 0
@@ -116,19 +130,27 @@ def parse(page: str) -> tuple[list, list[str]]:
         ends = bool(token["end"])
         if name in _INLINE:
             if ends:
-                if name not in names or names[-1] != name:
+                if (over[-1][0] if over else names[-1]) != name:
                     continue
             elif not (token["rest"] and _aside(_label(name, token["rest"]))):
                 continue
         flush()
         if ends:
-            if name in names and name not in ("html", "body"):
+            if beyond[name]:
+                while leave() != name:
+                    pass
+            elif name in names and name not in ("html", "body"):
+                while over:
+                    leave()
                 while names.pop() != name:
                     stack.pop()
                 stack.pop()
             continue
-        closes = _CLOSES.get(name, ()) if names[-1] != "p" else _IN_PARAGRAPH | _CLOSES.get(name, set())
-        while names[-1] in closes and len(names) > 1:
+        last = over[-1][0] if over else names[-1]
+        closes = _CLOSES.get(name, ()) if last != "p" else _IN_PARAGRAPH | _CLOSES.get(name, set())
+        while over and over[-1][0] in closes:
+            leave()
+        while not over and names[-1] in closes and len(names) > 1:
             names.pop()
             stack.pop()
         if len(stack) < DEPTH:
@@ -136,6 +158,12 @@ def parse(page: str) -> tuple[list, list[str]]:
             stack[-1][INSIDE].append(node)
             stack.append(node)
             names.append(name)
+        else:
+            label = _label(name, token["rest"])
+            kind = "aside" if _aside(label) else "main" if _main(label) else ""
+            over.append((name, kind))
+            beyond[name] += 1
+            kinds[kind] += 1
     piece.append(page[at:])
     flush()
     fold(root)

@@ -384,3 +384,13 @@ def test_an_odd_page_does_not_keep_the_template_text_of_its_host(spark):
     found = {r.page_id: r.text for r in wrappers.main_text(pages).collect()}
     assert [found[i] for i in range(8)] == [f"{i} text {i}" for i in range(8)]
     assert (found[100], found[101], found[102]) == ("", "", "broken")
+
+
+def test_elements_beyond_the_depth_close_only_themselves():
+    def deep(inner):
+        return "<div>" * 150 + inner + "</div>" * 150
+
+    inner = "deep<nav>menu</nav><p>one<p>two<div class=ad>buy</div> <b>bold</b> end"
+    assert text_of(f"<div><article><p>first</p>{deep(inner)}<p>later</p></article><p>out</p></div>") == "first deep one two bold end later"
+    assert text_of(f"<div>{deep('<article>in</article>')}<p>out</p></div>") == "in"
+    assert text_of(f"<article>{'<div>' * 150}cut</article><p>out</p>") == "cut"
