@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewlens.llm import byte_pairs, caps, language, nearest, packing, pseudonyms, quality, simhash, warc, wrappers
+from reviewlens.llm import (
+    byte_pairs,
+    caps,
+    language,
+    limb_codes,
+    nearest,
+    packing,
+    pseudonyms,
+    quality,
+    simhash,
+    token_automaton,
+    warc,
+    wrappers,
+)
 from reviewlens.llm.common import held_out, table
 
 
@@ -81,6 +94,21 @@ def op10_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_limb_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = limb_codes.compressed(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def op13_token_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read_back = token_automaton.decode(token_automaton.encode(table(spark, sf_dir, "documents")))
+    return read_back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wrapper_text": op1_wrapper_text,
     "op2_warc_transactions": op2_warc_transactions,
@@ -92,7 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_least_squares_packing": op8_least_squares_packing,
     "op9_covering_simhash": op9_covering_simhash,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
+    "op11_limb_codes": op11_limb_codes,
+    "op13_token_automaton": op13_token_automaton,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_limb_codes": limb_codes.SQL}
