@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reviewlens.llm import (
+    ball_trees,
     byte_pairs,
     caps,
     language,
@@ -99,6 +100,10 @@ def op11_limb_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
 
 
+def op12_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_trees.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     read_back = token_automaton.decode(token_automaton.encode(table(spark, sf_dir, "documents")))
     return read_back.select(
@@ -121,8 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_covering_simhash": op9_covering_simhash,
     "op10_hyperdimensional_language": op10_hyperdimensional_language,
     "op11_limb_codes": op11_limb_codes,
+    "op12_ball_tree_search": op12_ball_tree_search,
     "op13_token_automaton": op13_token_automaton,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op11_limb_codes": limb_codes.SQL}
+ORACLES: dict[str, str] = {"op11_limb_codes": limb_codes.SQL, "op12_ball_tree_search": ball_trees.SQL}
