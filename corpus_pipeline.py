@@ -6,12 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import language, near_copies, packing, pseudonyms, quality
+from reviewlens.llm import language, packing, pseudonyms, quality, simhash
 from reviewlens.llm.common import held_out, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document of label 1 scores near 1; below this one it is rejected.
 QUALITY = 0.7
+#: Shingle length and bit distance of the SimHash stage, as its operator's contract has them.
+SIMHASH_SHINGLE = 3
+SIMHASH_RADIUS = 2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +33,11 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies, and one row of it.
 
-    Near copies share at least four fifths of their five-word shingles. Documents without an id stay,
-    since no other can be told to stand for them.
+    Near copies have fingerprints of three-word shingles that differ in at most two bits. Documents
+    without an id stay, since no other can be told to stand for them.
     """
-    copies = near_copies.grouped(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    groups = simhash.grouped(docs.select("doc_id", "text"), SIMHASH_RADIUS, SIMHASH_SHINGLE)
+    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
     rest = docs.select(*COLUMNS).join(copies, "doc_id", "left_anti")
     return rest.dropDuplicates(["doc_id", "text"])
 
