@@ -6,7 +6,8 @@ accepted: its byte-pair encoding. It starts as one state with an arc for every l
 of u lead to the copy, and every state that had an arc of u gets an arc of uv to where v led. So all
 arcs of a token lead to one state, and a state's arcs are those of the state it was copied from,
 less one: the table stores, per state, that one difference, and an arc of a merged token by the
-arc of its left part. Looked-up arcs are remembered in a plain table.
+arc of its left part. Looked-up arcs are remembered in a plain table. A merge whose v may no longer
+follow u never happens and makes no gadget.
 
 A word is encoded by following arcs from every place that a path has reached. Every prefix of a
 word has one path, so each place is reached once and the work is linear in the word. Decoding emits
@@ -45,7 +46,7 @@ _NEVER = 1 << 60
 
 
 class Automaton:
-    """States are numbered by the gadget that made them: state k + 1 comes from merge k."""
+    """States are numbered by the gadget that made them: state k + 1 comes from gadget k."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         self.suffix = suffix
@@ -59,10 +60,15 @@ class Automaton:
         self.left = [-1] * size
         self.copied_from, self.removed = [0], [-1]
         spelling: dict[int, tuple[int, ...]] = {at: (at,) for at in self.letters.values()}
-        for gadget, (left, right) in enumerate(merges):
+        never: set[int] = set()
+        for number, (left, right) in enumerate(merges):
             u, v, uv = vocab[left], vocab[right], vocab[left + right]
-            if u not in spelling or v not in spelling or uv in spelling:
-                raise ValueError(f"merge {gadget} does not make a new token of two earlier ones")
+            if not {u, v} <= spelling.keys() | never or uv in spelling or uv in never:
+                raise ValueError(f"merge {number} does not make a new token of two earlier ones")
+            if u in never or v in never or not self.has_arc(self.target[u], v):
+                never.add(uv)
+                continue
+            gadget = len(self.copied_from) - 1
             spelling[uv] = spelling[u] + spelling[v]
             self.born[uv], self.left[uv], self.target[uv] = gadget, u, self.target[v]
             self.copied_from.append(self.target[u])
