@@ -7,7 +7,7 @@ per capture.
 
 Null html is an empty payload. Several rows with one page_id are several captures. Any text may be
 in url and html: a header value is percent-coded where it holds control characters. A null page_id
-is written as ``-1``... and read back as null. An empty table gives an archive without records.
+is written as ``-`` and read back as null. A page must fit in a task's memory. An empty table gives an archive without records.
 Extra columns are ignored.
 """
 
@@ -16,17 +16,22 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import new_folder
+from reviewlens.llm.common import new_folder, stored
 
 END = "\r\n"
 #: Records of equal payloads are dealt over this many groups when they look up their response.
 SPREAD = 32
-PAGES_PER_FILE = 2_000
+#: Repeated payloads (a digest and a number each) that are broadcast: some 30 MB.
+FEW = 300_000
+#: Payload bytes of an archive, by the mean of all pages; records handed on at a time.
+ARCHIVE_BYTES = 64_000_000
+BATCH_ROWS, BATCH_BYTES = 500, 8_000_000
 WRITTEN_AT = "2020-01-01T00:00:00Z"
 
 RECORDS = (
@@ -42,35 +47,33 @@ def payloads(pages: DataFrame) -> DataFrame:
 
 
 def base32(hexadecimal):
-    """Base32 of 40 hexadecimal digits: five bits a letter, four groups of ten digits."""
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    out = []
-    for start in range(0, 40, 10):
-        group = F.conv(F.substring(hexadecimal, start + 1, 10), 16, 10).cast("long")
-        for shift in range(35, -1, -5):
-            at = F.shiftright(group, shift).bitwiseAND(31).cast("int") + 1
-            out.append(F.substring(F.lit(letters), at, F.lit(1)))
-    return F.concat(*out)
-
-
-def with_response(captures: DataFrame) -> DataFrame:
+    """Base32 of 40 hexadecimal digits: each ten are eight digits of five bits."""
+    digits, letters = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    groups = [F.lpad(F.conv(F.substring(hexadecimal, start + 1, 10), 16, 32), 8, "0") for start in range(0, 40, 10)]
+    return F.translate(F.concat(*groups), digits, letters)
+
+
+def with_response(captures: DataFrame, few: int = FEW) -> DataFrame:
     """Adds ``response_page``: of equal payloads, the largest page_id.
 
-    Maxima are formed before the shuffle. Only payloads that occur more than once are looked up,
-    each copied to every group its records are dealt over, so a frequent payload is no hot key.
+    Payloads that occur more than once are found by digest alone, with maxima formed before the
+    shuffle. Up to ``few`` of them go to every task and no page is shuffled; more are joined, each
+    copied to every group its records are dealt over, so a frequent payload is no hot key.
     """
-    repeated = (
+    repeated = stored(
         captures.groupBy("digest")
         .agg(F.max("page_id").alias("response_page"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("digest", "response_page", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
-    )
-    dealt = captures.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)).cast("int"))
-    return (
-        dealt.join(repeated, ["digest", "part"], "left")
-        .withColumn("response_page", F.coalesce("response_page", "page_id"))
-        .drop("part")
+        .select("digest", "response_page"),
+        "repeated",
     )
+    if repeated.count() <= few:
+        found = captures.join(F.broadcast(repeated), "digest", "left")
+    else:
+        dealt = captures.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)).cast("int"))
+        spread = repeated.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        found = dealt.join(spread, ["digest", "part"], "left").drop("part")
+    return found.withColumn("response_page", F.coalesce("response_page", "page_id"))
 
 
 def _identifier(kind: str, page):
@@ -148,35 +151,36 @@ def record_texts(captures: DataFrame) -> DataFrame:
     return captures.select(F.explode(records).alias("value"))
 
 
-def write(pages: DataFrame, folder: str, pages_per_file: int = PAGES_PER_FILE) -> None:
+def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write compressed archives with Spark's own committer, so a lost task leaves no half file.
 
-    A record ends with an empty line and one more, which is the line end Spark writes per row.
+    A record ends with an empty line and one more, which is the line end Spark writes per row. A file
+    holds as many pages as make ``archive_bytes`` on average.
     """
+    mean = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 1.0
     record_texts(with_response(payloads(pages))).write.option("lineSep", END + END).option(
-        "maxRecordsPerFile", 3 * pages_per_file
+        "maxRecordsPerFile", 3 * max(1, int(archive_bytes / max(mean, 1.0)))
     ).option("compression", "gzip").text(folder)
 
 
 def parse(data: bytes):
-    """Records of one archive, by their stated lengths, as tuples of :data:`RECORDS`."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8").split(END)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+    """Records of one archive, by their stated lengths, as tuples of :data:`RECORDS`. The archive is
+    unpacked as it is read: memory holds the packed archive and one record."""
+    packed = io.BytesIO(data)
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=packed), 1 << 16) if data[:2] == b"\x1f\x8b" else packed
+    number = 0
+    while first := stream.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no record after {number} records")
         headers: dict[str, list[str]] = {}
-        for line in lines[1:]:
-            name, _, value = line.partition(":")
+        while (line := stream.readline()) not in (b"\r\n", b""):
+            name, _, value = line.decode("utf-8").partition(":")
             headers.setdefault(name.lower(), []).append(value.strip())
         size = int(headers["content-length"][0])
-        block = data[stop + 4 : stop + 4 + size]
-        if len(block) < size or data[stop + 4 + size : stop + 8 + size] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} is cut short")
-        at = stop + 8 + size
+        block = stream.read(size)
+        if len(block) < size or stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record after {number} records is cut short")
+        number += 1
         one = lambda name: headers.get(name, [None])[0]
         kind, fields, payload = one("warc-type"), None, None
         if one("content-type") == "application/warc-fields":
@@ -202,13 +206,15 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         for batch in stream:
             for content in batch["content"]:
                 rows: list[tuple] = []
+                held = 0
                 for row in parse(content.as_py()):
                     if row[9] is not None and row[6] is not None and row[6] != _digest(row[9]):
                         raise ValueError(f"payload of {row[1]} does not match its digest")
                     rows.append(row)
-                    if len(rows) == 500:
+                    held += len(row[9] or b"")
+                    if len(rows) == BATCH_ROWS or held > BATCH_BYTES:
                         yield _batch(rows)
-                        rows = []
+                        rows, held = [], 0
                 yield _batch(rows)
 
     def _batch(rows):
