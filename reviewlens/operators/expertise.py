@@ -8,12 +8,13 @@ from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators import metrics
+from reviewlens.operators import logistic, metrics
 from reviewlens.operators.scale import cut_lineage
 
 # Model inputs in the order of the vector, and the categories that are modelled.
@@ -31,6 +32,8 @@ INPUTS = [
 ]
 CATEGORIES = ["Restaurants", "Shopping", "Beauty and Spa", "Health and Medical"]
 SPLIT_SEED = 11
+PENALTIES = [0.1, 0.01]
+FOLDS = 2
 
 
 def assembled(features: DataFrame, keep_nulls: bool = False) -> DataFrame:
@@ -57,13 +60,9 @@ def training_rows(features: DataFrame, category: str | None = None) -> DataFrame
     """
     chosen = features if category is None else features.where(F.col("category") == category)
     narrow = chosen.select("user_id", "category", "elite", "elite_cat", *INPUTS)
-    names = ["user_id", "category", "elite", "elite_cat"]
-    lacking = reduce(lambda one, two: one | two, [F.col(name).isNull() for name in INPUTS])
-    whole = with_split(assembled(narrow)).select(*names, "features", "is_train")
-    rest = with_split(narrow.where(lacking)).select(
-        *names, F.lit(None).cast(whole.schema["features"].dataType).alias("features"), "is_train"
-    )
-    return cut_lineage(whole.union(rest))
+    whole = reduce(lambda one, two: one & two, [F.col(name).isNotNull() for name in INPUTS])
+    rows = with_split(assembled(narrow, keep_nulls=True)).withColumn("features", F.when(whole, F.col("features")))
+    return cut_lineage(rows.select("user_id", "category", "elite", "elite_cat", "features", "is_train"))
 
 
 def train_part(rows: DataFrame) -> DataFrame:
@@ -107,18 +106,63 @@ def fit_logistic(train: DataFrame) -> Model:
 def fit_logistic_folds(train: DataFrame) -> CrossValidatorModel:
     """Choice between two penalties by F1 over two folds, the folds set by user id."""
     model = LogisticRegression(maxIter=10)
-    grid = ParamGridBuilder().addGrid(model.regParam, [0.1, 0.01]).build()
-    fold = F.pmod(F.xxhash64("user_id", F.lit(SPLIT_SEED + 1)), F.lit(2)).cast("int")
+    grid = ParamGridBuilder().addGrid(model.regParam, PENALTIES).build()
+    fold = F.pmod(F.xxhash64("user_id", F.lit(SPLIT_SEED + 1)), F.lit(FOLDS)).cast("int")
     return CrossValidator(
         estimator=Pipeline(stages=[model]),
         estimatorParamMaps=grid,
         evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-        numFolds=2,
+        numFolds=FOLDS,
         foldCol="fold",
         parallelism=2,
     ).fit(_class_rows(train).withColumn("fold", fold))
 
 
+def class_inputs(rows: DataFrame) -> DataFrame:
+    """Training rows as :mod:`logistic` takes them: category, label, x, and the fold of the user."""
+    fold = F.pmod(F.xxhash64("user_id", F.lit(SPLIT_SEED + 1)), F.lit(FOLDS)).cast("int")
+    return train_part(rows).select(
+        "category", F.col("elite_cat").cast("int").alias("label"), vector_to_array("features").alias("x"), fold.alias("fold")
+    )
+
+
+def folds_together(rows: DataFrame) -> DataFrame:
+    """(category, reg_param, avg_f1): the cross-validation of all categories at once, each model
+    brought to its optimum; the weighted F1 of the left-out folds, averaged."""
+    inputs = cut_lineage(class_inputs(rows))
+    found = logistic.fit_together(inputs, PENALTIES, FOLDS)
+    scored = logistic.predicted(inputs, found).where("left_out = fold")
+    of_fold = metrics.weighted_f1(scored, "category", "reg_param", "left_out")
+    return of_fold.groupBy("category", "reg_param").agg(F.avg("weighted_f1").alias("avg_f1"))
+
+
+def leaf_checks(train: DataFrame, model: Model) -> DataFrame:
+    """(leaf, rows, label_sum, prediction, mean): a regression tree's leaves with what it predicts
+    there and the mean label of the training rows that reach them."""
+    tree = model.stages[-1].copy().setLeafCol("leaf")
+    return (
+        tree.transform(train)
+        .groupBy("leaf")
+        .agg(
+            F.count("*").alias("rows"),
+            F.sum("elite").alias("label_sum"),
+            F.min("prediction").alias("prediction"),
+            F.max("prediction").alias("most"),
+        )
+        .withColumn("mean", F.col("label_sum") / F.col("rows"))
+    )
+
+
+def forest_checks(rows: DataFrame, model: Model) -> DataFrame:
+    """Each row's forest prediction and the mean of its trees' predictions."""
+    scored = model.transform(rows)
+    trees = []
+    for number, tree in enumerate(model.trees):
+        scored = tree.copy().setPredictionCol(f"tree{number}").transform(scored)
+        trees.append(F.col(f"tree{number}"))
+    return scored.select("user_id", "category", "prediction", (reduce(lambda a, b: a + b, trees) / len(trees)).alias("mean"))
+
+
 def fold_metrics(model: CrossValidatorModel) -> list[tuple[float, float]]:
     """(penalty, mean F1) per grid entry."""
     return [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from reviewlens.operators import (
     expertise,
     features,
     locality,
+    logistic,
     metrics,
     mixture,
     scoring,
@@ -628,3 +630,58 @@ def category_predictions(t: Tables) -> DataFrame:
 @_query
 def all_category_predictions(t: Tables) -> DataFrame:
     return expertise.all_category_predictions(_training_rows(t, None))
+
+
+# --- what the fitted models must satisfy -----------------------------------------------------
+
+
+def _by_category(t: Tables, check) -> DataFrame:
+    """Rows of ``check(training rows, category)`` for every modelled category."""
+    train = cut_lineage(expertise.train_part(_training_rows(t, None)))
+    found = [check(train.where(F.col("category") == c)).withColumn("category", F.lit(c)) for c in expertise.CATEGORIES]
+    return reduce(DataFrame.union, found)
+
+
+@_query
+def tree_leaf_means(t: Tables) -> DataFrame:
+    """Per category the training rows, their labels as the tree's leaves give them back (prediction
+    times rows), and the leaves that do not predict the mean of their rows."""
+
+    def check(train: DataFrame) -> DataFrame:
+        leaves = expertise.leaf_checks(train, expertise.fit_tree(train))
+        wrong = (F.abs(F.col("prediction") - F.col("mean")) > 1e-9) | (F.col("prediction") != F.col("most"))
+        return leaves.agg(
+            F.sum("rows").alias("train_rows"),
+            F.round(F.sum(F.col("prediction") * F.col("rows")), 6).alias("label_sum"),
+            F.count_if(wrong).alias("wrong_leaves"),
+        )
+
+    return _by_category(t, check)
+
+
+@_query
+def forest_tree_means(t: Tables) -> DataFrame:
+    """Per category the training rows, and those whose forest prediction is not the mean of its trees'."""
+
+    def check(train: DataFrame) -> DataFrame:
+        rows = expertise.forest_checks(train, expertise.fit_forest(train))
+        wrong = F.count_if(F.abs(F.col("prediction") - F.col("mean")) > 1e-9)
+        return rows.agg(F.count("*").alias("train_rows"), wrong.alias("wrong_rows"))
+
+    return _by_category(t, check)
+
+
+@_query
+def logistic_gradient(t: Tables) -> DataFrame:
+    """Per category, penalty, class and input (10 is the intercept) what the gradient sets against the
+    model: the input summed over the class's training rows; and whether the slope there is zero."""
+    inputs = cut_lineage(expertise.class_inputs(_training_rows(t, None)))
+    found = logistic.moments(inputs, logistic.fit_together(inputs, expertise.PENALTIES))
+    flat = (F.abs("slope") <= 1e-7).cast("int").alias("flat")
+    return found.select("category", "reg_param", "class", "input", F.round("observed", 4).alias("observed"), flat)
+
+
+@_query
+def lr_cv_together(t: Tables) -> DataFrame:
+    """Cross-validated F1 of every category and penalty, all models fitted together."""
+    return _rounded(expertise.folds_together(_training_rows(t, None)))

@@ -463,6 +463,24 @@ GROUP BY category""",
 }
 
 
+_VIEWS["fx_train"] = """
+SELECT * FROM fx_features WHERE months_yelping IS NOT NULL
+ AND CAST('0x' || substr(md5(concat(CAST(user_id AS VARCHAR), ':11')), 1, 8) AS BIGINT) % 10 < 7"""
+
+# A fitted tree's leaves hold all training rows, and their means give the labels' sum back.
+_BODIES["tree_leaf_means"] = """SELECT category, COUNT(*) AS train_rows, round(SUM(elite), 6) AS label_sum,
+ CAST(0 AS BIGINT) AS wrong_leaves FROM fx_train GROUP BY category"""
+_BODIES["forest_tree_means"] = """SELECT category, COUNT(*) AS train_rows, CAST(0 AS BIGINT) AS wrong_rows
+FROM fx_train GROUP BY category"""
+# The data's side of the gradient's equations, which a model at its optimum meets in every cell.
+_INPUTS = ("average_stars cat_avg_review_len cat_avg_stars cat_business_count cat_review_count months_yelping "
+           "review_count votes_cool votes_funny votes_useful 1").split()
+_BODIES["logistic_gradient"] = "SELECT category, reg_param, class, input, observed, 1 AS flat FROM (" + " UNION ALL ".join(
+    f"""SELECT category, elite_cat AS class, {i} AS input, round(SUM(CAST({name} AS DOUBLE)), 4) AS observed
+FROM fx_train GROUP BY category, elite_cat"""
+    for i, name in enumerate(_INPUTS)
+) + ") m, (VALUES (1e-1), (1e-2)) AS p(reg_param)"
+
 _BODIES["features_from_json"] = _BODIES["user_features"]
 _BODIES["rank_from_stored_centers"] = _BODIES["rank_businesses"]
 
