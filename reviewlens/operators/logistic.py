@@ -30,6 +30,8 @@ ROUNDS = 60
 #: Parts of a Newton step that a round tries together; without success a later round tries smaller ones.
 STEPS = (1.0, 0.25)
 LEAST_STEP = 1e-6
+#: An input whose variance is at most this share of its squared mean is a constant, up to rounding.
+CONSTANT = 1e-24
 #: Rows that a task holds as doubles at a time.
 BLOCK = 4096
 
@@ -110,6 +112,7 @@ def _models(rows: DataFrame, folds: int, penalties: list[float], width: int) ->
                 continue
             mean = sum(s[2] * s[3] for s in own) / n
             variance = sum(s[2] * (s[4] + (s[3] - mean) ** 2) for s in own) / max(1, n - 1)
+            variance[variance <= CONSTANT * mean**2] = 0.0
             classes = np.array(sorted({r["label"] for r in held if r["category"] == category and r["fold"] != left_out}))
             for penalty in penalties:
                 start = np.zeros((len(classes), width + 1))
@@ -237,7 +240,7 @@ def moments(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     """
     held = rows.select("category", F.col("label").cast("int").alias("label"), F.concat("x", F.array(F.lit(1.0))).alias("one_x"), "x")
     spread = held.select("category", F.posexplode("one_x").alias("input", "value")).groupBy("category", "input").agg(
-        F.count("*").alias("n"), F.var_samp("value").alias("variance")
+        F.count("*").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance")
     )
     scored = probabilities(held, coefficients.where("left_out = -1"))
     cells = scored.select("category", "reg_param", "label", "one_x", F.explode("classes").alias("c")).select(
@@ -249,7 +252,8 @@ def moments(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
         F.sum(F.col("p") * F.col("value")).alias("expected"),
         F.first(F.get("weights", F.col("input"))).alias("weight"),
     )
-    scale = F.when(F.col("variance") > 0, F.sqrt("variance")).otherwise(F.lit(1.0))
+    varies = F.col("variance") > CONSTANT * F.col("mean") * F.col("mean")
+    scale = F.when(varies, F.sqrt("variance")).otherwise(F.lit(1.0))
     gap = (F.col("expected") - F.col("observed")) / F.col("n")
     return (
         sums.join(spread, ["category", "input"])
