@@ -177,10 +177,17 @@ def linked(distinct: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> D
 
 def grouped(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links and component_id of every vector."""
-    distinct = stored(distinct_vectors(vectors), "vectors")
+    # A number of its own for each vector: an id may stand for several.
+    named = distinct_vectors(vectors).withColumnRenamed("rep", "first_id").withColumn("rep", F.monotonically_increasing_id())
+    distinct = stored(named, "vectors")
     found = stored(linked(distinct, cosine, block), "linked")
     others = found.groupBy("rep").agg(F.sum("linked").alias("others"))
     label_of = components(distinct.select(F.col("rep").alias("id")), found.select(F.col("rep").alias("left"), F.col("root").alias("right")))
+    smallest = (
+        label_of.join(distinct.select(F.col("rep").alias("id"), "first_id"), "id")
+        .groupBy("component_id").agg(F.min("first_id").alias("smallest"))
+    )
+    label_of = label_of.join(smallest, "component_id").select("id", F.col("smallest").alias("component_id"))
     result = (
         distinct.select("label", "twin", "rep", "copies")
         .join(others, "rep", "left")

@@ -148,6 +148,33 @@ def test_cap_filters_find_the_links_of_brute_force(spark):
     assert caps.grouped(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_one_id_with_several_vectors_and_repeated_rows(spark):
+    a, b = np.random.default_rng(1).normal(size=(2, 64))
+    vectors = [(1, a, 0), (1, b, 0), (2, a + b / 100, 0), (2, a + b / 100, 0), (3, b + a / 100, 0), (4, a, 1), (None, -a, 0)]
+    rows = [(i, v.tolist(), label) for i, v, label in vectors]
+    found = sorted((r.vec_id or 0, r.n_links, r.component_id) for r in caps.grouped(spark.createDataFrame(rows, VECTORS)).collect())
+    assert found == [(0, 0, None), (1, 1, 1), (1, 2, 1), (2, 2, 1), (2, 2, 1), (3, 1, 1), (4, 0, 4)]
+
+
+def test_op5_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    good, cosines = plain_cosines(rows)
+    links = [(good[a][0], good[b][0]) for a, b in zip(*np.nonzero(np.triu(cosines >= 0.93, 1))) if good[a][2] == good[b][2] is not None]
+    groups = closure([r[0] for r in rows], links)
+    assert {r.vec_id: r.component_id for r in queries.op5_cap_filters(spark, DATA).collect()} == groups
+
+
+def test_small_tables_give_all_candidates(spark):
+    rng = np.random.default_rng(0)
+    rows = [(int(i // 2), rng.normal(size=64).tolist(), 0) for i in range(4)] + [(9, [1.0, 2.0], 0)]
+    found = nearest.search(spark.createDataFrame(rows, VECTORS), F.lit(True)).collect()
+    assert sorted((r.query_id, r["rank"]) for r in found) == sorted((int(i // 2), j) for i in range(4) for j in (1, 2, 3))
+    for seed in range(3):
+        rng = np.random.default_rng(seed)
+        rows = [(i, rng.normal(size=64).tolist(), 0) for i in range(4)]
+        assert nearest.search(spark.createDataFrame(rows, VECTORS), F.lit(True)).count() == 12
+
+
 def test_list_decoding_finds_exactly_the_filters_above_the_threshold():
     rng = np.random.default_rng(1)
     rows = rng.normal(size=(20, 12))
@@ -229,6 +256,20 @@ def test_repeated_pages_are_several_captures(spark):
     assert warc.transactions(warc.read(spark, written(spark, rows))).count() == 3
 
 
+def test_many_repeated_payloads_are_joined(spark):
+    pages = warc.payloads(spark.createDataFrame([(i, "u", f"{i % 7}", "x", 1) for i in range(50)] + [(None, "u", "3", "x", 1)], PAGES))
+    for few in (0, 100):
+        found = warc.with_response(pages, few).collect()
+        assert len(found) == 51 and all(r.response_page == max(i for i in range(50) if i % 7 == int(r.payload)) for r in found)
+
+
+def test_archives_are_cut_by_bytes(spark):
+    folder = tempfile.mkdtemp(prefix="run-") + "/warc"
+    warc.write(spark.createDataFrame([(i, "u", f"{i}" * 100, "x", 1) for i in range(40)], PAGES).coalesce(1), folder, archive_bytes=2_000)
+    assert spark.read.format("binaryFile").load(folder).count() > 3
+    assert warc.transactions(warc.read(spark, folder)).count() == 40
+
+
 def written(spark, rows):
     folder = tempfile.mkdtemp(prefix="run-") + "/warc"
     warc.write(spark.createDataFrame(rows, PAGES), folder)
