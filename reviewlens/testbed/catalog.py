@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import geo, members
 from reviewlens.operators import (
+    agreement,
     checkins,
     cities,
     density,
@@ -405,6 +406,30 @@ def affinity_exemplars(t: Tables) -> DataFrame:
     return _rounded(home_areas.by_exemplars(t.review, t.business))
 
 
+@_query
+def clustering_agreement(t: Tables) -> DataFrame:
+    """Per user how well the density clusters hold together and how far they agree with the cities."""
+    labels = cut_lineage(density.density_labels(visits.user_places(t.review, t.business)))
+    cities_of = t.business.select(F.col("business_id").alias("place_id"), F.col("city").alias("two"))
+    pairs = labels.join(cities_of, "place_id").select("user_id", F.col("cluster_id").alias("one"), "two", "visits")
+    found = agreement.silhouettes(labels).join(agreement.adjusted_rand(pairs).drop("visits"), "user_id")
+    return _rounded(found, 4)
+
+
+@_query
+def center_agreement(t: Tables) -> DataFrame:
+    """Per user the silhouettes of density and mixture centres, each place at its nearest centre, and the
+    agreement of the two."""
+    places = cut_lineage(visits.user_places(t.review, t.business))
+    spot = ["user_id", "latitude", "longitude"]
+    dense = agreement.by_nearest_center(places, density.density_centers(density.density_labels(places)))
+    mixed = agreement.by_nearest_center(places, mixture.mixture_centers(mixture.mixture_models(places)))
+    dense, mixed = cut_lineage(dense), cut_lineage(mixed)
+    pairs = dense.select(*spot, "visits", F.col("cluster_id").alias("one")).join(mixed.select(*spot, F.col("cluster_id").alias("two")), spot)
+    shown = [agreement.silhouettes(rows).select("user_id", F.col("silhouette").alias(name)) for name, rows in (("density", dense), ("mixture", mixed))]
+    return _rounded(agreement.adjusted_rand(pairs).join(shown[0], "user_id").join(shown[1], "user_id"), 4)
+
+
 # --- ranking ---------------------------------------------------------------------------------
 
 

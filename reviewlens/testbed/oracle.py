@@ -463,6 +463,38 @@ GROUP BY category""",
 }
 
 
+_VIEWS["fx_axes"] = """
+SELECT *, cos(radians(latitude)) * cos(radians(longitude)) AS x, cos(radians(latitude)) * sin(radians(longitude)) AS y,
+ sin(radians(latitude)) AS z FROM fx_label WHERE cluster_id IS NOT NULL"""
+
+_VIEWS["fx_mass"] = """
+SELECT user_id, cluster_id, SUM(visits) AS n, SUM(visits * x) AS sx, SUM(visits * y) AS sy, SUM(visits * z) AS sz
+FROM fx_axes GROUP BY user_id, cluster_id"""
+
+_VIEWS["fx_silhouette"] = """
+SELECT user_id, CAST(SUM(visits) AS BIGINT) AS visits, MAX(others) + 1 AS clusters,
+ CASE WHEN MAX(others) > 0 THEN round(SUM(visits * (b - a) / greatest(a, b)) / SUM(visits), 4) END AS silhouette
+FROM (SELECT p.user_id, p.place_id, p.visits, COUNT(*) FILTER (m.cluster_id <> p.cluster_id) AS others,
+  MIN(CASE WHEN m.cluster_id <> p.cluster_id THEN 2e0 - 2e0 * (p.x * sx + p.y * sy + p.z * sz) / n END) AS b,
+  MIN(CASE WHEN m.cluster_id = p.cluster_id THEN (2e0 * n - 2e0 * (p.x * sx + p.y * sy + p.z * sz)) / (n - 1) END) AS a
+ FROM fx_axes p JOIN fx_mass m ON m.user_id = p.user_id GROUP BY p.user_id, p.place_id, p.visits)
+GROUP BY user_id"""
+
+_VIEWS["fx_shared"] = """
+SELECT l.user_id, l.cluster_id, b.city, CAST(SUM(l.visits) AS DOUBLE) AS n FROM fx_label l
+JOIN fx_business b ON b.business_id = l.place_id WHERE l.cluster_id IS NOT NULL
+GROUP BY l.user_id, l.cluster_id, b.city"""
+
+_BODIES["clustering_agreement"] = """SELECT s.user_id, s.clusters, s.visits, s.silhouette,
+ CASE WHEN (o + c) / 2 = o * c / w THEN 1e0 ELSE round((i - o * c / w) / ((o + c) / 2 - o * c / w), 4) END AS adjusted_rand
+FROM fx_silhouette s
+JOIN (SELECT user_id, SUM(n * (n - 1) / 2) AS i, SUM(n) * (SUM(n) - 1) / 2 AS w FROM fx_shared GROUP BY user_id) h
+ ON h.user_id = s.user_id
+JOIN (SELECT user_id, SUM(n * (n - 1) / 2) AS o FROM (SELECT user_id, SUM(n) AS n FROM fx_shared
+ GROUP BY user_id, cluster_id) GROUP BY user_id) one ON one.user_id = s.user_id
+JOIN (SELECT user_id, SUM(n * (n - 1) / 2) AS c FROM (SELECT user_id, SUM(n) AS n FROM fx_shared
+ GROUP BY user_id, city) GROUP BY user_id) two ON two.user_id = s.user_id"""
+
 _VIEWS["fx_train"] = """
 SELECT * FROM fx_features WHERE months_yelping IS NOT NULL
  AND CAST('0x' || substr(md5(concat(CAST(user_id AS VARCHAR), ':11')), 1, 8) AS BIGINT) % 10 < 7"""
