@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reviewlens.operators import density, exemplars, mixture
 from reviewlens.operators.scale import cut_lineage
@@ -34,6 +35,32 @@ def of_raters(
     return by_density(review.join(users, "user_id", "left_semi"), business, eps_miles, min_visits)
 
 
+def versioned(centers: DataFrame, version: int) -> DataFrame:
+    """Centres as a table that is kept: ``version`` is the run that found a user's centres."""
+    return centers.withColumn("version", F.lit(version))
+
+
+def refreshed(
+    kept: DataFrame,
+    arrived: DataFrame,
+    review: DataFrame,
+    business: DataFrame,
+    version: int,
+    eps_miles: float = 4.0,
+    min_visits: int = 5,
+) -> DataFrame:
+    """The kept centres brought up to date after reviews ``arrived``, which ``review`` holds too.
+
+    A user's centres hang on the user's own reviews only, so just the users with new reviews are
+    clustered again, over all their reviews; the others' rows stay as they are, with their version.
+    The work is that of the users with news, and the result that of :func:`by_density` over all.
+    """
+    users = cut_lineage(arrived.select("user_id").where(F.col("user_id").isNotNull()).distinct())
+    own = review.join(users, "user_id", "left_semi")
+    fresh = versioned(by_density(own, business, eps_miles, min_visits), version)
+    return kept.join(users, "user_id", "left_anti").unionByName(fresh)
+
+
 def by_mixture(review: DataFrame, business: DataFrame, max_rounds: int = 100) -> DataFrame:
     models = mixture.mixture_models(user_places(review, business), max_rounds=max_rounds)
     return mixture.mixture_centers(models)

@@ -406,6 +406,16 @@ def affinity_exemplars(t: Tables) -> DataFrame:
     return _rounded(home_areas.by_exemplars(t.review, t.business))
 
 
+@_query
+def dbscan_centers_refreshed(t: Tables) -> DataFrame:
+    """Centres kept from earlier reviews and brought up to date: half the reviews of every fifth user
+    are new."""
+    new = (F.col("user_id") % 5 == 0) & (F.col("business_id") % 2 == 0)
+    kept = cut_lineage(home_areas.versioned(home_areas.by_density(t.review.where(~new), t.business), 1))
+    found = home_areas.refreshed(kept, t.review.where(new), t.review, t.business, 2)
+    return _rounded(found.select("user_id", "cluster_id", "latitude", "longitude"))
+
+
 @_query
 def clustering_agreement(t: Tables) -> DataFrame:
     """Per user how well the density clusters hold together and how far they agree with the cities."""

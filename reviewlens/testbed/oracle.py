@@ -514,6 +514,7 @@ FROM fx_train GROUP BY category, elite_cat"""
 ) + ") m, (VALUES (1e-1), (1e-2)) AS p(reg_param)"
 
 _BODIES["features_from_json"] = _BODIES["user_features"]
+_BODIES["dbscan_centers_refreshed"] = _BODIES["dbscan_centers"]
 _BODIES["rank_from_stored_centers"] = _BODIES["rank_businesses"]
 
 

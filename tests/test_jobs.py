@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewlens import schemas
 from reviewlens.operators import checkins, expertise, features, locality, metrics, scale, visits
 from reviewlens.plans import features as feature_plans
-from reviewlens.plans import ranking
+from reviewlens.plans import home_areas, ranking
 from reviewlens.testbed import catalog
 from reviewlens.testbed.tables import AS_OF, CENTER, Tables
 
@@ -272,3 +272,15 @@ def test_scoring_keeps_users_with_null_inputs(spark):
     scored = expertise.category_predictions(expertise.training_rows(changed), "Shopping").collect()
     assert len(scored) == features.count()
     assert [r["user_id"] for r in scored if r["prediction"] is None] == [one]
+
+
+def test_only_users_with_new_reviews_are_clustered_again(spark):
+    t = Tables(spark, SF_DIR)
+    kept = home_areas.versioned(home_areas.by_density(t.review, t.business), 1).withColumn("latitude", F.lit(0.0))
+    kept = scale.cut_lineage(kept)
+    one = kept.agg(F.min("user_id")).first()[0]
+    arrived = t.review.where(F.col("user_id") == one).limit(1)
+    found = home_areas.refreshed(kept, arrived, t.review, t.business, 2).collect()
+    assert {r["user_id"] for r in found if r["version"] == 2} == {one}
+    assert all((r["latitude"] == 0.0) == (r["version"] == 1) for r in found)
+    assert len(found) == kept.count()
