@@ -15,8 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset, one beside the warehouse."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, one beside the warehouse, which
+    only a session within one process may do."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not named and not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_steps"
 
 
