@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions import members
+from reviewlens.operators.scale import broadcast_if_small, cut_lineage
 from reviewlens.sources.taxonomy import category_key
 
 
@@ -55,17 +56,24 @@ def user_business_reviews(review: DataFrame) -> DataFrame:
 
 
 def user_category_agg(
-    review: DataFrame, category_of_business: DataFrame, dedupe: bool = True
+    review: DataFrame,
+    category_of_business: DataFrame,
+    dedupe: bool = True,
+    keep_layout: bool = False,
 ) -> DataFrame:
     """Businesses, reviews, mean length and mean stars per user and category.
 
     With ``dedupe`` a business counts once per category however many of its sub-categories
     match. Without it every match counts, which weights the review count and both means but
     not the number of businesses. Sums are whole numbers, so results do not depend on order.
+    ``keep_layout``, for reviews in buckets of the user: the matches are counted first and, where
+    they are few enough, broadcast, so the pairs of a user stay where they are.
     """
     matches = category_of_business.groupBy("business_id", "category").agg(
         F.count("*").alias("matches")
     )
+    if keep_layout:
+        matches = broadcast_if_small(cut_lineage(matches))
     times = F.lit(1) if dedupe else F.col("matches")
     pairs = user_business_reviews(with_review_length(review)).join(matches, "business_id")
     sums = pairs.groupBy("user_id", "category").agg(

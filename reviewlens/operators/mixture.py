@@ -252,3 +252,33 @@ def mixture_centers(models: DataFrame) -> DataFrame:
     return best.select(
         "user_id", F.explode(F.slice(means, F.lit(1), F.col("best.k"))).alias("m")
     ).select("user_id", "m.component", "m.latitude", "m.longitude")
+
+
+def model_checks(places: DataFrame, models: DataFrame) -> DataFrame:
+    """Per model what its places say of it: the mean place, and ``ll`` computed anew.
+
+    ``latitude`` and ``longitude`` are the means of the mixture; after a round of the fit they equal
+    the visit-weighted mean of the user's places, however many components there are.
+    """
+    parts = F.array(
+        *(F.struct(*(F.col(f"{name}{c}").alias(name) for name in ("share", "lat", "lon", "var"))) for c in _SLOTS)
+    )
+    stated = models.select("user_id", "k", "ll", F.filter(parts, lambda p: p["share"] > 0).alias("parts"))
+
+    def log_density(p: Column) -> Column:
+        square = F.pow(F.col("latitude") - p["lat"], 2) + F.pow(F.col("longitude") - p["lon"], 2)
+        return F.ln(p["share"] / (p["var"] * (2.0 * math.pi))) - square / (p["var"] * 2)
+
+    def total(field: str) -> Column:
+        return F.aggregate("parts", F.lit(0.0), lambda sum_, p: sum_ + p["share"] * p[field])
+
+    rows = places.select("user_id", "latitude", "longitude", "visits").join(stated, "user_id")
+    rows = rows.withColumn("logs", F.transform("parts", log_density)).withColumn("top", F.array_max("logs"))
+    mass = F.aggregate("logs", F.lit(0.0), lambda sum_, one: sum_ + F.exp(one - F.col("top")))
+    found = rows.groupBy("user_id", "k").agg(
+        F.sum("visits").alias("visits"),
+        (F.sum(F.col("visits") * (F.col("top") + F.ln(mass))) / F.sum("visits")).alias("found_ll"),
+    )
+    return stated.select("user_id", "k", "ll", total("lat").alias("latitude"), total("lon").alias("longitude")).join(
+        found, ["user_id", "k"]
+    )

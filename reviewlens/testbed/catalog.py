@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlens import schemas
 from reviewlens.functions import geo, members
 from reviewlens.operators import (
     agreement,
@@ -20,14 +22,16 @@ from reviewlens.operators import (
     features,
     locality,
     logistic,
+    merging,
     metrics,
     mixture,
     scoring,
     visits,
 )
-from reviewlens.operators.scale import cut_lineage
+from reviewlens.operators.scale import cut_lineage, shared_folder
 from reviewlens.plans import features as feature_plans
 from reviewlens.plans import home_areas, ranking
+from reviewlens.sources import layouts, ledger
 from reviewlens.sources import taxonomy as tax
 from reviewlens.sources.readers import predictions_for_category
 from reviewlens.sources.sinks import as_json_lines
@@ -720,3 +724,79 @@ def logistic_gradient(t: Tables) -> DataFrame:
 def lr_cv_together(t: Tables) -> DataFrame:
     """Cross-validated F1 of every category and penalty, all models fitted together."""
     return _rounded(expertise.folds_together(_training_rows(t, None)))
+
+
+# --- stored layouts, states and ledgers ------------------------------------------------------
+
+
+def _new_path(t: Tables, what: str) -> str:
+    return f"{shared_folder(t.spark)}/{what}-{uuid.uuid4().hex}"
+
+
+@_query
+def user_category_merged(t: Tables) -> DataFrame:
+    """Counts of three parts of the reviews, each taken in once, by merging their states."""
+    rows, numbers = business_category_exploded(t), merging.business_numbers(t.business)
+    part = F.pmod(F.xxhash64(*t.review.columns), F.lit(3))
+    dealt = cut_lineage(t.review.withColumn("part", part))
+    states = [
+        cut_lineage(merging.state_of(dealt.where(F.col("part") == n), rows, numbers)) for n in range(3)
+    ]
+    return _rounded(merging.user_category_agg(merging.merged(*states)))
+
+
+@_query
+def user_features_co_located(t: Tables) -> DataFrame:
+    """The features from reviews and users in buckets of the user."""
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    found = [
+        feature_plans.user_features(t.business, review, user, t.taxonomy, AS_OF, keep_layout=True)
+        for review, user in feature_plans.co_located(t.review, t.user, buckets)
+    ]
+    return _rounded(reduce(DataFrame.unionByName, found))
+
+
+@_query
+def local_businesses_in_place_order(t: Tables) -> DataFrame:
+    """The businesses near a point from a table laid out along the Z curve."""
+    path = _new_path(t, "business-in-place-order")
+    layouts.write_in_place_order(t.business, path)
+    stored = t.spark.read.schema(t.business.schema).parquet(path)
+    return locality.local_businesses(stored, tax.membership(t.taxonomy), CATEGORY, CENTER, RADIUS)
+
+
+@_query
+def review_ledger(t: Tables) -> DataFrame:
+    """Reviews per user read back from JSON lines, where the lines of each seventh user are broken
+    off: their good or bad rows, the stars of the good ones, and the counts of the whole intake."""
+    source, target = _new_path(t, "review-lines"), _new_path(t, "review-ledger")
+    whole = F.to_json(F.struct("*"))
+    broken = F.substring(whole, F.lit(1), F.length(whole) - 3)
+    t.review.select(F.when(F.col("user_id") % 7 == 0, broken).otherwise(whole).alias("value")).write.text(source)
+    found = ledger.take_in(t.spark, source, target, schemas.REVIEW)
+    good = found.good.groupBy(F.col("user_id").cast("long").alias("user_id")).agg(
+        F.lit("good").alias("kind"), F.count("*").alias("reviews"), F.sum("stars").alias("stars")
+    )
+    of_line = F.regexp_extract("line", '"user_id":"?([0-9]+)', 1).cast("long")
+    bad = found.bad.groupBy(of_line.alias("user_id")).agg(
+        F.lit("bad").alias("kind"), F.count("*").alias("reviews"), F.lit(None).cast("long").alias("stars")
+    )
+    return good.unionByName(bad).withColumns(
+        {"good_rows": F.lit(found.good_rows), "bad_rows": F.lit(found.bad_rows)}
+    )
+
+
+@_query
+def gmm_moments(t: Tables) -> DataFrame:
+    """Per user and number of components the mean of the fitted mixture, which must be that of the
+    user's places, and whether the places give the log-likelihood the model states."""
+    places = cut_lineage(visits.user_places(t.review, t.business))
+    found = mixture.model_checks(places, mixture.mixture_models(places))
+    return found.select(
+        "user_id",
+        "k",
+        "visits",
+        F.round(F.radians("latitude"), 5).alias("latitude"),
+        F.round(F.radians("longitude"), 5).alias("longitude"),
+        (F.abs(F.col("ll") - F.col("found_ll")) < 1e-6).cast("int").alias("as_stated"),
+    )

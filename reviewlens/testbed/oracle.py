@@ -513,7 +513,19 @@ FROM fx_train GROUP BY category, elite_cat"""
     for i, name in enumerate(_INPUTS)
 ) + ") m, (VALUES (1e-1), (1e-2)) AS p(reg_param)"
 
+_BODIES["review_ledger"] = """SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'bad' ELSE 'good' END AS kind,
+ COUNT(*) AS reviews, CAST(SUM(CASE WHEN user_id % 7 <> 0 THEN stars END) AS BIGINT) AS stars,
+ (SELECT COUNT(*) FROM fx_review WHERE user_id % 7 <> 0) AS good_rows,
+ (SELECT COUNT(*) FROM fx_review WHERE user_id % 7 = 0) AS bad_rows
+FROM fx_review GROUP BY user_id"""
+# The mean of a fitted mixture is the mean of its data, however many components there are.
+_BODIES["gmm_moments"] = """SELECT user_id, CAST(k AS INT) AS k, CAST(n AS BIGINT) AS visits,
+ round(radians(latitude), 5) AS latitude, round(radians(longitude), 5) AS longitude, 1 AS as_stated
+FROM fx_k1, (VALUES (1), (2), (3), (4)) AS c(k)"""
 _BODIES["features_from_json"] = _BODIES["user_features"]
+_BODIES["user_category_merged"] = _BODIES["user_category_agg"]
+_BODIES["user_features_co_located"] = _BODIES["user_features"]
+_BODIES["local_businesses_in_place_order"] = _BODIES["local_businesses"]
 _BODIES["dbscan_centers_refreshed"] = _BODIES["dbscan_centers"]
 _BODIES["rank_from_stored_centers"] = _BODIES["rank_businesses"]
 
