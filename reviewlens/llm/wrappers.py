@@ -8,9 +8,14 @@ their wrappers are aligned in two steps; a wrapper covers every page of its host
 counts the pages that have each part. A page is then
 aligned with its host's wrapper, and the texts that meet main slots are its main text.
 
-Main slots lie inside an article or main element, where the wrapper has one on the page, and else in
-the body where the text is no template text. Never inside menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or comments, known by element, role or class.
+The wrapper says where main slots lie: article and main elements, or the body around them, whichever has
+the longer slot text over all pages of the host, the body's counting half. (Where no place varies, as on a host
+of one page, all its text counts.) So an article element that only holds a teaser does not hide the
+article. A page without text there gives the text of the other region. Never main are menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and comments, known by element, role or class, and
+template text: in the body always, in article and main elements where the host has ``EVIDENCE`` pages or
+more and template text is at most a fifth of theirs (pages with more in common are copies). Equal text in a run of
+repeated elements, as one of several paragraphs, has no place of its own and is kept.
 
 Null html has an empty text, as has a page without main text. A null or odd url is a host of its own.
 Elements nested deeper than ``DEPTH`` are seen as part of their parent, but their end tags close only
@@ -24,6 +29,7 @@ import html as references
 import json
 import re
 from collections import Counter
+from typing import NamedTuple
 from zlib import crc32
 
 import pandas as pd
@@ -38,6 +44,12 @@ DEPTH = 100
 SPREAD = 16
 #: Share of a host's pages that must have a place for its text to be template text.
 SHARE = 0.8
+#: Pages a host must have for equal text inside its articles to be template text.
+EVIDENCE = 5
+#: Largest share of the articles' text that can be template text.
+COMMON = 0.2
+#: Slot text of the body counts as this share of slot text in article and main elements.
+BODY = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -65,13 +77,22 @@ _ASIDE_WORDS = frozenset(
     "widget toolbar pagination pager".split()
 )
 
-# A node is [label, optional, repeated, text, children, pages that have it]; label "#" is a text: ``text`` is its checksum
+# A node is [label, optional, repeated, text, children, pages that have it, characters of a text over
+# these pages]; label "#" is a text: ``text`` is its checksum
 # in a page or as template text, None for a slot. In a page a text's children are its numbers.
-LABEL, OPTIONAL, REPEATED, TEXT, INSIDE, PAGES = range(6)
+LABEL, OPTIONAL, REPEATED, TEXT, INSIDE, PAGES, CHARS = range(7)
 
 
 def _label(name: str, rest: str) -> str:
-    found = [f"{kind.lower()}={' '.join(sorted((a or b or c).lower().split()))}" for kind, a, b, c in _ATTRIBUTE.findall(rest)] if "=" in rest else []
+    """Element name, role and class; of an id only what tells an aside, as ids may name a single page."""
+    found = []
+    for kind, a, b, c in _ATTRIBUTE.findall(rest) if "=" in rest else ():
+        words = (a or b or c).lower()
+        if kind.lower() == "id":
+            words = " ".join(_ASIDE_WORDS.intersection(re.split(r"[^a-z]+", words)))
+            if not words:
+                continue
+        found.append(f"{kind.lower()}={' '.join(sorted(words.split()))}")
     return ";".join([name, *(re.sub(r"\d+", "0", attribute) for attribute in sorted(found))])
 
 
@@ -95,7 +116,7 @@ def _main(label: str) -> bool:
 
 def parse(page: str) -> tuple[list, list[str]]:
     """Tree of a page with neighbouring equal labels joined, and its texts in page order."""
-    root = ["", False, False, None, [], 1]
+    root = ["", False, False, None, [], 1, 0]
     stack, names, texts, piece = [root], [""], [], []
     # Open elements beyond DEPTH: name and kind ("aside", "main" or none); how many there are of each.
     over: list[tuple[str, str]] = []
@@ -112,9 +133,9 @@ def parse(page: str) -> tuple[list, list[str]]:
         text = _SPACE.sub(" ", references.unescape("".join(piece))).strip()
         piece.clear()
         if text:
-            node = ["#", False, False, crc32(text.encode("utf-8", "replace")), [len(texts)], 1]
+            node = ["#", False, False, crc32(text.encode("utf-8", "replace")), [len(texts)], 1, len(text)]
             kind = "aside" if kinds["aside"] else "main" if kinds["main"] else ""
-            stack[-1][INSIDE].append([kind, False, False, None, [node], 1] if kind else node)
+            stack[-1][INSIDE].append([kind, False, False, None, [node], 1, 0] if kind else node)
             texts.append(text)
 
     at = 0
@@ -154,7 +175,7 @@ def parse(page: str) -> tuple[list, list[str]]:
             names.pop()
             stack.pop()
         if len(stack) < DEPTH:
-            node = [_label(name, token["rest"]), False, False, None, [], 1]
+            node = [_label(name, token["rest"]), False, False, None, [], 1, 0]
             stack[-1][INSIDE].append(node)
             stack.append(node)
             names.append(name)
@@ -215,7 +236,7 @@ def align(one: list, two: list, within: bool = False) -> list:
     """
     pages = max(one[PAGES], two[PAGES]) if within else one[PAGES] + two[PAGES]
     if one[LABEL] == "#":
-        return ["#", one[OPTIONAL] or two[OPTIONAL], False, one[TEXT] if one[TEXT] == two[TEXT] else None, one[INSIDE] + two[INSIDE], pages]
+        return ["#", one[OPTIONAL] or two[OPTIONAL], False, one[TEXT] if one[TEXT] == two[TEXT] else None, one[INSIDE] + two[INSIDE], pages, one[CHARS] + two[CHARS]]
     inside = []
     for i, j in matching(one[INSIDE], two[INSIDE]):
         if i is not None and j is not None:
@@ -223,29 +244,69 @@ def align(one: list, two: list, within: bool = False) -> list:
         else:
             only = one[INSIDE][i] if j is None else two[INSIDE][j]
             inside.append([only[LABEL], True, *only[REPEATED:]])
-    return [one[LABEL], one[OPTIONAL] or two[OPTIONAL], one[REPEATED] or two[REPEATED], None, inside, pages]
+    return [one[LABEL], one[OPTIONAL] or two[OPTIONAL], one[REPEATED] or two[REPEATED], None, inside, pages, 0]
 
 
 def bare(node: list) -> list:
     """The node without the numbers of a page's texts."""
     inside = [] if node[LABEL] == "#" else [bare(child) for child in node[INSIDE]]
-    return [*node[:INSIDE], inside, node[PAGES]]
+    return [*node[:INSIDE], inside, *node[PAGES:]]
+
+
+class Wrapper(NamedTuple):
+    """A host's wrapper and what its slots say of the host's pages."""
+
+    rule: list | None
+    #: Main text lies in article and main elements rather than in the body around them.
+    articles: bool = True
+    #: Equal texts inside articles are template text.
+    trimmed: bool = False
+    #: The region was chosen by slots, texts that vary from page to page.
+    by_slots: bool = False
 
 
-def main_texts(page: list, wrapper: list) -> list[int]:
+def always_there(rule: list, pages: int) -> bool:
+    """Nearly every page of the host has this place, and once."""
+    return rule[PAGES] >= SHARE * pages and not rule[REPEATED]
+
+
+def judged(rule: list | None) -> Wrapper:
+    """Measures the regions of a wrapper by the text of their slots."""
+    if rule is None:
+        return Wrapper(None)
+    slots, template, varies = Counter(), Counter(), Counter()
+
+    def walk(node: list, main: bool, always: bool) -> None:
+        always = always and always_there(node, rule[PAGES])
+        if node[LABEL] == "#":
+            if always and node[TEXT] is not None:
+                template[main] += node[CHARS]
+            else:
+                slots[main] += node[CHARS]
+                varies[main] += always
+        elif not _aside(node[LABEL]):
+            for child in node[INSIDE]:
+                walk(child, main or _main(node[LABEL]), always)
+
+    walk(rule, False, True)
+    varied = bool(varies[True] or varies[False])
+    inside, outside = (slots[main] + (0 if varied else template[main]) for main in (True, False))
+    few = template[True] <= COMMON * (template[True] + slots[True])
+    return Wrapper(rule, outside * BODY <= inside, rule[PAGES] >= EVIDENCE and varies[True] > 0 and few, varied)
+
+
+def main_texts(page: list, wrapper: Wrapper) -> list[int]:
     """Numbers of the page's texts that meet main slots of the wrapper."""
-    inside: list[int] = []
-    outside: list[int] = []
+    found: dict[bool, list[int]] = {True: [], False: []}
     template: set[int] = set()
     varied = False
-    pages = wrapper[PAGES] if wrapper else 0
+    pages = wrapper.rule[PAGES] if wrapper.rule else 0
 
     def walk(node: list, rule: list | None, main: bool, always: bool) -> None:
-        """``always``: nearly every page of the host has this place, and once."""
         nonlocal varied
-        always = always and rule is not None and rule[PAGES] >= SHARE * pages and not rule[REPEATED]
+        always = always and rule is not None and always_there(rule, pages)
         if node[LABEL] == "#":
-            (inside if main else outside).extend(node[INSIDE])
+            found[main].extend(node[INSIDE])
             if always and rule[TEXT] is not None:
                 template.update(node[INSIDE])
             elif always:
@@ -258,11 +319,14 @@ def main_texts(page: list, wrapper: list) -> list[int]:
             if i is not None:
                 walk(node[INSIDE][i], None if j is None else rules[j], main or _main(node[LABEL]), always)
 
-    walk(page, wrapper, False, True)
-    if inside:
-        return sorted(inside)
-    # Where no such place varies, the pages of the host are copies, and equal texts say nothing.
-    return sorted(number for number in outside if not (varied and number in template))
+    walk(page, wrapper.rule, False, True)
+    for main in (wrapper.articles, not wrapper.articles):
+        # Where no place of the body varies, the pages of the host are copies, and equal texts say nothing.
+        left_out = template if (wrapper.trimmed if main else varied) else set()
+        kept = sorted(number for number in found[main] if number not in left_out)
+        if kept:
+            return kept
+    return []
 
 
 def _host():
@@ -298,28 +362,30 @@ def infer(pages: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """page_id, url and main ``text`` of every page.
+    """page_id, url, main ``text`` of every page, and whether its place was chosen ``by_slots``.
 
     Wrappers are stored: where they are small, Spark knows their size and sends them to the pages
     instead of shuffling these.
     """
 
     def read(stream):
-        known: dict[str, list] = {}
+        known: dict[str, Wrapper] = {}
         for batch in stream:
             for first in range(0, batch.num_rows, 256):
                 some = batch.slice(first, 256)
-                out = []
+                out, by_slots = [], []
                 for page, wrapper in zip(some["html"], some["wrapper"].to_pylist()):
                     if wrapper not in known:
                         known = {} if len(known) > 5_000 else known
-                        known[wrapper] = json.loads(wrapper) if wrapper else None
+                        known[wrapper] = judged(json.loads(wrapper) if wrapper else None)
                     tree, texts = parse(page.as_py() or "")
                     out.append(" ".join(texts[number] for number in main_texts(tree, known[wrapper])))
-                yield pa.RecordBatch.from_arrays([some["page_id"], some["url"], pa.array(out, pa.string())], names=["page_id", "url", "text"])
+                    by_slots.append(known[wrapper].by_slots)
+                columns = [some["page_id"], some["url"], pa.array(out, pa.string()), pa.array(by_slots, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "by_slots"])
 
     joined = pages.select(F.col("page_id").cast("long"), "url", "html", _host().alias("host")).join(wrappers, "host", "left")
-    return joined.select("page_id", "url", "html", "wrapper").mapInArrow(read, "page_id long, url string, text string")
+    return joined.select("page_id", "url", "html", "wrapper").mapInArrow(read, "page_id long, url string, text string, by_slots boolean")
 
 
 def main_text(pages: DataFrame) -> DataFrame:

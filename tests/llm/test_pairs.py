@@ -305,7 +305,7 @@ def text_of(body, others=()):
     whole = wrappers.bare(tree)
     for other in others:
         whole = wrappers.align(whole, wrappers.bare(wrappers.parse(page(other))[0]))
-    return " ".join(texts[i] for i in wrappers.main_texts(tree, whole))
+    return " ".join(texts[i] for i in wrappers.main_texts(tree, wrappers.judged(whole)))
 
 
 @pytest.mark.parametrize(
@@ -423,3 +423,55 @@ def test_elements_beyond_the_depth_close_only_themselves():
     assert text_of(f"<div><article><p>first</p>{deep(inner)}<p>later</p></article><p>out</p></div>") == "first deep one two bold end later"
     assert text_of(f"<div>{deep('<article>in</article>')}<p>out</p></div>") == "in"
     assert text_of(f"<article>{'<div>' * 150}cut</article><p>out</p>") == "cut"
+
+
+def prose(seed, words=30):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(words))
+
+
+def host_texts(spark, bodies, parts=2):
+    rows = [(i, "http://one.example/", page(body)) for i, body in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts, "page_id")
+    return {r.page_id: (r.text, r.by_slots) for r in wrappers.main_text(pages).collect()}
+
+
+def test_a_teaser_in_an_article_element_does_not_hide_the_article(spark):
+    bodies = [f"<div class=post><h1>{i}</h1><p>{prose(i)}</p></div><article><p>teaser {i}</p></article>" for i in range(6)]
+    found = host_texts(spark, bodies)
+    assert found == {i: (f"{i} {prose(i)}", True) for i in range(6)}
+
+
+def test_longer_text_around_articles_does_not_replace_them(spark):
+    bodies = [f"<article><p>{prose(i)}</p></article><div><p>{prose(-i - 1, 40)}</p></div>" for i in range(6)]
+    assert host_texts(spark, bodies) == {i: (prose(i), True) for i in range(6)}
+
+
+def test_equal_text_inside_all_articles_of_a_host_is_template_text(spark):
+    bodies = [f"<article><h1>t {i}</h1><p>{prose(i)}</p><div><p>All rights reserved by Example Press</p></div></article>" for i in range(6)]
+    assert host_texts(spark, bodies) == {i: (f"t {i} {prose(i)}", True) for i in range(6)}
+    # Few pages are no evidence; and pages with most in common are copies.
+    few = host_texts(spark, bodies[:4])
+    assert few[0][0].endswith("All rights reserved by Example Press")
+    copies = [f"<article><p>{prose(1)}</p><div><h2>{'edited' if i == 3 else 'kept'}</h2></div></article>" for i in range(8)]
+    assert host_texts(spark, copies)[0][0] == f"{prose(1)} kept"
+
+
+def test_slug_ids_do_not_widen_a_wrapper():
+    whole = None
+    for i in range(300):
+        tree = wrappers.bare(wrappers.parse(page(f"<div id=post-x{prose(i, 1)}><p>{prose(i)}</p></div><div id=side-menu-{i}><p>m</p></div>"))[0])
+        whole = tree if whole is None else wrappers.align(whole, tree)
+
+    def nodes(node):
+        return 1 + sum(map(nodes, node[wrappers.INSIDE]))
+
+    assert nodes(whole) == nodes(tree)
+    bodies = [f"<div id=post-x{prose(i, 1)}><p>{prose(i)}</p></div><div id=side-menu><p>m{i}</p></div>" for i in range(3)]
+    assert text_of(bodies[0], bodies[1:]) == prose(0)
+
+
+def test_main_texts_do_not_hang_on_the_partitioning(spark):
+    rows = spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "url", "html")
+    one, two = ({r.page_id: (r.text, r.by_slots) for r in wrappers.main_text(rows.repartition(n, "page_id")).collect()} for n in (1, 7))
+    assert one == two
