@@ -15,6 +15,7 @@ null doc_id is kept as null.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -45,10 +46,15 @@ class WordIds(dict):
 
     Texts are split at spaces and line ends; the ids of a part do not depend on its neighbours, so
     each distinct part is encoded once, on first sight. A part of Latin letters and ASCII marks is
-    taken to pre-tokens here, each looked up in the tokenizer's model once; any other part goes
-    through the whole tokenizer.
+    taken to pre-tokens here, each looked up in the tokenizer's model once; any other part, and one
+    that holds a special token as it is written, goes through the whole tokenizer. So does every
+    whole text where the tokenizer's file does not say that it splits words by ``_RULE``.
     """
 
+    # The split rule and the normalizers the two patterns below restate for Latin letters.
+    _RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _NORMAL = ["NFC", "Replace", "Lowercase"]
+
     _SIMPLE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff!-/:-@\[-`{-~]*").fullmatch
     _TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[^a-z\u00df-\u00f6\u00f8-\u00ff]+").findall
 
@@ -59,7 +65,13 @@ class WordIds(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        parts = json.loads(definition)
+        special = [token["content"] for token in parts.get("added_tokens") or []]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
+        steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        normal = [step["type"] for step in (parts.get("normalizer") or {}).get("normalizers") or []]
+        rule = steps[0].get("pattern", {}).get("Regex")
+        self.by_words = rule == self._RULE and normal == self._NORMAL and not re.search(r"\s", "".join(special))
         self.model = self.tokenizer.model
         # The letters that stand for bytes in the model's vocabulary.
         level = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -71,7 +83,7 @@ class WordIds(dict):
         self.tokens: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        if self._SIMPLE(part):
+        if self._SIMPLE(part) and not self.special(part):
             found = b"".join([self.tokens.get(token) or self._token(token) for token in self._TOKENS(part.lower())])
         else:
             found = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
@@ -89,6 +101,8 @@ class WordIds(dict):
         if len(self) > REMEMBERED:
             self.clear()
             self.tokens.clear()
+        if not self.by_words:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
