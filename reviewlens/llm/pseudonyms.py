@@ -16,17 +16,20 @@ from __future__ import annotations
 
 import datetime
 import re
+import warnings
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 from math import isqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 ROUNDS = 8
-#: For tests and trials; production passes its own.
+#: Session setting that holds the key.
+KEY_SETTING = "spark.reviewlens.pseudonyms.key"
+#: For tests and trials: whoever reads it here can reverse what it made.
 TRIAL_KEY = b"trial key, replace in production"
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _FIRST_DAY + 1
@@ -234,7 +237,15 @@ def _replacement(kind: str, found: str, key: bytes) -> str | None:
     return _PSEUDONYM[kind](found, key)
 
 
-def findings(text: str, key: bytes = TRIAL_KEY) -> Iterator[tuple[int, int, str, str]]:
+def session_key(spark: SparkSession) -> bytes:
+    """The key the session names; without one the trial key, with a warning."""
+    named = spark.conf.get(KEY_SETTING, None)
+    if not named:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms are made with the public trial key", stacklevel=2)
+    return named.encode() if named else TRIAL_KEY
+
+
+def findings(text: str, key: bytes) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of each valid finding, in text order, without overlaps."""
     found = []
     for pattern, may in ((_MARKED_PATTERN, "@" in text), (_NUMBERED_PATTERN, _PREFIXED.search(text) is not None)):
@@ -252,9 +263,11 @@ def findings(text: str, key: bytes = TRIAL_KEY) -> Iterator[tuple[int, int, str,
             yield start, end, kind, new
 
 
-def pseudonymized(docs: DataFrame, key: bytes = TRIAL_KEY, spans: str | None = None) -> DataFrame:
-    """The documents with pseudonyms in ``text``; ``spans`` names a column for what was replaced
+def pseudonymized(docs: DataFrame, key: bytes, spans: str | None = None) -> DataFrame:
+    """The documents with pseudonyms in ``text``; ``key`` is secret and not empty. ``spans`` names a column for what was replaced
     (start and length in the old text, kind)."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     names = docs.columns
     kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("kind", pa.string())]))
     result = T.StructType(list(docs.schema.fields))

@@ -45,7 +45,7 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pseudonyms.pseudonymized(docs, spans="spans")
+    found = pseudonyms.pseudonymized(docs, pseudonyms.session_key(spark), spans="spans")
     return found.select("doc_id", "text", F.size("spans").cast("long").alias("n_found"), "spans")
 
 

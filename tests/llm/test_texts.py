@@ -18,6 +18,7 @@ from reviewlens.llm import byte_pairs, language, packing, pseudonyms, quality, q
 from reviewlens.llm.common import held_out
 
 DATA = "/root/testdata/sf0.001"
+KEY = b"key of the tests"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, label int, ids int"
 
 
@@ -76,7 +77,6 @@ def test_op6_query(spark, documents):
 
 def check_packing(rows, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
@@ -156,42 +156,42 @@ def test_pseudonyms_keep_the_format_and_are_valid_themselves(kind, one, shape):
     import re
 
     text = f"to {one}, and {one}."
-    first, second = pseudonyms.findings(text)
+    first, second = pseudonyms.findings(text, KEY)
     assert first[2] == second[2] == kind and text[first[0] : first[1]].startswith(one)
     assert first[3] == second[3] != one
     assert re.fullmatch(shape, first[3])
-    again = list(pseudonyms.findings(f"to {first[3]}, and"))
+    again = list(pseudonyms.findings(f"to {first[3]}, and", KEY))
     assert [a[2] for a in again] == [kind]
     assert pseudonyms._replacement(kind, one, b"other") != first[3]
 
 
 def test_invalid_numbers_and_clean_texts_stay():
     for text in ("4799134681044207", "1.2.3", "300.1.1.1", "31.02.2020", "000-12-3456", "DE88 3704 0044 0532 0130 00", "12 34", "a@b", "", "no number at all", "version 10.2"):
-        assert not list(pseudonyms.findings(text))
-    assert [f[2] for f in pseudonyms.findings("3296 4799134681044206 12")] == ["card"]
+        assert not list(pseudonyms.findings(text, KEY))
+    assert [f[2] for f in pseudonyms.findings("3296 4799134681044206 12", KEY)] == ["card"]
 
 
 def test_equal_values_stay_linked_across_notations():
-    plain = [f[3] for f in pseudonyms.findings("4799134681044206 then 4799 1346 8104 4206")]
+    plain = [f[3] for f in pseudonyms.findings("4799134681044206 then 4799 1346 8104 4206", KEY)]
     assert plain[0] == plain[1].replace(" ", "")
 
 
 def test_pseudonymized_frame(spark):
     texts = [None, "", "clean", "mail me: a.b@c.example.com", "x" * 100_000 + " 27.109.211.155"]
     docs = frame(spark, texts)
-    rows = {r.doc_id: r for r in pseudonyms.pseudonymized(docs, spans="spans").collect()}
+    rows = {r.doc_id: r for r in pseudonyms.pseudonymized(docs, KEY, spans="spans").collect()}
     assert [rows[i].text for i in range(3)] == texts[:3]
     assert "a.b@c" not in rows[3].text and rows[3].text.startswith("mail me: ") and rows[3].score == "x"
     assert [(s.start, s.kind) for s in rows[4].spans] == [(100_001, "network")]
-    assert pseudonyms.pseudonymized(docs).columns == docs.columns
-    assert pseudonyms.pseudonymized(docs.limit(0)).count() == 0
+    assert pseudonyms.pseudonymized(docs, KEY).columns == docs.columns
+    assert pseudonyms.pseudonymized(docs.limit(0), KEY).count() == 0
 
 
 def test_op3_query_keeps_clean_documents(spark, documents):
     rows = {r.doc_id: r for r in queries.op3_feistel_pseudonyms(spark, DATA).collect()}
     assert len(rows) == len(documents)
     for doc_id, text, _ in documents:
-        expected = list(pseudonyms.findings(text or ""))
+        expected = list(pseudonyms.findings(text or "", pseudonyms.TRIAL_KEY))
         assert rows[doc_id].n_found == len(expected)
         if not expected:
             assert rows[doc_id].text == text
@@ -275,3 +275,35 @@ def test_op4_query_is_right_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{data}/labels.parquet").where(held_out("doc_id"))
     found = rows.join(labels, "doc_id").agg(F.avg((F.col("predicted") == F.col("quality")).cast("double")), F.count("*")).collect()[0]
     assert rows.count() == 1000 and found[1] > 50 and found[0] > 0.93
+
+
+def test_special_tokens_in_texts_are_packed_as_the_library_encodes_them(spark):
+    texts = ["a <|startoftext|> b", "a<|STARTOFTEXT|>b", "x<|endoftext|><|endoftext|>y\n<|endoftext|>", "<|startof text|>", "É<|startoftext|>é 日<|endoftext|>"]
+    check_packing(packing.packed(frame(spark, texts)).collect(), dict(enumerate(texts)))
+
+
+def test_another_split_rule_goes_through_the_whole_tokenizer():
+    import json
+
+    parts = json.load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8"))
+    parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}]+ ?|[^\p{L}]"
+    definition = json.dumps(parts)
+    words, plain = packing.WordIds(definition), Tokenizer.from_str(definition)
+    for text in ("Two words  here", "", "it's 12"):
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert not words.by_words
+
+
+def test_pseudonyms_hang_on_the_key_of_the_session(spark):
+    docs = frame(spark, ["card 4799134681044206"])
+    with pytest.raises(ValueError, match="key"):
+        pseudonyms.pseudonymized(docs, b"")
+    one, two = (pseudonyms.pseudonymized(docs, key).first().text for key in (KEY, b"other"))
+    assert one != two != docs.first().text
+    with pytest.warns(UserWarning, match="trial key"):
+        assert pseudonyms.session_key(spark) == pseudonyms.TRIAL_KEY
+    spark.conf.set(pseudonyms.KEY_SETTING, "named")
+    try:
+        assert pseudonyms.session_key(spark) == b"named"
+    finally:
+        spark.conf.unset(pseudonyms.KEY_SETTING)
