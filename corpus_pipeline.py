@@ -43,8 +43,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by pseudonyms of the same format."""
-    return pseudonyms.pseudonymized(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long"))
+    """Replaces personal data by pseudonyms of the same format, made with the session's key."""
+    key = pseudonyms.session_key(spark)
+    return pseudonyms.pseudonymized(docs.select(*COLUMNS), key).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
