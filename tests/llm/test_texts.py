@@ -5,7 +5,7 @@ import binascii
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -253,14 +253,27 @@ def test_quality_scores_equal_a_plain_vote(spark):
     rows = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
     assert all(rows[i] > 0.7 for i in range(30)) and all(rows[i] < 0.3 for i in range(30, 50))
     assert rows[50] == rows[51] == pytest.approx(model.share) and rows[54] == rows[0]
-    kinds = quality._classes()
+    tables = quality._classes(), quality._lowered()
+    held = Counter()
+    for text in texts:
+        held.update(set(quality._terms([text], *tables)[1].tolist()))
+    assert quality.holders(docs)[1] == len(texts)
+    assert {t: n for t, n in enumerate(quality.holders(docs)[0].tolist()) if n} == held
     for i in (3, 35, 53):
-        owner, term = quality._terms([texts[i]], kinds)
-        counts = np.zeros((1, len(model.rarity)), np.float32)
-        for t in model.column[term]:
-            if t >= 0:
-                counts[0, t] += 1
-        own = quality.normal(quality.weighted(counts, model.rarity) @ model.directions)[0]
+        terms = Counter(quality._terms([texts[i]], *tables)[1].tolist())
+        parts = []
+        for (column, rarity, directions), weight in zip(model.groups, (1, quality.WORD_WEIGHT)):
+            counts = np.zeros((1, len(rarity)))
+            for t, n in terms.items():
+                if column[t] >= 0:
+                    counts[0, column[t]] = n
+            parts.append(weight * quality.normal(quality.weighted(counts, rarity) @ directions))
+        bands = np.zeros((1, quality.BANDS))
+        for t, n in terms.items():
+            if t >= quality.SHAPES:
+                bands[0, min(int(np.log2((len(texts) + 1) / (held[t] + 1))), quality.BANDS - 1)] += n
+        parts.append(quality.BAND_WEIGHT * quality.normal(np.sqrt(bands)))
+        own = quality.normal(np.concatenate(parts, axis=1))[0]
         near = sorted(((float(v @ own), k) for k, v in enumerate(model.vectors)), reverse=True)[: quality.NEIGHBOURS]
         votes = [(max(c, 0) * model.stands_for[model.labels[k]], model.labels[k]) for c, k in near]
         assert rows[i] == pytest.approx(sum(w * y for w, y in votes) / sum(w for w, _ in votes), abs=0.02)
@@ -269,6 +282,39 @@ def test_quality_scores_equal_a_plain_vote(spark):
     assert quality.score(docs.limit(0), model).count() == 0
 
 
+def words_of(text):
+    """Hashed words of one text, one call a word."""
+    tables = quality._classes(), quality._lowered()
+    return [t for t in quality._terms([text], *tables)[1].tolist() if t >= quality.SHAPES]
+
+
+def test_words_hang_on_their_letters_only():
+    assert words_of("Über die Brücke") == words_of("über, DIE\n\n(BRÜCKE)9")
+    assert len(set(words_of("one two three eno neo on"))) == 6
+    assert words_of("日本") == words_of("日") + words_of("本") != words_of("本日")
+    assert words_of("12 ** !") == words_of("") == []
+    both, alone = quality.counted(["a b", "a"], quality._classes(), quality._lowered()), quality.counted(["a"], quality._classes(), quality._lowered())
+    assert [x.tolist() for x in both[1]] == [x.tolist() for x in alone[0]]
+
+
+def test_quality_tells_letter_salad_from_prose_of_the_same_shape(spark):
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    vocabulary = ["".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(300)]
+
+    def sentence(words):
+        return " ".join(words).capitalize() + "."
+
+    prose = [[vocabulary[i] for i in rng.integers(0, 300, 40)] for _ in range(400)]
+    salad = [["".join(rng.choice(letters, len(w))) for w in words] for words in prose[:200]]
+    texts = [sentence(w) for w in prose] + [sentence(w) for w in salad]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, 1) for i in range(100)] + [(400 + i, 0) for i in range(100)], "doc_id long, quality int")
+    rows = {r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    right = [rows[i] >= 0.7 for i in range(100, 400)] + [rows[i] < 0.3 for i in range(500, 600)]
+    assert np.mean(right) > 0.98
+
+
 def test_op4_query_is_right_on_held_out_labels(spark):
     data = "/root/testdata/sf0.01"
     rows = queries.op4_neighbour_quality(spark, data)
