@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators import density, exemplars, mixture
+from reviewlens.operators import dense_exemplars, density, exemplars, mixture
 from reviewlens.operators.scale import cut_lineage
 from reviewlens.operators.scoring import pair_ratings
 from reviewlens.operators.visits import user_places
@@ -68,3 +68,8 @@ def by_mixture(review: DataFrame, business: DataFrame, max_rounds: int = 100) ->
 
 def by_exemplars(review: DataFrame, business: DataFrame, max_rounds: int = 200) -> DataFrame:
     return exemplars.exemplar_centers(user_places(review, business), max_rounds=max_rounds)
+
+
+def by_all_pairs(review: DataFrame, business: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """Exemplars over all pairs of a user's places; work grows with the square of a user's places."""
+    return dense_exemplars.dense_exemplar_centers(user_places(review, business), max_rounds=max_rounds)

@@ -17,6 +17,7 @@ from reviewlens.operators import (
     checkins,
     cities,
     density,
+    dense_exemplars,
     exemplars,
     expertise,
     features,
@@ -410,6 +411,31 @@ def affinity_exemplars(t: Tables) -> DataFrame:
     return _rounded(home_areas.by_exemplars(t.review, t.business))
 
 
+@_query
+def dense_exemplars_of_users(t: Tables) -> DataFrame:
+    return _rounded(home_areas.by_all_pairs(t.review, t.business))
+
+
+@_query
+def exemplar_net_similarity(t: Tables) -> DataFrame:
+    """Per user its places, the cost of an exemplar, the net similarity of the best single exemplar,
+    and whether the exemplars found, where they had settled, are worse than that one."""
+    known = dense_exemplars.preferences(dense_exemplars.spots(visits.user_places(t.review, t.business)))
+    chosen = cut_lineage(dense_exemplars.exemplars_of(known))
+    net = dense_exemplars.net_similarities(known, chosen.where("settled"))
+    users = known.groupBy("user_id").agg(
+        F.count("*").alias("places"),
+        F.max("spread").alias("preference"),
+        F.round(-F.min("cost") - F.max("spread"), 4).alias("one_exemplar"),
+    )
+    short = F.col("one_exemplar") * (1 + 1e-6) - F.col("net")
+    return _rounded(
+        users.join(net, "user_id", "left").select(
+            "user_id", "places", "preference", "one_exemplar", F.coalesce(short > 0, F.lit(False)).cast("long").alias("worse")
+        )
+    )
+
+
 @_query
 def dbscan_centers_refreshed(t: Tables) -> DataFrame:
     """Centres kept from earlier reviews and brought up to date: half the reviews of every fifth user

@@ -435,6 +435,27 @@ FROM fx_pair GROUP BY user_id, a""",
  round(-2 * ll * n + 3 * ln(n), 5) AS bic FROM fx_k1_fit""",
     "exemplar_consistency": """SELECT user_id, COUNT(*) AS places,
  CAST(SUM(visits) AS BIGINT) AS visits, CAST(0 AS BIGINT) AS strays FROM fx_place GROUP BY user_id""",
+    "exemplar_net_similarity": f"""SELECT * FROM (WITH far AS (SELECT user_id, a, w, met, miles FROM ({
+        _with_miles(
+            """SELECT p.user_id, p.place_id AS a, p.visits * q.visits AS w, q.visits AS met, p.latitude AS lat1,
+ p.longitude AS lon1, q.latitude AS lat2, q.longitude AS lon2
+ FROM fx_place p JOIN fx_place q ON q.user_id = p.user_id AND q.place_id <> p.place_id""",
+            "lat1",
+            "lon1",
+            "lat2",
+            "lon2",
+        )
+    })),
+upto AS (SELECT user_id, d, SUM(w) OVER (PARTITION BY user_id ORDER BY d) AS upto,
+ SUM(w) OVER (PARTITION BY user_id) AS total
+ FROM (SELECT user_id, round(miles, 6) AS d, SUM(w) AS w FROM far GROUP BY 1, 2)),
+median AS (SELECT user_id, MIN(d) AS d FROM upto WHERE upto * 2 >= total GROUP BY user_id),
+single AS (SELECT user_id, MIN(cost) AS cost FROM (SELECT user_id, a, SUM(met * miles) AS cost FROM far GROUP BY 1, 2)
+ GROUP BY user_id)
+SELECT u.user_id, u.places, round(greatest(coalesce(m.d, 0.01), 0.01), 6) AS preference,
+ round(-coalesce(s.cost, 0) - greatest(coalesce(m.d, 0.01), 0.01), 4) AS one_exemplar, CAST(0 AS BIGINT) AS worse
+FROM (SELECT user_id, COUNT(*) AS places FROM fx_place GROUP BY user_id) u
+LEFT JOIN median m ON m.user_id = u.user_id LEFT JOIN single s ON s.user_id = u.user_id)""",
     "user_profiles_v0": """SELECT u.user_id, u.name AS "userName", u.review_count AS "totalReviews",
  u.funny, u.cool, u.useful, u.fans, CAST(2002 * 12 + 1 - (CAST(substr(u.yelping_since, 1, 4) AS BIGINT)
  * 12 + CAST(substr(u.yelping_since, 6, 2) AS BIGINT)) AS BIGINT) AS "yelpingSince",

@@ -202,7 +202,7 @@ def test_apart_by_size(spark):
 
 PLANNED = sorted(
     set(catalog.queries())
-    - {"gmm_centers", "affinity_exemplars", "lr_cv_metrics", "dt_predictions", "rf_predictions"}
+    - {"gmm_centers", "affinity_exemplars", "dense_exemplars_of_users", "lr_cv_metrics", "dt_predictions", "rf_predictions"}
     - {"lr_predictions", "category_predictions", "all_category_predictions"}
     - {"dbscan_centers", "local_users", "rank_topk", "weighted_scores", "local_user_business"}
     # the exemplar rounds of whole users run in Python by design

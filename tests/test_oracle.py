@@ -33,7 +33,7 @@ def test_half_a_mile_around_mixture_centers_may_be_empty(spark):
 
 def test_every_oracle_has_a_query():
     assert not set(ORACLES) - set(QUERIES)
-    assert len(QUERIES) == 87
+    assert len(QUERIES) == 89
     assert not set(QUERIES) - set(entry_point.queries())
 
 
