@@ -10,19 +10,27 @@ whose cells have a diagonal of at most ``eps``:
 * two crowded cells are linked if any two of their places are within ``eps``. That is decided
   on representatives of ever finer sub-cells; a pair of sub-cells is dropped once its distance
   bounds rule a link in or out.
+
+That serves users with very many places. Those of all others come together in one shuffle and meet
+in arrays within a task, so that neither cells nor pairs are ever exchanged.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from reviewlens.functions import geo
+from reviewlens.functions import geo, geo_arrays
 from reviewlens.functions.grid import Grid
+from reviewlens.operators import whole_users
 from reviewlens.operators.components import connected_components
-from reviewlens.operators.scale import cut_lineage, width_for
+from reviewlens.operators.scale import apart_by_size, cut_lineage, width_for
 
 # Slack in miles when ruling sub-cells out: far above the error of the distance formula.
 _SLACK = 1e-3
@@ -166,13 +174,75 @@ def _turned(edges: DataFrame) -> DataFrame:
     return edges.select("user_id", F.col("other").alias("node"), F.col("node").alias("other"))
 
 
-def density_labels(places: DataFrame, eps_miles: float = 4.0, min_visits: int = 5) -> DataFrame:
+def _clusters(
+    node: np.ndarray, visits: np.ndarray, i: np.ndarray, k: np.ndarray, min_visits: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per node the smallest core node of its cluster (their number for noise) and whether it is core.
+    Rows i and k are near each other, sorted by i; ``node`` is each row's, in order."""
+    nodes = node[-1] + 1
+    one, other = node[i], node[k]
+    core = np.bincount(one, visits[k], nodes) >= min_visits
+    firsts = np.flatnonzero(np.diff(one, prepend=-1))  # every node is near itself
+    both = np.flatnonzero(core[one] & core[other])
+    link, linked = one[both], other[both]
+    starts = np.flatnonzero(np.diff(link, prepend=-1))
+    label = np.arange(nodes)
+    while len(both):
+        lower = label.copy()
+        lower[link[starts]] = np.minimum.reduceat(label[linked], starts)
+        lower = lower[lower]
+        if (lower == label).all():
+            break
+        label = lower
+    return np.minimum.reduceat(np.where(core[other], label[other], nodes), firsts), core
+
+
+def _labels_of_whole_users(places: DataFrame, eps: float, min_visits: int) -> DataFrame:
+    """The labels of users whose places fit into a task, one shuffle for all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_users.few_users(batches):
+            number = whole_users.numbers
+            at = geo_arrays.unit_vectors(number(table, "latitude"), number(table, "longitude"))
+            i, k = whole_users.all_pairs(starts, table.num_rows)
+            near = geo_arrays.near(at, i, k, eps)
+            firsts = whole_users.starts_of(table, "user_id", "place_id")
+            node = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, table.num_rows)))
+            cluster, core = _clusters(node, number(table, "visits"), i[near], k[near], min_visits)
+            names = pa.array(np.append(firsts, 0)[cluster], mask=cluster == len(firsts)).take(pa.array(node))
+            found = table.append_column("cluster_id", table["place_id"].combine_chunks().take(names))
+            yield from found.append_column("is_core", pa.array(core[node])).combine_chunks().to_batches()
+
+    schema = StructType(
+        [
+            *places.schema.fields,
+            StructField("cluster_id", places.schema["place_id"].dataType),
+            StructField("is_core", BooleanType()),
+        ]
+    )
+    return whole_users.dealt(places, "place_id").mapInArrow(run, schema)
+
+
+def density_labels(
+    places: DataFrame, eps_miles: float = 4.0, min_visits: int = 5, large_user: int = whole_users.LARGE
+) -> DataFrame:
     """Cluster every user's places: the places' columns plus ``cluster_id`` and ``is_core``.
 
     A place is core if places within ``eps_miles`` (limit included) hold ``min_visits`` visits,
     its own counted. A cluster is named by its smallest core place; a border place in reach of
-    several clusters joins the smallest; ``cluster_id`` is null for noise.
+    several clusters joins the smallest; ``cluster_id`` is null for noise. Users with more than
+    ``large_user`` places are clustered by joins of cells.
     """
+    known = cut_lineage(places.dropna(subset=["user_id", "latitude", "longitude"]))
+    ordinary, large = apart_by_size(known, "user_id", large_user)
+    labels = _labels_of_whole_users(ordinary, eps_miles, min_visits)
+    if large is None:
+        return labels
+    return labels.union(_labels_by_cells(large, eps_miles, min_visits))
+
+
+def _labels_by_cells(places: DataFrame, eps_miles: float, min_visits: int) -> DataFrame:
+    """The labels of users with very many places."""
     grid = Grid.with_diagonal(eps_miles)
     spots = _gridded(places, grid, min_visits)
     near = cut_lineage(_pairs_of_quiet_places(spots, eps_miles))
