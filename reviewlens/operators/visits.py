@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions import geo
+from reviewlens.functions import geo, geo_arrays
 from reviewlens.functions.grid import Grid
-from reviewlens.operators.scale import split_hot_groups
+from reviewlens.operators import whole_users
+from reviewlens.operators.scale import apart_by_size, cut_lineage, split_hot_groups
 
 
 def user_locations(review: DataFrame, business: DataFrame) -> DataFrame:
@@ -89,9 +94,41 @@ def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
     )
 
 
-def near_counts(places: DataFrame, radius_miles: float) -> DataFrame:
+def near_counts(
+    places: DataFrame, radius_miles: float, large_user: int = whole_users.LARGE
+) -> DataFrame:
     """Per place the number of the user's other places within the radius and their visits:
-    (user_id, place_id, near_places, near_visits). Neighbours are summed where they are found."""
+    (user_id, place_id, near_places, near_visits). Neighbours are summed where they are found: within
+    a task, or behind joins of cells for users with more than ``large_user`` places."""
+    columns = ["user_id", "place_id", "latitude", "longitude", "visits"]
+    known = cut_lineage(places.select(*columns).dropna(subset=["user_id", "latitude", "longitude"]))
+    ordinary, large = apart_by_size(known, "user_id", large_user)
+    counts = _near_counts_of_whole_users(ordinary, radius_miles)
+    return counts if large is None else counts.union(_near_counts_by_cells(large, radius_miles))
+
+
+def _near_counts_of_whole_users(places: DataFrame, radius_miles: float) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_users.few_users(batches):
+            number = whole_users.numbers
+            at = geo_arrays.unit_vectors(number(table, "latitude"), number(table, "longitude"))
+            i, k = whole_users.all_pairs(starts, table.num_rows)
+            firsts = whole_users.starts_of(table, "user_id", "place_id")
+            node = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, table.num_rows)))
+            kept = (node[i] != node[k]) & geo_arrays.near(at, i, k, radius_miles)
+            i, k = node[i[kept]], k[kept]
+            sums = np.bincount(i, minlength=len(firsts)), np.bincount(i, number(table, "visits")[k], len(firsts))
+            names = table.select(["user_id", "place_id"]).take(pa.array(firsts)).combine_chunks()
+            for name, sum_ in zip(("near_places", "near_visits"), sums):
+                names = names.append_column(name, pa.array(sum_.astype(np.int64)))
+            yield from names.combine_chunks().to_batches()
+
+    kinds = {name: places.schema[name].dataType.simpleString() for name in ("user_id", "place_id")}
+    schema = ", ".join(f"{name} {kind}" for name, kind in kinds.items()) + ", near_places long, near_visits long"
+    return whole_users.dealt(places, "place_id").mapInArrow(run, schema)
+
+
+def _near_counts_by_cells(places: DataFrame, radius_miles: float) -> DataFrame:
     grid = Grid(radius_miles)
     spots = geo.with_vector(places.repartition("user_id", "place_id"))
     left = grid.near_cells(spots, radius_miles).select(

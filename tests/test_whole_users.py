@@ -1,8 +1,9 @@
 """Users that fit into a task against the same users by joins of rows, and what is exchanged for them."""
 
 import numpy as np
+import pytest
 
-from reviewlens.operators import density
+from reviewlens.operators import density, visits
 
 PLACES = "user_id bigint, place_id bigint, latitude double, longitude double, visits bigint"
 
@@ -41,3 +42,11 @@ def test_density_of_named_places(spark):
     places = some_places(spark).selectExpr("concat('u', user_id) as user_id", names, "latitude", "longitude", "visits")
     whole, by_cells = density.density_labels(places), density.density_labels(places, large_user=10)
     assert sorted(whole.collect(), key=str) == sorted(by_cells.collect(), key=str)
+
+
+@pytest.mark.parametrize("radius", [0.5, 4.0, 40.0])
+def test_neighbours_of_whole_users_equal_those_by_cells(spark, radius):
+    places = some_places(spark)
+    whole, by_cells = visits.near_counts(places, radius), visits.near_counts(places, radius, large_user=10)
+    assert sorted(whole.collect()) == sorted(by_cells.collect())
+    assert exchanges(whole) == (1, 0)
