@@ -15,14 +15,15 @@ that a model's training rows lack have no coefficients. The optimum is checked a
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators.scale import cut_lineage
+from reviewlens.operators.scale import cut_lineage, width_for
 
 #: Largest entry of the gradient, in standard deviations of the input, at which a model is done.
 TOLERANCE = 1e-9
@@ -30,10 +31,14 @@ ROUNDS = 60
 #: Parts of a Newton step that a round tries together; without success a later round tries smaller ones.
 STEPS = (1.0, 0.25)
 LEAST_STEP = 1e-6
+#: Losses that differ by at most this share are equal.
+ROUNDING = 1e-13
 #: An input whose variance is at most this share of its squared mean is a constant, up to rounding.
 CONSTANT = 1e-24
 #: Rows that a task holds as doubles at a time.
 BLOCK = 4096
+#: Rows of the check that a task takes, since few bytes of them are much work.
+ROWS = 50_000
 
 
 @dataclass
@@ -65,16 +70,20 @@ class Model:
 
     def take(self, found: list[np.ndarray]) -> None:
         """Move to the best candidate that lowers the loss; ``found`` holds, per candidate, the row
-        of gradient and loss and the rows of the curvature, summed over the training rows."""
+        of gradient and loss, summed over the training rows, and for the first one the rows of the
+        curvature. Where another one is taken, the next round measures the curvature there."""
         size = self.weights.size
         inputs = np.ones(self.weights.shape)
         inputs[:, -1] = 0.0
         measured = []
-        for sums, weights in zip(found, self.candidates()):
+        for which, (sums, weights) in enumerate(zip(found, self.candidates())):
             loss = sums[0, size] / self.n + self.penalty / 2 * (inputs * weights**2).sum()
             gradient = sums[0, :size].reshape(weights.shape) / self.n + self.penalty * inputs * weights
-            measured.append((loss, weights, gradient, sums[1:, :size] / self.n))
-        loss, weights, gradient, curvature = min(measured, key=lambda m: m[0])
+            measured.append((loss, weights, gradient, None if which else sums[1:, :size] / self.n))
+        best = min(measured, key=lambda m: m[0])
+        # At the optimum losses differ by rounding only: the whole step goes first.
+        chosen = measured[0] if measured[0][0] <= best[0] + ROUNDING * abs(best[0]) else best
+        loss, weights, gradient, curvature = chosen
         slope = np.abs(gradient).max()
         if self.direction is not None and loss >= self.loss and slope >= np.abs(self.gradient).max():
             self.part *= min(STEPS) ** 2
@@ -82,6 +91,9 @@ class Model:
             return
         self.loss, self.weights, self.gradient, self.part = loss, weights, gradient, 1.0
         self.done = bool(slope <= TOLERANCE)
+        if curvature is None:
+            self.direction = None
+            return
         # Equal shifts of all classes change nothing: the pseudo-inverse leaves them out.
         bent = curvature + np.diag(self.penalty * inputs.ravel())
         self.direction = -(np.linalg.pinv(bent, rcond=1e-13, hermitian=True) @ gradient.ravel()).reshape(weights.shape)
@@ -120,8 +132,9 @@ def _models(rows: DataFrame, folds: int, penalties: list[float], width: int) ->
     return models
 
 
-def _block_sums(z: np.ndarray, hit: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Gradient and loss in the first row, the curvature in the rows below, of a block of rows."""
+def _block_sums(z: np.ndarray, hit: np.ndarray, weights: np.ndarray, curvature: bool = True) -> np.ndarray:
+    """Gradient and loss in the first row and, if asked for, the curvature in the rows below, of a
+    block of rows. The curvature is nearly all of the work."""
     own = np.arange(len(z))
     score = z @ weights.T
     score -= score.max(axis=1, keepdims=True)
@@ -130,12 +143,13 @@ def _block_sums(z: np.ndarray, hit: np.ndarray, weights: np.ndarray) -> np.ndarr
     loss = (np.log(total[:, 0]) - score[own, hit]).sum()
     p /= total
     wide, size = z.shape[1], weights.size
-    sums = np.zeros((size + 1, size + 1))
-    every = (p[:, :, None] * z[:, None, :]).reshape(len(z), size)
-    sums[1:, :size] = -(every.T @ every)
-    for c in range(len(weights)):
-        part = slice(c * wide, (c + 1) * wide)
-        sums[1:, :size][part, part] += z.T @ every[:, part]
+    sums = np.zeros((size + 1 if curvature else 1, size + 1))
+    if curvature:
+        every = (p[:, :, None] * z[:, None, :]).reshape(len(z), size)
+        sums[1:, :size] = -(every.T @ every)
+        for c in range(len(weights)):
+            part = slice(c * wide, (c + 1) * wide)
+            sums[1:, :size][part, part] += z.T @ every[:, part]
     p[own, hit] -= 1
     sums[0, :size], sums[0, size] = (p.T @ z).ravel(), loss
     return sums
@@ -164,11 +178,11 @@ def _sums(rows: DataFrame, models: list[Model]) -> list[list[np.ndarray]]:
                     z[:, :-1] = np.where(scale > 0, (x[some] - mean) / np.where(scale > 0, scale, 1), 0.0)
                     hit = np.searchsorted(classes, label[some])
                     for which, one in enumerate(weights):
-                        sums = _block_sums(z, hit, one)
+                        sums = _block_sums(z, hit, one, curvature=not which)
                         total[at, which] = total[at, which] + sums if (at, which) in total else sums
         for (at, which), sums in total.items():
             columns = [pa.array(np.full(len(sums), i, np.int32)) for i in (at, which)] + [pa.array(np.arange(len(sums), dtype=np.int32))]
-            columns += [pa.array(np.ascontiguousarray(sums[:, i])) if i < len(sums) else pa.array(np.zeros(len(sums))) for i in range(wide)]
+            columns += [pa.array(np.ascontiguousarray(sums[:, i])) if i < sums.shape[1] else pa.array(np.zeros(len(sums))) for i in range(wide)]
             yield pa.RecordBatch.from_arrays(columns, names=["model", "candidate", "line", *names])
 
     schema = "model int, candidate int, line int, " + ", ".join(f"{name} double" for name in names)
@@ -176,7 +190,7 @@ def _sums(rows: DataFrame, models: list[Model]) -> list[list[np.ndarray]]:
     found = [[np.zeros((m.weights.size + 1, m.weights.size + 1)) for _ in own] for m, own in zip(models, tried)]
     for row in summed.collect():
         sums = found[row["model"]][row["candidate"]]
-        sums[row["line"]] = row[3 : 3 + len(sums)]
+        sums[row["line"]] = row[3 : 3 + sums.shape[1]]
     return found
 
 
@@ -188,7 +202,9 @@ def fit_together(rows: DataFrame, penalties: list[float], folds: int = 0, rounds
     ``folds`` > 0, ``fold``. The rows are stored once; the result has a row per model and class.
     """
     fold = F.col("fold").cast("int") if folds else F.lit(0)
-    kept = cut_lineage(rows.select("category", fold.alias("fold"), F.col("label").cast("int").alias("label"), "x"))
+    kept = rows.select("category", fold.alias("fold"), F.col("label").cast("int").alias("label"), "x")
+    # Few bytes are much work here: dealt evenly, so that every task has some of it.
+    kept = cut_lineage(kept.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     first = kept.select("x").first()
     schema = "category string, left_out int, reg_param double, class int, intercept double, coefficients array<double>"
     if first is None:
@@ -205,6 +221,12 @@ def fit_together(rows: DataFrame, penalties: list[float], folds: int = 0, rounds
     )
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, however often the body names it. Columns that
+    build on each other are merged by the optimizer, which computes the inner ones again at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def probabilities(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     """Adds to every row, for each model of its category, left_out, reg_param and ``classes``: an array
     of (class, p, coefficients) in the order of the classes."""
@@ -214,13 +236,15 @@ def probabilities(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     dot = lambda c: F.aggregate(
         F.zip_with(c["coefficients"], "x", lambda w, x: w * x), c["intercept"], lambda one, two: one + two
     )
-    scored = rows.join(of_model, "category").withColumn("score", F.transform("known", dot))
-    raised = scored.withColumn("raised", F.transform("score", lambda s: F.exp(s - F.array_max("score"))))
-    total = F.aggregate("raised", F.lit(0.0), lambda one, two: one + two)
-    classes = F.zip_with(
-        "known", "raised", lambda c, e: F.struct(c["class"].alias("class"), (e / F.col("total")).alias("p"), c["coefficients"].alias("coefficients"))
+    raised = lambda score: _bound(F.array_max(score), lambda top: F.transform(score, lambda s: F.exp(s - top)))
+    total = lambda each: F.aggregate(each, F.lit(0.0), lambda one, two: one + two)
+    shares = lambda each, sum_: F.zip_with(
+        "known", each, lambda c, e: F.struct(c["class"].alias("class"), (e / sum_).alias("p"), c["coefficients"].alias("coefficients"))
+    )
+    classes = _bound(
+        _bound(F.transform("known", dot), raised), lambda each: _bound(total(each), lambda sum_: shares(each, sum_))
     )
-    return raised.withColumn("total", total).withColumn("classes", classes).drop("known", "score", "raised", "total")
+    return rows.join(of_model, "category").withColumn("classes", classes).drop("known")
 
 
 def predicted(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
@@ -238,19 +262,32 @@ def moments(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     Where the slope is 0 for all classes and inputs the model is at the one optimum there is, since
     the objective is convex; without a penalty ``expected`` then equals ``observed``.
     """
-    held = rows.select("category", F.col("label").cast("int").alias("label"), F.concat("x", F.array(F.lit(1.0))).alias("one_x"), "x")
+    models = coefficients.where("left_out = -1")
+    first = models.select("coefficients").first()
+    inputs = range(len(first[0]) + 1 if first else 1)
+    one_x = F.concat("x", F.array(F.lit(1.0))).alias("one_x")
+    held = rows.select("category", F.col("label").cast("int").alias("label"), one_x, "x").repartition(width_for(rows, ROWS))
     spread = held.select("category", F.posexplode("one_x").alias("input", "value")).groupBy("category", "input").agg(
         F.count("*").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance")
     )
-    scored = probabilities(held, coefficients.where("left_out = -1"))
-    cells = scored.select("category", "reg_param", "label", "one_x", F.explode("classes").alias("c")).select(
-        "category", "reg_param", F.col("c.class").alias("class"), F.col("c.p").alias("p"), (F.col("c.class") == F.col("label")).alias("own"),
-        F.concat("c.coefficients", F.array(F.lit(0.0))).alias("weights"), F.posexplode("one_x").alias("input", "value"),
+    # A row per class, not per class and input: all inputs are summed side by side.
+    cells = probabilities(held, models).select("category", "reg_param", "label", "one_x", F.explode("classes").alias("c")).select(
+        "category", "reg_param", F.col("c.class").alias("class"), F.col("c.p").alias("p"), "one_x", (F.col("c.class") == F.col("label")).alias("own")
     )
-    sums = cells.groupBy("category", "reg_param", "class", "input").agg(
-        F.sum(F.when(F.col("own"), F.col("value")).otherwise(0.0)).alias("observed"),
-        F.sum(F.col("p") * F.col("value")).alias("expected"),
-        F.first(F.get("weights", F.col("input"))).alias("weight"),
+    value = lambda i: F.get("one_x", F.lit(i))
+    both = [
+        F.struct(
+            F.sum(F.when(F.col("own"), value(i)).otherwise(0.0)).alias("observed"),
+            F.sum(F.col("p") * value(i)).alias("expected"),
+        )
+        for i in inputs
+    ]
+    summed = cells.groupBy("category", "reg_param", "class").agg(F.array(*both).alias("both"))
+    weights = models.select("category", "reg_param", "class", F.concat("coefficients", F.array(F.lit(0.0))).alias("weights"))
+    sums = (
+        summed.join(weights, ["category", "reg_param", "class"])
+        .select("category", "reg_param", "class", "weights", F.posexplode("both").alias("input", "sums"))
+        .select("category", "reg_param", "class", "input", "sums.*", F.get("weights", F.col("input")).alias("weight"))
     )
     varies = F.col("variance") > CONSTANT * F.col("mean") * F.col("mean")
     scale = F.when(varies, F.sqrt("variance")).otherwise(F.lit(1.0))
