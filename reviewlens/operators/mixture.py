@@ -5,17 +5,24 @@ A round joins the places with their user's current parameters and adds up suffic
 shuffles the small parameter rows only; joins and sums stay inside the partition. Users with
 very many places run through the same rounds spread by (user, part), where partial sums are all
 that is exchanged besides.
+
+Users whose places fit into a task need no rounds of jobs: one shuffle brings their places together
+and the same rounds run on arrays, for some users at a time.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 from statistics import NormalDist
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.operators import whole_users
 from reviewlens.operators.scale import (
     apart_by_size,
     cut_lineage,
@@ -27,6 +34,7 @@ MAX_COMPONENTS = 4
 _SLOTS = range(1, MAX_COMPONENTS + 1)
 _EMPTY = 1e-9
 _LARGE = 100_000  # places beyond which a user is spread over parts
+_TOGETHER = 20_000  # places of ordinary users that a task works on at a time
 _STATE = ["n", "parts", "ll", "settled"]
 
 
@@ -204,6 +212,106 @@ def _fitted(
     return reduce(DataFrame.union, done)
 
 
+class _Users:
+    """Places of some whole users as arrays, and the rounds on them."""
+
+    def __init__(self, table: pa.Table, min_visits: int):
+        starts = whole_users.starts_of(table, "user_id")
+        self.spots = np.stack([whole_users.numbers(table, name) for name in ("latitude", "longitude")], axis=1)
+        self.visits = whole_users.numbers(table, "visits")
+        user = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows)))
+        known = np.add.reduceat(self.visits, starts) >= min_visits
+        self.names = table["user_id"].combine_chunks().take(pa.array(starts[known]))
+        rows = known[user]
+        self.spots, self.visits = self.spots[rows], self.visits[rows]
+        self.user = (np.cumsum(known) - 1)[user[rows]]
+        self.starts = np.flatnonzero(np.diff(self.user, prepend=-1))
+
+    def start(self, k: int, var_floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shares, means and variances of :func:`_initial`, unused slots included."""
+        total = np.add.reduceat(self.visits, self.starts)[:, None]
+        mean = np.add.reduceat(self.visits[:, None] * self.spots, self.starts) / total
+        square = np.add.reduceat(self.visits[:, None] * self.spots * self.spots, self.starts) / total
+        v_lat, v_lon = np.maximum(square - mean * mean, 0.0).T
+        product = np.add.reduceat(self.visits * self.spots.prod(axis=1), self.starts) / total[:, 0]
+        v_both = product - mean.prod(axis=1)
+        gap = (v_lat - v_lon) / 2.0
+        angle = np.arctan2(v_both, gap) / 2.0
+        spread = np.sqrt((v_lat + v_lon) / 2.0 + np.sqrt(gap * gap + v_both * v_both))
+        way = np.stack([np.cos(angle), np.sin(angle)], axis=1) * spread[:, None]
+        offset = np.array([NormalDist().inv_cdf((c - 0.5) / k) if c <= k else 0.0 for c in _SLOTS])
+        means = mean[:, None, :] + offset[None, :, None] * way[:, None, :]
+        shares = np.broadcast_to(np.array([1.0 / k if c <= k else 0.0 for c in _SLOTS]), means.shape[:2])
+        var = np.maximum((v_lat + v_lon) / 2.0 / k, var_floor)
+        return shares.copy(), means, np.repeat(var[:, None], MAX_COMPONENTS, axis=1)
+
+    def fit(self, k: int, max_rounds: int, tolerance: float, var_floor: float) -> tuple[np.ndarray, ...]:
+        """(ll, settled, shares, means, variances) of the mixtures of k components."""
+        shares, means, variances = self.start(k, var_floor)
+        lls, done = np.full(len(shares), np.nan), np.zeros(len(shares), bool)
+        going = np.arange(len(shares))
+        spots, visits, user, starts = self.spots, self.visits, self.user, self.starts
+        share, mean, var, ll = shares[:, :k], means[:, :k], variances[:, :k], lls
+        for number in range(max_rounds + 1):
+            n = np.add.reduceat(visits, starts)
+            gaps = spots[:, None, :] - mean[user]
+            square = gaps[..., 0] * gaps[..., 0] + gaps[..., 1] * gaps[..., 1]
+            log = np.log(share / (var * (2.0 * math.pi)))[user] - square / (var * 2)[user]
+            top = log.max(axis=1)
+            each = np.exp(log - top[:, None])
+            mass = each.sum(axis=1)
+            now = np.add.reduceat(visits * (top + np.log(mass)), starts) / n
+            settled = np.abs(now - ll) < tolerance if number < max_rounds else np.zeros(len(n), bool)
+            ll = now
+            leave = settled if number < max_rounds else ~settled
+            if leave.any():
+                to = going[leave]
+                lls[to], done[to] = ll[leave], settled[leave]
+                shares[to, :k], means[to, :k], variances[to, :k] = share[leave], mean[leave], var[leave]
+            if leave.all():
+                break
+            part = each * (visits / mass)[:, None]
+            size = np.add.reduceat(part, starts)
+            shift = np.add.reduceat(part[..., None] * gaps, starts)
+            moves = size > _EMPTY
+            by = np.where(moves, size, 1.0)
+            shift /= by[..., None]
+            spread = (np.add.reduceat(part * square, starts) / by - (shift * shift).sum(axis=2)) / 2
+            share = np.where(moves, size / n[:, None], share)
+            mean = np.where(moves[..., None], mean + shift, mean)
+            var = np.where(moves, np.maximum(spread, var_floor), var)
+            if leave.any():
+                stay = ~leave
+                rows = stay[user]
+                spots, visits, user = spots[rows], visits[rows], (np.cumsum(stay) - 1)[user[rows]]
+                starts = np.flatnonzero(np.diff(user, prepend=-1))
+                share, mean, var, ll, going = share[stay], mean[stay], var[stay], ll[stay], going[stay]
+        return lls, done, shares, means, variances
+
+
+def _fitted_whole_users(
+    places: DataFrame, min_visits: int, max_rounds: int, tolerance: float, var_floor: float
+) -> DataFrame:
+    """The fits of users whose places fit into a task, one shuffle for all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_users.whole(batches, _TOGETHER):
+            users = _Users(table, min_visits)
+            size = len(users.names)
+            for k in _SLOTS if size else ():
+                ll, settled, shares, means, variances = users.fit(k, max_rounds, tolerance, var_floor)
+                n = np.add.reduceat(users.visits, users.starts)
+                state = [np.full(size, k, np.int32), n, np.ones(size, np.int32), ll, settled]
+                found = [*shares.T, *means[..., 0].T, *means[..., 1].T, *variances.T]
+                columns = [users.names, *(pa.array(np.ascontiguousarray(x)) for x in (*state, *found))]
+                yield pa.RecordBatch.from_arrays(columns, names=["user_id", "k", *_STATE, *_parameter_columns()])
+
+    user = places.schema["user_id"].dataType.simpleString()
+    schema = f"user_id {user}, k int, n double, parts int, ll double, settled boolean"
+    schema += "".join(f", {name} double" for name in _parameter_columns())
+    return whole_users.dealt(places).mapInArrow(run, schema)
+
+
 def mixture_models(
     places: DataFrame,
     min_visits: int = 5,
@@ -217,15 +325,20 @@ def mixture_models(
     of the parameters) and ``bic``. Users below ``min_visits`` have none.
 
     A row is settled once its mean log-likelihood moves less than ``tolerance`` in a round.
-    ``trace`` collects the state after each round, for tests.
+    ``trace`` collects the state after each round, for tests; all users then take the rounds of jobs.
     """
-    columns = cut_lineage(places.select("user_id", "latitude", "longitude", "visits"))
+    spot = ["user_id", "latitude", "longitude", "visits"]
+    columns = cut_lineage(places.select(*spot).dropna(subset=spot))
     ordinary, large = apart_by_size(columns, "user_id", large_user)
-    settings = (min_visits, max_rounds, tolerance, var_floor, trace)
-    found = [_fitted(ordinary.withColumn("parts", F.lit(1)), ["user_id"], *settings)]
+    settings = (min_visits, max_rounds, tolerance, var_floor)
+    if trace is None:
+        whole = cut_lineage(_fitted_whole_users(ordinary, *settings))
+        found = [None if whole.isEmpty() else whole]
+    else:
+        found = [_fitted(ordinary.withColumn("parts", F.lit(1)), ["user_id"], *settings, trace)]
     if large is not None:
         spread = split_hot_groups(large, "user_id", ["latitude", "longitude"], large_user)
-        found.append(_fitted(cut_lineage(spread), ["user_id", "part"], *settings))
+        found.append(_fitted(cut_lineage(spread), ["user_id", "part"], *settings, trace))
     found = [frame for frame in found if frame is not None]
     if not found:
         raise ValueError("no user has enough visits")

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from reviewlens.operators import density, visits
+from reviewlens.operators import density, mixture, visits
 
 PLACES = "user_id bigint, place_id bigint, latitude double, longitude double, visits bigint"
 
@@ -50,3 +50,30 @@ def test_neighbours_of_whole_users_equal_those_by_cells(spark, radius):
     whole, by_cells = visits.near_counts(places, radius), visits.near_counts(places, radius, large_user=10)
     assert sorted(whole.collect()) == sorted(by_cells.collect())
     assert exchanges(whole) == (1, 0)
+
+
+def test_mixtures_of_whole_users_equal_those_in_rounds_of_jobs(spark):
+    places = some_places(spark, users=9).where("user_id is null or user_id != 3")
+    whole = mixture.mixture_models(places)
+    in_rounds = mixture.mixture_models(places, trace=[])
+    spread = mixture.mixture_models(places, large_user=10)
+    rows = lambda df: sorted(df.drop("settled", "parts").collect())
+    expected = rows(in_rounds)
+    assert len(expected) % 4 == 0 and len(expected) >= 24
+    for found in (rows(whole), rows(spread)):
+        assert [r[:2] for r in found] == [r[:2] for r in expected]
+        assert np.allclose([r[2:] for r in found], [r[2:] for r in expected], rtol=0, atol=1e-6)
+    assert whole.schema == in_rounds.schema
+    few = mixture.mixture_models(places, max_rounds=2)
+    assert np.allclose([r[2:] for r in rows(few)], [r[2:] for r in rows(mixture.mixture_models(places, max_rounds=2, trace=[]))], atol=1e-6)
+    assert not all(r["settled"] for r in few.collect())
+
+
+def test_mixtures_need_no_rounds_of_jobs(spark, monkeypatch):
+    def rounds(*_):
+        raise AssertionError("ordinary users took rounds of jobs")
+
+    monkeypatch.setattr(mixture, "_fitted", rounds)
+    assert mixture.mixture_models(some_places(spark)).count()
+    with pytest.raises(ValueError):
+        mixture.mixture_models(some_places(spark).limit(0))
