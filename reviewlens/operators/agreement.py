@@ -30,8 +30,9 @@ def silhouettes(labels: DataFrame) -> DataFrame:
     ``labels`` has user_id, cluster_id, latitude, longitude, visits. A user's clusters travel as
     one array of sums, so places are neither paired nor multiplied.
     """
-    spots = _with_axes(labels.where(F.col("cluster_id").isNotNull()))
-    sums = spots.groupBy("user_id", "cluster_id").agg(
+    # Axes follow from coordinates: they are computed behind the shuffles, not sent through them.
+    spots = labels.where(F.col("cluster_id").isNotNull()).select("user_id", "cluster_id", "latitude", "longitude", "visits")
+    sums = _with_axes(spots).groupBy("user_id", "cluster_id").agg(
         F.sum("visits").alias("n"), *[F.sum(F.col("visits") * F.col(axis)).alias(axis) for axis in _AXES]
     )
     of_user = sums.groupBy("user_id").agg(F.collect_list(F.struct("cluster_id", "n", *_AXES)).alias("clusters"))
@@ -39,7 +40,7 @@ def silhouettes(labels: DataFrame) -> DataFrame:
     apart = lambda c: F.lit(2.0) * c["n"] - F.lit(2.0) * _dot(c)
     own = F.get(F.filter("clusters", lambda c: c["cluster_id"] == F.col("cluster_id")), F.lit(0))
     others = F.transform(F.filter("clusters", lambda c: c["cluster_id"] != F.col("cluster_id")), lambda c: apart(c) / c["n"])
-    placed = spots.join(of_user, "user_id").select(
+    placed = _with_axes(spots.join(of_user, "user_id")).select(
         "user_id", "visits", F.size("clusters").alias("clusters"), own.alias("own"), F.array_min(others).alias("b"), *_AXES
     )
     a = F.greatest(apart(F.col("own")) / (F.col("own.n") - 1), F.lit(0.0))
@@ -76,4 +77,4 @@ def by_nearest_center(places: DataFrame, centers: DataFrame) -> DataFrame:
     spot = F.struct("latitude", "longitude", *_AXES)
     of_user = _with_axes(centers).groupBy("user_id").agg(F.array_sort(F.collect_list(spot)).alias("centers"))
     near = F.transform("centers", lambda c, i: F.struct((-_dot(c)).alias("away"), i.cast("long").alias("at")))
-    return _with_axes(places).join(of_user, "user_id").select(*places.columns, F.array_min(near)["at"].alias("cluster_id"))
+    return _with_axes(places.join(of_user, "user_id")).select(*places.columns, F.array_min(near)["at"].alias("cluster_id"))

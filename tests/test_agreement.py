@@ -82,3 +82,10 @@ def test_places_go_to_the_nearest_center(spark):
     for r in found:
         own = sorted(c[1:] for c in centers if c[0] == r.user_id)
         assert r.cluster_id == min(range(len(own)), key=lambda i: (round(chord((0, 0, r.latitude, r.longitude), (0, 0, *own[i])), 12), i))
+
+
+def test_axes_are_not_sent_through_shuffles(spark):
+    places = spark.createDataFrame(rows_of(3), SCHEMA).drop("cluster_id", "two")
+    centers = places.select("user_id", "latitude", "longitude")
+    plan = agreement.by_nearest_center(places, centers)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("COS(") < plan.index("Join")
