@@ -6,23 +6,28 @@ site may follow every site within ``reach_miles``, and of the farther ones the m
 of each occupied cell of ever larger grids, up to the whole earth. Candidates per site are bounded
 by the area and the number of grids whatever the data, and no town of a user is out of reach.
 
-The rounds of a user are one array computation, so whole users are dealt over the cluster with a
-single shuffle and a task takes some of them at a time. Users with more messages than a task should
-hold run through the same rounds as rows spread by site.
+Candidates and rounds of a user are one array computation, so whole users are dealt over the cluster
+with a single shuffle of their sites and a task takes some of them at a time; no candidate is ever
+exchanged. Users with more sites than a task should pair find their candidates by joins of cells, and
+with more messages than it should hold run through the same rounds as rows spread by site.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from reviewlens.functions import geo
+from reviewlens.functions import geo, geo_arrays
 from reviewlens.functions.grid import Grid
+from reviewlens.operators import whole_users
 from reviewlens.operators.scale import apart_by_size, cut_lineage, width_for
 
 _BLOCK = 5  # rounds between two lineage cuts
@@ -229,6 +234,25 @@ def _whole_users(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
+def _propagated(
+    rows: pd.DataFrame, damping: float, max_rounds: int, settle_rounds: int
+) -> Iterator[pd.DataFrame]:
+    """The rounds of some whole users."""
+    messages = _Messages(rows)
+    for number in range(1, max_rounds + 1):
+        messages.round(damping)
+        if number % _BLOCK:
+            continue
+        settled = messages.settled(settle_rounds)
+        if settled.any():
+            yield messages.exemplars(settled, True)
+            messages.keep(~settled)
+        if not len(messages.site):
+            return
+    if len(messages.site):
+        yield messages.exemplars(np.ones(len(messages.site), bool), False)
+
+
 def _exemplars_of_whole_users(
     similarity: DataFrame, damping: float, max_rounds: int, settle_rounds: int
 ) -> DataFrame:
@@ -236,19 +260,7 @@ def _exemplars_of_whole_users(
 
     def propagate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _whole_users(batches):
-            messages = _Messages(rows)
-            for number in range(1, max_rounds + 1):
-                messages.round(damping)
-                if number % _BLOCK:
-                    continue
-                settled = messages.settled(settle_rounds)
-                if settled.any():
-                    yield messages.exemplars(settled, True)
-                    messages.keep(~settled)
-                if not len(messages.site):
-                    break
-            if len(messages.site):
-                yield messages.exemplars(np.ones(len(messages.site), bool), False)
+            yield from _propagated(rows, damping, max_rounds, settle_rounds)
 
     user = similarity.schema["user_id"].dataType.simpleString()
     return (
@@ -340,6 +352,81 @@ def exemplar_sites(
     return reduce(DataFrame.union, done).select("user_id", F.col("k").alias("site"), "settled")
 
 
+def _similarities_of(
+    table: pa.Table, starts: np.ndarray, reach_miles: float, step_miles: dict[int, float]
+) -> pd.DataFrame:
+    """What :func:`similarities` gives, of some whole users: their numbers, sites as row numbers.
+    ``step_miles`` has the miles of every logarithmic step."""
+    latitude, longitude, visits, tilt = (
+        whole_users.numbers(table, name) for name in ("latitude", "longitude", "visits", "tilt")
+    )
+    site, size = table["site"].to_numpy(), table.num_rows
+    user = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, size)))
+    i, k = whole_users.all_pairs(starts, size)
+    i, k = i[i != k], k[i != k]
+    miles = geo_arrays.miles(tuple(whole_users.numbers(table, f"v{axis}", np.nan) for axis in "xyz"), i, k)
+    met, far = miles <= reach_miles, miles > reach_miles
+    weight = np.where(met, visits[i] * visits[k], 0.0)
+    side = reach_miles
+    while side < geo.HALF_WAY_ROUND_MILES:
+        side = min(side * _WIDER, geo.HALF_WAY_ROUND_MILES)
+        wide = Grid(side)
+        row, column = wide.cells_of(latitude, longitude)
+        order = np.lexsort((site, -visits, column, row, user))
+        firsts = np.ones(size, bool)
+        firsts[1:] = (np.diff(user[order]) != 0) | (np.diff(row[order]) != 0) | (np.diff(column[order]) != 0)
+        cells = np.flatnonzero(firsts)
+        main, of_cell = np.zeros(size, bool), np.zeros(size)
+        main[order[cells]] = True
+        of_cell[order[cells]] = np.add.reduceat(visits[order], cells)
+        new = np.flatnonzero(far & ~met & main[k])
+        one, other = i[new], k[new]
+        new = new[wide.looks_into(latitude[one], longitude[one], side, row[other], column[other])]
+        met[new], weight[new] = True, visits[i[new]] * of_cell[k[new]]
+    i, k, miles, weight = i[met], k[met], miles[met], weight[met]
+    steps = np.log(np.maximum(miles, _LEAST_SPREAD)) * _STEPS
+    steps = np.sign(steps) * np.floor(np.abs(steps) + 0.5)
+    order = np.lexsort((steps, user[i]))
+    of, upto = user[i][order], np.cumsum(weight[order])
+    total = np.bincount(user[i], weight, len(starts))
+    half = np.flatnonzero((upto - (np.cumsum(total) - total)[of]) * 2 >= total[of])
+    known, at = np.unique(of[half], return_index=True)
+    spread = np.full(len(starts), _LEAST_SPREAD)
+    spread[known] = np.maximum([step_miles[step] for step in steps[order][half[at]].astype(int).tolist()], _LEAST_SPREAD)
+    every = np.arange(size)
+    return pd.DataFrame(
+        {
+            "user_id": np.concatenate([user, user[i]]),
+            "i": np.concatenate([every, i]),
+            "k": np.concatenate([every, k]),
+            "s": np.concatenate([-spread[user] * (tilt + 1.0), -miles * visits[i]]),
+        }
+    )
+
+
+def _centers_of_whole_users(
+    spots: DataFrame, reach_miles: float, damping: float, max_rounds: int, settle_rounds: int
+) -> DataFrame:
+    """Exemplar sites of users whose sites fit into a task, one shuffle for all of them."""
+    names = spots.columns
+    ends = (round(math.log(miles) * _STEPS) for miles in (_LEAST_SPREAD, geo.HALF_WAY_ROUND_MILES))
+    steps = spots.sparkSession.range(next(ends) - 1, next(ends) + 2)
+    step_miles = dict(tuple(r) for r in steps.select("id", F.exp(F.col("id") / _STEPS)).collect())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_users.few_users(batches):
+            rows = _similarities_of(table, starts, reach_miles, step_miles)
+            for found in _propagated(rows, damping, max_rounds, settle_rounds):
+                sites = table.take(pa.array(found["k"].to_numpy())).select(names)
+                sites = sites.append_column("settled", pa.array(found["settled"].to_numpy(bool)))
+                yield from sites.combine_chunks().to_batches()
+
+    schema = StructType([*spots.schema.fields, StructField("settled", BooleanType())])
+    tilt = F.pmod(F.xxhash64("user_id", "site"), F.lit(1_000_000)) / 1e12
+    dealt = geo.with_vector(spots.repartition(width_for(spots), "user_id")).withColumn("tilt", tilt)
+    return dealt.sortWithinPartitions("user_id", "site").mapInArrow(run, schema)
+
+
 def exemplar_centers(
     places: DataFrame,
     cell_miles: float = 1.0,
@@ -347,10 +434,18 @@ def exemplar_centers(
     damping: float = 0.5,
     max_rounds: int = 200,
     settle_rounds: int = 15,
+    large_user: int = whole_users.LARGE,
 ) -> DataFrame:
     """Coordinates of each user's exemplar places, and whether the user settled: (user_id, site,
-    latitude, longitude, visits, settled)."""
-    spots = cut_lineage(sites(places, cell_miles))
-    similarity = similarities(spots, reach_miles)
-    chosen = exemplar_sites(similarity, damping, max_rounds, settle_rounds)
-    return spots.join(chosen, ["user_id", "site"])
+    latitude, longitude, visits, settled). Users with more than ``large_user`` sites find their
+    candidates by joins."""
+    spots = cut_lineage(sites(places, cell_miles).dropna(subset=["user_id", "site"]))
+    ordinary, large = apart_by_size(spots, "user_id", large_user)
+    settings = (damping, max_rounds, settle_rounds)
+    # Written out, as the rounds are long and what follows may read the exemplars more than once.
+    centers = cut_lineage(_centers_of_whole_users(ordinary, reach_miles, *settings))
+    if large is None:
+        return centers
+    large = cut_lineage(large)
+    chosen = exemplar_sites(similarities(large, reach_miles), *settings)
+    return centers.unionByName(large.join(chosen, ["user_id", "site"]))

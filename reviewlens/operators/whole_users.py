@@ -82,6 +82,6 @@ def all_pairs(starts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     return i, first[i] + at
 
 
-def numbers(table: pa.Table, name: str) -> np.ndarray:
-    """A column as doubles, 0 for nulls."""
-    return pc.fill_null(table[name].combine_chunks().cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+def numbers(table: pa.Table, name: str, null: float = 0.0) -> np.ndarray:
+    """A column as doubles, with a number for nulls."""
+    return pc.fill_null(table[name].combine_chunks().cast(pa.float64()), null).to_numpy(zero_copy_only=False)

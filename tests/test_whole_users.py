@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from reviewlens.operators import density, mixture, visits
+from reviewlens.operators import density, exemplars, mixture, visits
 
 PLACES = "user_id bigint, place_id bigint, latitude double, longitude double, visits bigint"
 
@@ -77,3 +77,24 @@ def test_mixtures_need_no_rounds_of_jobs(spark, monkeypatch):
     assert mixture.mixture_models(some_places(spark)).count()
     with pytest.raises(ValueError):
         mixture.mixture_models(some_places(spark).limit(0))
+
+
+def test_exemplars_of_whole_users_equal_those_by_joins(spark):
+    places = some_places(spark, users=7)
+    rng = np.random.default_rng(8)
+    far = [(50 + u, i, float(rng.uniform(-89, 89)), float(rng.uniform(-180, 180)), int(rng.integers(1, 4))) for u in range(4) for i in range(25)]
+    places = places.union(spark.createDataFrame(far, PLACES))
+    whole = exemplars.exemplar_centers(places)
+    by_joins = exemplars.exemplar_centers(places, large_user=2)
+    assert sorted(whole.collect()) == sorted(by_joins.collect())
+    assert whole.schema.names == by_joins.schema.names
+    assert {r["user_id"] for r in whole.collect()} == {*range(7), *range(50, 54), 77}
+
+
+def test_candidates_are_not_exchanged(spark, monkeypatch):
+    def joined(*_):
+        raise AssertionError("ordinary users went through joins")
+
+    monkeypatch.setattr(exemplars, "similarities", joined)
+    assert exemplars.exemplar_centers(some_places(spark)).count()
+    assert exemplars.exemplar_centers(some_places(spark).limit(0)).count() == 0
