@@ -1,10 +1,10 @@
 """User-category counts as states that merge, so a day's reviews are added without the old ones.
 
-A state row holds, per user, category and bucket of 32,768 business numbers, a bitmap of the
-businesses reviewed and the sums of the reviews. Bitmaps merge by OR, so a business reviewed on two
+A state row holds, per user, category and bucket of 64 business numbers, a bitmap of the businesses
+reviewed, as a long, and the sums of the reviews. Bitmaps merge by OR, so a business reviewed on two
 days counts once; sums merge by adding. Businesses are numbered along the Z curve of their places:
-who reviews one town has one or two buckets, and a bitmap has 4,096 bytes whatever it holds, nearly
-all of them zeros that compress away.
+who reviews one town has few buckets, and who reviews the whole country has a row per business, so a
+state never has more rows than the pairs of user and business it counts.
 
 The categories of a business must stay what they were when its reviews were counted.
 """
@@ -13,14 +13,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.operators.features import user_business_reviews, with_review_length
+from reviewlens.operators.features import with_review_length
 from reviewlens.operators.scale import cut_lineage
 from reviewlens.sources.layouts import in_place_order
 
 KEYS = ["user_id", "category", "bucket"]
+SPAN = 64  # business numbers of a bucket, as many as a long has bits
 _SUMS = ["reviews", "len_sum", "len_count", "stars_sum", "stars_count"]
 _ROWS_BITS = 33  # row numbers within a partition take the lower bits of an increasing id
 
@@ -58,32 +59,43 @@ def state_of(
 ) -> DataFrame:
     """State of a part of the reviews. ``category_of_business`` may repeat its rows.
 
-    The pairs of user and business are dealt by the state's keys before bitmaps are built, so only
-    pairs are shuffled; a key has at most 32,768 of them.
+    Narrow reviews are dealt by the state's keys before bitmaps are built, so no bitmap is
+    shuffled or sorted.
     """
-    pairs = user_business_reviews(with_review_length(review))
     matches = category_of_business.select("business_id", "category").distinct()
     placed = matches.join(numbers, "business_id").select(
         "business_id",
         "category",
-        F.bitmap_bucket_number("number").alias("bucket"),
-        F.bitmap_bit_position("number").alias("bit"),
+        F.floor(F.col("number") / SPAN).alias("bucket"),
+        F.pmod("number", F.lit(SPAN)).alias("bit"),
     )
-    dealt = pairs.join(placed, "business_id").repartition(*KEYS)
+    narrow = with_review_length(review).select("user_id", "business_id", "review_len", "stars")
+    dealt = narrow.join(placed, "business_id").repartition(*KEYS)
+    # Spark's bitmap has 4,096 bytes; a bucket fills the first eight.
+    word = F.conv(F.hex(F.substring(F.bitmap_construct_agg("bit"), 1, SPAN // 8)), 16, -10).cast("long")
     return dealt.groupBy(*KEYS).agg(
-        F.bitmap_construct_agg("bit").alias("businesses"),
-        *(F.sum(name).alias(name) for name in _SUMS),
+        word.alias("businesses"),
+        F.count("*").alias("reviews"),
+        F.sum("review_len").alias("len_sum"),
+        F.count("review_len").alias("len_count"),
+        F.sum("stars").alias("stars_sum"),
+        F.count("stars").alias("stars_count"),
     )
 
 
 def merged(*states: DataFrame) -> DataFrame:
     """One state of several. Merging is associative and does not depend on order; the parts must
-    not share reviews."""
+    not share reviews.
+
+    The rows of a user and category meet by one shuffle, after which they are counted without a further
+    one.
+    """
     return (
         reduce(DataFrame.unionByName, states)
+        .repartition("user_id", "category")
         .groupBy(*KEYS)
         .agg(
-            F.bitmap_or_agg("businesses").alias("businesses"),
+            F.bit_or("businesses").alias("businesses"),
             *(F.sum(name).alias(name) for name in _SUMS),
         )
     )
@@ -92,7 +104,7 @@ def merged(*states: DataFrame) -> DataFrame:
 def user_category_agg(state: DataFrame) -> DataFrame:
     """The counts and means of a state, as ``features.user_category_agg`` has them of the reviews."""
     counted = state.select(
-        "user_id", "category", F.bitmap_count("businesses").alias("n"), *_SUMS
+        "user_id", "category", F.bit_count("businesses").cast("long").alias("n"), *_SUMS
     )
     sums = counted.groupBy("user_id", "category").agg(
         F.sum("n").alias("cat_business_count"), *(F.sum(name).alias(name) for name in _SUMS)

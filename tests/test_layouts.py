@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from reviewlens import schemas
 from reviewlens.functions.curve import BITS, z_key
 from reviewlens.operators import features, locality, merging
+from reviewlens.operators.scale import cut_lineage
 from reviewlens.plans import features as feature_plans
 from reviewlens.sources import layouts, ledger
 from reviewlens.sources.taxonomy import membership
@@ -254,3 +255,24 @@ def test_only_pairs_are_shuffled_for_a_state(spark):
     assert "REPARTITION_BY_COL" in exchanges[0]
     below = plan.split(exchanges[0], 1)[1]
     assert "bitmap_construct_agg" in plan and "bitmap_construct_agg" not in below
+
+
+def test_states_of_scattered_businesses_stay_small(spark):
+    n = 3_000
+    business = spark.range(n).selectExpr("id as business_id", "id * 0.01 as latitude", "id * 0.02 as longitude")
+    review = spark.range(n).selectExpr("1L as user_id", "id * 7 % 3000 as business_id", "3L as stars", "'x' as text")
+    categories = business.selectExpr("business_id", "'Food' as category")
+    numbers = merging.business_numbers(business)
+    near, far = (merging.state_of(review.where(rows), categories, numbers) for rows in ("true", "business_id % 500 = 0"))
+    assert dict(far.dtypes)["businesses"] == "bigint"  # eight bytes a row, however few businesses it has
+    assert (near.count(), far.count()) == (-(-n // merging.SPAN), n // 500)
+    every = [merging.state_of(review.where(f"business_id % 3 = {i}"), categories, numbers) for i in range(3)]
+    [row] = merging.user_category_agg(merging.merged(*every, near)).collect()
+    assert (row["cat_business_count"], row["cat_review_count"]) == (n, 2 * n)
+
+
+def test_a_merged_state_is_shuffled_once(spark, small):
+    review, categories, business = small
+    state = cut_lineage(merging.state_of(review, categories, merging.business_numbers(business)))
+    plan = plan_of(merging.user_category_agg(merging.merged(state, state)))
+    assert plan.count("Exchange hashpartitioning") == 1 and "bitmap" not in plan
