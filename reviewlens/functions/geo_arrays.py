@@ -17,15 +17,18 @@ def unit_vectors(latitude: np.ndarray, longitude: np.ndarray) -> Places:
     return np.cos(height) * np.cos(turn), np.cos(height) * np.sin(turn), np.sin(height)
 
 
-# The quotient that gives the arc sine up to one half in the JVM's mathematics.
+# The quotients and parts of pi that give the arc sine in the JVM's mathematics.
 _ABOVE = (1.66666666666666657415e-01, -3.25565818622400915405e-01, 2.01212532134862925881e-01,
           -4.00555345006794114027e-02, 7.91534994289814532176e-04, 3.47933107596021167570e-05)
 _BELOW = (1.0, -2.40339491173441421878e00, 2.02094576023350569471e00, -6.88283971605453293030e-01, 7.70381505559019352791e-02)
+_QUARTER_PI = 7.85398163397448278999e-01
+_HALF_PI, _HALF_PI_REST = 1.57079632679489655800e00, 6.12323399573676603587e-17
+_NEAR_ONE = 0.974999904632568359375
 
 
 def _arcsin(x: np.ndarray) -> np.ndarray:
-    """Arc sine of numbers from 0 to 1, up to one half (some 4,000 miles) with the bits that Spark's
-    has: clusterings whose rounds do not settle hang on the last bit of a distance."""
+    """Arc sine of numbers from 0 to 1 with the bits that Spark's has: clusterings whose rounds do not
+    settle hang on the last bit of a distance."""
 
     def value(of: tuple[float, ...], t: np.ndarray) -> np.ndarray:
         found = np.full(t.shape, of[-1])
@@ -33,9 +36,20 @@ def _arcsin(x: np.ndarray) -> np.ndarray:
             found = one + t * found
         return found
 
-    t = x * x
-    small = x + x * (t * value(_ABOVE, t) / value(_BELOW, t))
-    return np.where(x < 0.5, small, np.arcsin(x))
+    def quotient(t: np.ndarray) -> np.ndarray:
+        return t * value(_ABOVE, t) / value(_BELOW, t)
+
+    found = x + x * quotient(x * x)
+    far = np.flatnonzero(x >= 0.5)
+    if len(far):  # some 4,000 miles and more
+        t = (1.0 - x[far]) * 0.5
+        s, r = np.sqrt(t), quotient(t)
+        high = (s.view(np.int64) & ~np.int64(0xFFFFFFFF)).view(np.float64)
+        rest = (t - high * high) / np.where(s == 0.0, 1.0, s + high)
+        middle = _QUARTER_PI - ((2.0 * s * r - (_HALF_PI_REST - 2.0 * rest)) - (_QUARTER_PI - 2.0 * high))
+        end = _HALF_PI - (2.0 * (s + s * r) - _HALF_PI_REST)
+        found[far] = np.where(x[far] >= _NEAR_ONE, end, middle)
+    return found
 
 
 def _halves(at: Places, i: np.ndarray, k: np.ndarray) -> np.ndarray:

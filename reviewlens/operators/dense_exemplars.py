@@ -5,8 +5,12 @@ being an exemplar costs the median distance between two visits at different plac
 has a message per pair, so its work grows with the square of a user's places;
 :mod:`reviewlens.operators.exemplars` is the form for users with very many.
 
-Pairs appear behind joins of places with blocks of places and are filtered or summed where they appear;
-only those that can matter are shuffled, as messages. A bound proves which cannot. With ``p`` the cost of being an exemplar, at any time and damped or not,
+Users of up to ``BLOCK`` places meet in matrices within a task, after one shuffle of their places: medians,
+costs and all rounds, users of one size together. No pair or message of theirs leaves the task.
+
+For larger users pairs appear behind joins of places with blocks of places and are filtered or summed where
+they appear; only those that can matter are shuffled, as messages. A bound proves which cannot. With ``p`` the
+cost of being an exemplar, at any time and damped or not,
 
 * ``a + s`` of the pair (i, k) is at most ``s(i, k)``, as a place offers others at most zero,
 * for i itself it is at least ``p``, as a place's own availability is never below zero, and
@@ -16,7 +20,7 @@ So a pair with ``s(i, k) < s(i, nearest) + p`` is never first nor second of its
 message, has no positive responsibility and backs no one: leaving it out changes no exemplar. What
 remains are the pairs up to about the median distance, with a margin for rounding.
 
-Places without user or coordinates are left out. A user with one place has it as exemplar; an
+Places without user, id or coordinates are left out. A user with one place has it as exemplar; an
 empty table gives no rows; other columns are ignored. (user_id, place_id) must be unique, as
 :func:`reviewlens.operators.visits.user_places` gives them; equal coordinates under two ids are two places.
 """
@@ -24,16 +28,26 @@ empty table gives no rows; other columns are ignored. (user_id, place_id) must b
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from reviewlens.functions import geo
+from reviewlens.functions import geo, geo_arrays
+from reviewlens.operators import whole_users
 from reviewlens.operators.exemplars import exemplar_sites
-from reviewlens.operators.scale import cut_lineage, split_hot_groups
+from reviewlens.operators.scale import cut_lineage, split_hot_groups, width_for
 
-BLOCK = 1024  # places that meet a place in one row
+BLOCK = 1024  # places that meet a place in one row; users of no more take matrices
 PAIRS = 2_000_000  # pairs a task opens
+_PAIRS_IN_MATRICES = 20_000_000  # pairs whose rounds a task runs
+_TOGETHER = 50_000  # pairs in the matrices of users that take their rounds together
+_LOOK = 5  # rounds after which settled users leave
+_ALONE = -1e9  # stands for "no rival" where a user has one place
 _LEAST_SPREAD = 0.01
 _STEPS = 32.0  # steps per unit of the logarithm in which the median is looked for first
 _DIGITS = 6  # of a mile, in which the median is exact
@@ -43,16 +57,16 @@ _MARGIN = 1e-5
 def spots(places: DataFrame) -> DataFrame:
     """Places with unit vectors, dealt over ``parts`` blocks of their user, written out."""
     known = places.select("user_id", F.col("place_id").alias("site"), "latitude", "longitude", "visits")
-    known = known.dropna(subset=["user_id", "latitude", "longitude"])
+    known = known.dropna(subset=["user_id", "site", "latitude", "longitude"])
     return cut_lineage(geo.with_vector(split_hot_groups(known, "user_id", ["site"], BLOCK)))
 
 
-def _width(followers: DataFrame) -> int:
+def _width(followers: DataFrame, each: int) -> int:
     """Partitions for the pairs of these places: few rows open into many, so their number counts."""
     sizes = followers.groupBy("user_id").agg(F.count("*").alias("n"))
     pairs = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0.0
     least = int(followers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, math.ceil(pairs / PAIRS))
+    return max(least, math.ceil(pairs / each))
 
 
 def _pairs(followers: DataFrame, leaders: DataFrame, *also: str) -> DataFrame:
@@ -68,7 +82,7 @@ def _pairs(followers: DataFrame, leaders: DataFrame, *also: str) -> DataFrame:
         *also,
         *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-    ).repartition(_width(followers), "user_id", "part")
+    ).repartition(_width(followers, PAIRS), "user_id", "part")
     distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("v"))
     return (
         left.join(blocks, ["user_id", "part"])
@@ -131,12 +145,24 @@ def profiles(spots: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sites, medians
 
 
+def _apart(spots: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of users with one block, and of those with several if there are any."""
+    large = spots.where("parts > 1")
+    return spots.where("parts = 1"), None if large.isEmpty() else large
+
+
 def preferences(spots: DataFrame) -> DataFrame:
     """The spots with ``nearest``, ``cost`` and ``spread``, written out; zero, zero and the least
     spread for places without others."""
+    ordinary, large = _apart(spots)
+    found = _profiles_of_whole_users(ordinary)
+    return cut_lineage(found if large is None else found.unionByName(_profiles_by_joins(large)))
+
+
+def _profiles_by_joins(spots: DataFrame) -> DataFrame:
     sites, medians = profiles(spots)
     least = F.lit(_LEAST_SPREAD)
-    return cut_lineage(
+    return (
         spots.join(sites, ["user_id", "site"], "left")
         .join(medians, "user_id", "left")
         .withColumns(
@@ -149,10 +175,157 @@ def preferences(spots: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Whole users in the partitions, sorted by site."""
+    width = max(width_for(rows), _width(rows, _PAIRS_IN_MATRICES))
+    return rows.repartition(width, "user_id").sortWithinPartitions("user_id", "site")
+
+
+class _Users:
+    """Some whole users of a task, their columns as arrays."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table
+        self.at = tuple(whole_users.numbers(table, f"v{axis}") for axis in "xyz")
+        self.visits = whole_users.numbers(table, "visits")
+
+    def alike(self) -> Iterator[np.ndarray]:
+        """Row numbers, a line per user, of users with equally many places."""
+        starts = whole_users.starts_of(self.table, "user_id")
+        sizes = np.diff(np.append(starts, self.table.num_rows))
+        for size in np.unique(sizes):
+            firsts, few = starts[sizes == size], max(1, _TOGETHER // int(size) ** 2)
+            for first in range(0, len(firsts), few):
+                yield firsts[first : first + few, None] + np.arange(size)
+
+    def miles(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distances as a matrix per user, and of each two places once with their pairs of visits."""
+        one, other = np.triu_indices(rows.shape[1], 1)
+        i, k = rows[:, one], rows[:, other]
+        once = geo_arrays.miles(self.at, i.ravel(), k.ravel()).reshape(i.shape)
+        whole = np.zeros((*rows.shape, rows.shape[1]))
+        whole[:, one, other] = whole[:, other, one] = once
+        return whole, once, self.visits[i] * self.visits[k]
+
+    def similarities(self, rows: np.ndarray, miles: np.ndarray, spread: np.ndarray) -> np.ndarray:
+        s = -miles * self.visits[rows][:, :, None]
+        own = np.arange(rows.shape[1])
+        tilt = whole_users.numbers(self.table, "tilt")[rows]
+        s[:, own, own] = -spread[:, None] * (tilt + 1.0)
+        return s
+
+
+def _medians(miles: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The weighted median of each line, to ``_DIGITS`` digits, and the least spread at least."""
+    if not miles.shape[1]:
+        return np.full(len(miles), _LEAST_SPREAD)
+    order = np.argsort(miles, axis=1)
+    upto = np.cumsum(np.take_along_axis(weight, order, 1), axis=1)
+    middle = np.argmax(upto * 2 >= upto[:, -1:], axis=1)
+    line = np.arange(len(miles))
+    digits = Decimal(1).scaleb(-_DIGITS)
+    found = miles[line, order[line, middle]].tolist()
+    rounded = [float(Decimal(repr(m)).quantize(digits, ROUND_HALF_UP)) for m in found]
+    return np.maximum(rounded, _LEAST_SPREAD)
+
+
+def _profiles_of_whole_users(spots: DataFrame) -> DataFrame:
+    """What :func:`_profiles_by_joins` gives, for users that fit into a task."""
+    names = ("nearest", "cost", "spread")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_users.whole(batches):
+            users = _Users(table)
+            found = {name: np.zeros(table.num_rows) for name in names}
+            for rows in users.alike():
+                miles, once, weight = users.miles(rows)
+                found["cost"][rows] = (miles * users.visits[rows][:, None, :]).sum(axis=2)
+                found["spread"][rows] = _medians(once, weight)[:, None]
+                if rows.shape[1] > 1:
+                    own = np.arange(rows.shape[1])
+                    miles[:, own, own] = np.inf
+                    found["nearest"][rows] = miles.min(axis=2)
+            for name in names:
+                table = table.append_column(name, pa.array(found[name]))
+            yield from table.combine_chunks().to_batches()
+
+    schema = StructType([*spots.schema.fields, *(StructField(name, DoubleType()) for name in names)])
+    return _dealt(spots).mapInArrow(run, schema)
+
+
+def _rounds(s: np.ndarray, damping: float, max_rounds: int, settle_rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(exemplars, settled) of users of one size, a matrix of similarities each: the rounds of the sparse
+    form, with every message. Sums go over the followers in their order, as they do there."""
+    exemplars, settled = np.zeros(s.shape[:2], bool), np.zeros(len(s), bool)
+    left, own = np.arange(len(s)), np.arange(s.shape[1])
+    r, a = np.zeros_like(s), np.zeros_like(s)
+    held, chosen = np.zeros(s.shape[:2], int), np.zeros(s.shape[:2], bool)
+    for number in range(1, max_rounds + 1):
+        user = np.arange(len(s))[:, None]
+        v = a + s
+        first = v.argmax(axis=2)
+        best = v[user, own, first]
+        v[user, own, first] = _ALONE
+        second = v.max(axis=2)
+        new = np.subtract(s, best[:, :, None], out=v)
+        new[user, own, first] = s[user, own, first] - second
+        new *= 1.0 - damping
+        r *= damping
+        r += new
+        backing = np.maximum(r, 0.0, out=new)
+        backing[:, own, own] = r[:, own, own]
+        others = np.subtract(backing.sum(axis=1)[:, None, :], backing, out=backing)
+        offered = others[:, own, own]
+        offer = np.minimum(others, 0.0, out=others)
+        offer[:, own, own] = offered
+        offer *= 1.0 - damping
+        a *= damping
+        a += offer
+        now = a[:, own, own] + r[:, own, own] > 0
+        held = np.where(now == chosen, held + 1, 1)
+        chosen = now
+        if number % _LOOK:
+            continue
+        done = (held.min(axis=1) >= settle_rounds) & chosen.any(axis=1)
+        if done.any():
+            exemplars[left[done]], settled[left[done]] = chosen[done], True
+            left, s, r, a, held, chosen = (of[~done] for of in (left, s, r, a, held, chosen))
+            if not len(left):
+                break
+    exemplars[left] = chosen
+    return exemplars, settled
+
+
+def _exemplars_of_whole_users(rows: DataFrame, damping: float, max_rounds: int, settle_rounds: int) -> DataFrame:
+    """Rows of exemplar places with ``settled``, for users that fit into a task. ``spread`` is found where the
+    rows have none."""
+    known = "spread" in rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_users.whole(batches):
+            users = _Users(table)
+            leads, settled = np.zeros(table.num_rows, bool), np.zeros(table.num_rows, bool)
+            for at in users.alike():
+                miles, once, weight = users.miles(at)
+                spread = whole_users.numbers(table, "spread")[at[:, 0]] if known else _medians(once, weight)
+                s = users.similarities(at, miles, spread)
+                leads[at], done = _rounds(s, damping, max_rounds, settle_rounds)
+                settled[at] = done[:, None]
+            found = table.drop_columns(["tilt"]).append_column("settled", pa.array(settled))
+            yield from found.filter(pa.array(leads)).combine_chunks().to_batches()
+
+    schema = StructType([*rows.schema.fields, StructField("settled", BooleanType())])
+    return _dealt(rows).withColumn("tilt", _tilt()).mapInArrow(run, schema)
+
+
+def _tilt() -> Column:
+    """A millionth at most, which breaks ties between places."""
+    return F.pmod(F.xxhash64("user_id", "site"), F.lit(1_000_000)) / 1e12
+
+
 def _own() -> Column:
-    """Similarity of a place to itself; a millionth at most breaks ties between places."""
-    tilt = F.pmod(F.xxhash64("user_id", "site"), F.lit(1_000_000)) / 1e12
-    return -F.col("spread") * (tilt + 1.0)
+    """Similarity of a place to itself."""
+    return -F.col("spread") * (_tilt() + 1.0)
 
 
 def similarities(known: DataFrame, prune: bool = True) -> DataFrame:
@@ -170,6 +343,33 @@ def net_similarities(known: DataFrame, chosen: DataFrame) -> DataFrame:
     and what the exemplars cost, as a negative sum."""
     leads = chosen.select("user_id", "site", F.lit(True).alias("leads"))
     marked = known.join(leads, ["user_id", "site"], "left")
+    ordinary, large = _apart(cut_lineage(marked))
+    found = _net_of_whole_users(ordinary)
+    return found if large is None else found.union(_net_by_joins(large))
+
+
+def _net_of_whole_users(marked: DataFrame) -> DataFrame:
+    columns = ["user_id", "site", "visits", "vx", "vy", "vz", "spread", "leads"]
+    schema = StructType([marked.schema["user_id"], StructField("net", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_users.whole(batches):
+            users, leads = _Users(table), whole_users.numbers(table, "leads") > 0
+            spread, led, net = whole_users.numbers(table, "spread"), [], []
+            for rows in users.alike():
+                rows = rows[leads[rows].any(axis=1)]
+                s = users.similarities(rows, users.miles(rows)[0], spread[rows[:, 0]])
+                own = np.arange(rows.shape[1])
+                nearest = np.where(leads[rows][:, None, :], s, -np.inf).max(axis=2, initial=-np.inf)
+                led += rows[:, 0].tolist()
+                net += np.where(leads[rows], s[:, own, own], nearest).sum(axis=1).tolist()
+            found = table.take(pa.array(led, pa.int64())).select(["user_id"])
+            yield from found.append_column("net", pa.array(net, pa.float64())).combine_chunks().to_batches()
+
+    return _dealt(marked.select(columns)).withColumn("tilt", _tilt()).mapInArrow(run, schema)
+
+
+def _net_by_joins(marked: DataFrame) -> DataFrame:
     leaders = marked.where("leads")
     own = leaders.select("user_id", F.col("site").alias("i"), _own().alias("s"))
     follow = _pairs(marked.where("leads is null"), leaders)
@@ -180,7 +380,11 @@ def net_similarities(known: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def exemplars_of(known: DataFrame, damping: float = 0.5, max_rounds: int = 200, settle_rounds: int = 15) -> DataFrame:
     """(user_id, site, settled) over what :func:`preferences` gives, by the rounds of the sparse form."""
-    return exemplar_sites(similarities(known), damping, max_rounds, settle_rounds)
+    settings = (damping, max_rounds, settle_rounds)
+    ordinary, large = _apart(known)
+    columns = ["user_id", "site", "visits", "vx", "vy", "vz", "spread"]
+    found = _exemplars_of_whole_users(ordinary.select(columns), *settings).select("user_id", "site", "settled")
+    return found if large is None else found.union(exemplar_sites(similarities(large), *settings))
 
 
 def dense_exemplar_centers(
@@ -188,6 +392,14 @@ def dense_exemplar_centers(
 ) -> DataFrame:
     """Exemplar places of each user over all pairs of its places, and whether the user settled:
     (user_id, site, latitude, longitude, visits, settled)."""
-    known = preferences(spots(places))
-    chosen = exemplars_of(known, damping, max_rounds, settle_rounds)
-    return known.select("user_id", "site", "latitude", "longitude", "visits").join(chosen, ["user_id", "site"])
+    settings = (damping, max_rounds, settle_rounds)
+    columns = ["user_id", "site", "latitude", "longitude", "visits"]
+    ordinary, large = _apart(spots(places))
+    found = _exemplars_of_whole_users(ordinary.drop("part", "parts"), *settings)
+    # Written out, as the rounds are long and what follows may read the exemplars more than once.
+    found = cut_lineage(found.select(*columns, "settled"))
+    if large is None:
+        return found
+    known = cut_lineage(_profiles_by_joins(large))
+    chosen = exemplar_sites(similarities(known), *settings)
+    return found.unionByName(known.select(columns).join(chosen, ["user_id", "site"]))

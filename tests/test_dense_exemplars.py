@@ -101,3 +101,31 @@ def test_pairs_are_filtered_where_they_appear(found):
     plan = dense.similarities(known)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in plan and "Exchange" not in plan[: plan.index("Generate explode(members")]
     assert "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_whole_users_have_the_exemplars_of_joined_pairs(spark, found, monkeypatch):
+    _, places, known = found
+    whole = sorted(dense.dense_exemplar_centers(places, max_rounds=20).collect())
+    chosen = known.where("site % 4 = 0").select("user_id", "site")
+    net = {r["user_id"]: r["net"] for r in dense.net_similarities(known, chosen).collect()}
+    monkeypatch.setattr(dense, "BLOCK", 1)
+    small = dense.preferences(dense.spots(places))
+    joined = sorted(dense.dense_exemplar_centers(places, max_rounds=20).collect())
+    assert whole == joined and {r["settled"] for r in whole} == {True, False}
+    assert sorted(dense.exemplars_of(small, max_rounds=20).collect()) == [(r[0], r[1], r[5]) for r in joined]
+    by_joins = {r["user_id"]: r["net"] for r in dense.net_similarities(small, chosen).collect()}
+    assert net.keys() == by_joins.keys() and all(net[u] == pytest.approx(by_joins[u], rel=1e-9) for u in net)
+
+
+def test_no_pair_of_a_whole_user_is_joined_or_exchanged(spark, found, monkeypatch):
+    def joined(*_):
+        raise AssertionError("ordinary users went through joins")
+
+    monkeypatch.setattr(dense, "_pairs", joined)
+    monkeypatch.setattr(dense, "exemplar_sites", joined)
+    _, places, known = found
+    chosen = dense.exemplars_of(known)
+    plan = chosen._jdf.queryExecution().sparkPlan().toString()
+    assert (plan.count("Exchange"), plan.count("Join")) == (1, 0)
+    assert dense.net_similarities(dense.preferences(dense.spots(places)), chosen).count() == chosen.select("user_id").distinct().count()
+    assert dense.dense_exemplar_centers(places).count() == chosen.count()

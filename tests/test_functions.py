@@ -3,10 +3,11 @@
 import datetime
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlens.functions import geo, members
+from reviewlens.functions import geo, geo_arrays, members
 from reviewlens.functions.grid import Grid
 
 AS_OF = datetime.date(2016, 3, 10)
@@ -189,3 +190,10 @@ def test_spherical_center_crosses_date_line(spark):
 def test_region_is_unknown_without_coordinates(spark):
     df = spark.createDataFrame([(None, None), (5.0, None), (5.0, 170.0), (5.0, -135.0)], "m double, d double")
     assert values(df, geo.region_label(F.col("m"), F.col("d"))) == [None, None, "west", "west"]
+
+
+def test_arc_sines_of_arrays_have_the_bits_of_spark(spark):
+    x = np.concatenate([np.random.default_rng(4).uniform(0, 1, 20_000), [0.0, 0.5, 0.975, 0.9749999046325684, 1.0]])
+    rows = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i long, x double")
+    expected = [r[0] for r in rows.orderBy("i").select(F.asin("x")).collect()]
+    assert geo_arrays._arcsin(x).tolist() == expected
