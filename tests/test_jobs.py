@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens import schemas
-from reviewlens.operators import checkins, expertise, features, locality, metrics, scale, visits
+from reviewlens.operators import checkins, expertise, features, locality, metrics, scale, scoring, visits
 from reviewlens.plans import features as feature_plans
 from reviewlens.plans import home_areas, ranking
 from reviewlens.testbed import catalog
@@ -210,6 +210,22 @@ PLANNED = sorted(
 )
 
 
+def test_ratings_of_wanted_businesses_are_filtered_before_orders_meet(spark, tmp_path):
+    items = [(1, 7, 11.0, "N", "O"), (1, 8, 4.0, "N", "O"), (2, 7, 5.0, "R", "F"), (2, None, 5.0, "R", "F"), (9, 7, 3.0, "N", "O")]
+    spark.createDataFrame(
+        items, "l_orderkey long, l_partkey long, l_quantity double, l_returnflag string, l_linestatus string"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = [(1, 5, "LOW"), (2, 5, "HIGH"), (3, 6, "LOW")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(
+        str(tmp_path / "orders.parquet")
+    )
+    wanted = scale.cut_lineage(spark.createDataFrame([(7,)], "business_id long"))
+    ratings = scoring.pair_ratings(Tables(spark, str(tmp_path)).review, wanted)
+    assert [tuple(r) for r in ratings.collect()] == [(5, 7, 3, 2)]
+    plan = ratings._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Join LeftSemi")  # the filter stands below
+
+
 @pytest.mark.parametrize("key", PLANNED)
 def test_plans_stay_native_and_without_products(spark, key):
     plan = catalog.queries()[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
