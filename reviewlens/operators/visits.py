@@ -52,10 +52,49 @@ def locations_per_user(places: DataFrame, target_rows: int = 10_000) -> DataFram
     )
 
 
-def near_pairs(places: DataFrame, radius_miles: float) -> DataFrame:
+def near_pairs(
+    places: DataFrame, radius_miles: float, large_user: int = whole_users.LARGE
+) -> DataFrame:
     """Pairs of places of one user within the radius, each pair once (place_a < place_b).
 
-    Cells are as wide as the radius, so only places of neighbouring cells meet and a fixed share
+    Places meet within a task, or behind joins of cells for users with more than ``large_user``
+    places. Two places of one cell are a pair if their ids differ.
+    """
+    columns = ["user_id", "place_id", "latitude", "longitude"]
+    known = cut_lineage(places.select(*columns).dropna(subset=["user_id", "latitude", "longitude"]))
+    ordinary, large = apart_by_size(known, "user_id", large_user)
+    pairs = _near_pairs_of_whole_users(ordinary, radius_miles)
+    return pairs if large is None else pairs.union(_near_pairs_by_cells(large, radius_miles))
+
+
+def _near_pairs_of_whole_users(places: DataFrame, radius_miles: float) -> DataFrame:
+    cell = Grid(radius_miles).cell(F.col("latitude"), F.col("longitude"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_users.few_users(batches):
+            at = tuple(whole_users.numbers(table, f"v{axis}") for axis in "xyz")
+            home = table["home"].to_numpy()
+            firsts = whole_users.starts_of(table, "user_id", "place_id")
+            node = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, table.num_rows)))
+            unnamed = table["place_id"].is_null().to_numpy()
+            i, k = whole_users.later_pairs(starts, table.num_rows)
+            kept = geo_arrays.near(at, i, k, radius_miles)
+            i, k = i[kept], k[kept]
+            kept = (home[i] != home[k]) | ((node[i] != node[k]) & ~unnamed[i])  # sorted, nulls first
+            i, k = i[kept], k[kept]
+            ends = (np.where(unnamed[i], k, i), k)
+            found = [table["user_id"].take(pa.array(i)), *(table["place_id"].take(pa.array(end)) for end in ends)]
+            found.append(pa.array(geo_arrays.miles(at, i, k)))
+            pairs = pa.table(found, ["user_id", "place_a", "place_b", "miles"])
+            yield from pairs.combine_chunks().to_batches()
+
+    user, place = (places.schema[name].dataType.simpleString() for name in ("user_id", "place_id"))
+    spots = geo.with_vector(whole_users.dealt(places, "place_id")).withColumn("home", cell)
+    return spots.mapInArrow(run, f"user_id {user}, place_a {place}, place_b {place}, miles double")
+
+
+def _near_pairs_by_cells(places: DataFrame, radius_miles: float) -> DataFrame:
+    """Cells are as wide as the radius, so only places of neighbouring cells meet and a fixed share
     of what meets is within the radius: candidates stay in proportion to the pairs returned. A
     place looks at its own cell and the later ones only, as the earlier ones look at it.
     """

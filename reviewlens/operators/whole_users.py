@@ -82,6 +82,14 @@ def all_pairs(starts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     return i, first[i] + at
 
 
+def later_pairs(starts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, k) of every row and every later row of its user, sorted."""
+    sizes = np.diff(np.append(starts, rows))
+    each = np.repeat(starts + sizes, sizes) - np.arange(rows) - 1
+    i = np.repeat(np.arange(rows), each)
+    return i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(each) - each, each)
+
+
 def numbers(table: pa.Table, name: str, null: float = 0.0) -> np.ndarray:
     """A column as doubles, with a number for nulls."""
     return pc.fill_null(table[name].combine_chunks().cast(pa.float64()), null).to_numpy(zero_copy_only=False)

@@ -52,6 +52,21 @@ def test_neighbours_of_whole_users_equal_those_by_cells(spark, radius):
     assert exchanges(whole) == (1, 0)
 
 
+@pytest.mark.parametrize("radius", [0.5, 4.0, 40.0])
+def test_pairs_of_whole_users_equal_those_by_cells(spark, radius):
+    odd = [(5, None, 40.0, 179.9, 1), (5, None, 40.3, 179.9, 1), (5, 970, 40.05, 179.95, 1), (5, 970, 40.01, 179.9, 1)]
+    places = some_places(spark).union(spark.createDataFrame(odd, PLACES))
+    whole, by_cells = visits.near_pairs(places, radius), visits.near_pairs(places, radius, large_user=10)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(whole) == rows(by_cells)
+    assert whole.schema.names == by_cells.schema.names and whole.count()
+    assert exchanges(whole) == (1, 0)  # places by user, and no cell or pair besides
+    named = places.selectExpr("user_id", "concat('p', lpad(place_id, 5, '0')) as place_id", "latitude", "longitude")
+    assert visits.near_pairs(named, radius).where("place_a > place_b").isEmpty()
+    assert visits.near_pairs(named, radius).count() == whole.count()
+    assert visits.near_pairs(places.limit(0), radius).count() == 0
+
+
 def test_mixtures_of_whole_users_equal_those_in_rounds_of_jobs(spark):
     places = some_places(spark, users=9).where("user_id is null or user_id != 3")
     whole = mixture.mixture_models(places)
