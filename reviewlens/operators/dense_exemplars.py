@@ -2,11 +2,11 @@
 
 Every place may follow every other place of its user, at minus the distance in miles times its visits;
 being an exemplar costs the median distance between two visits at different places. That definition
-has a message per pair, so its work grows with the square of a user's places;
-:mod:`reviewlens.operators.exemplars` is the form for users with very many.
+has a message per pair, so its work grows with the square of a user's places.
 
 Users of up to ``BLOCK`` places meet in matrices within a task, after one shuffle of their places: medians,
-costs and all rounds, users of one size together. No pair or message of theirs leaves the task.
+costs and all rounds, users of one size together. No pair or message of theirs leaves the task. Tables hold
+coordinates only: unit vectors follow from them and are neither stored nor shuffled for these users.
 
 For larger users pairs appear behind joins of places with blocks of places and are filtered or summed where
 they appear; only those that can matter are shuffled, as messages. A bound proves which cannot. With ``p`` the
@@ -39,8 +39,8 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from reviewlens.functions import geo, geo_arrays
 from reviewlens.operators import whole_users
-from reviewlens.operators.exemplars import exemplar_sites
-from reviewlens.operators.scale import cut_lineage, split_hot_groups, width_for
+from reviewlens.operators.affinity_rounds import exemplar_sites
+from reviewlens.operators.scale import cut_lineage, group_sizes, width_for
 
 BLOCK = 1024  # places that meet a place in one row; users of no more take matrices
 PAIRS = 2_000_000  # pairs a task opens
@@ -54,11 +54,27 @@ _DIGITS = 6  # of a mile, in which the median is exact
 _MARGIN = 1e-5
 
 
-def spots(places: DataFrame) -> DataFrame:
+def spots(places: DataFrame, block: int | None = None) -> DataFrame:
     """Places with unit vectors, dealt over ``parts`` blocks of their user, written out."""
     known = places.select("user_id", F.col("place_id").alias("site"), "latitude", "longitude", "visits")
-    known = known.dropna(subset=["user_id", "site", "latitude", "longitude"])
-    return cut_lineage(geo.with_vector(split_hot_groups(known, "user_id", ["site"], BLOCK)))
+    return in_blocks(cut_lineage(known.dropna(subset=["user_id", "site", "latitude", "longitude"])), block)
+
+
+def in_blocks(known: DataFrame, block: int | None = None) -> DataFrame:
+    """What :func:`spots` gives, of written places that all have a user, site and coordinates."""
+    block = block or BLOCK
+    sizes = group_sizes(known, "user_id").where(F.col("group_rows") > block)
+    large = cut_lineage(sizes.select("user_id", F.ceil(F.col("group_rows") / block).cast("int").alias("parts")))
+    if large.isEmpty():
+        return geo.with_vector(known.withColumns({"parts": F.lit(1), "part": F.lit(0)}))
+    dealt = known.join(large, "user_id", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    part = F.pmod(F.xxhash64("site"), F.col("parts")).cast("int")
+    return geo.with_vector(cut_lineage(dealt.withColumn("part", part)))
+
+
+def _stored(rows: DataFrame) -> DataFrame:
+    """Rows without what follows from their coordinates."""
+    return rows.drop("vx", "vy", "vz")
 
 
 def _width(followers: DataFrame, each: int) -> int:
@@ -93,6 +109,13 @@ def _pairs(followers: DataFrame, leaders: DataFrame, *also: str) -> DataFrame:
     )
 
 
+def candidates(spots: DataFrame) -> DataFrame:
+    """(user_id, i, k, visits, miles, weight): every place and every other place of its user, ``weight``
+    the pairs of their visits."""
+    weight = (F.col("visits") * F.col("met")).alias("weight")
+    return _pairs(spots, spots).select("user_id", "i", "k", "visits", "miles", weight)
+
+
 def _step() -> Column:
     return F.round(F.ln(F.greatest("miles", F.lit(_LEAST_SPREAD))) * _STEPS).cast("int")
 
@@ -156,7 +179,9 @@ def preferences(spots: DataFrame) -> DataFrame:
     spread for places without others."""
     ordinary, large = _apart(spots)
     found = _profiles_of_whole_users(ordinary)
-    return cut_lineage(found if large is None else found.unionByName(_profiles_by_joins(large)))
+    if large is not None:
+        found = found.unionByName(_stored(_profiles_by_joins(large)))
+    return geo.with_vector(cut_lineage(found))
 
 
 def _profiles_by_joins(spots: DataFrame) -> DataFrame:
@@ -175,10 +200,13 @@ def _profiles_by_joins(spots: DataFrame) -> DataFrame:
     )
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Whole users in the partitions, sorted by site."""
-    width = max(width_for(rows), _width(rows, _PAIRS_IN_MATRICES))
-    return rows.repartition(width, "user_id").sortWithinPartitions("user_id", "site")
+def _dealt(rows: DataFrame, *order: str, sized: DataFrame | None = None) -> DataFrame:
+    """Whole users in the partitions, sorted by site, with unit vectors. ``sized`` are rows to take the
+    width from, where they are not the same."""
+    like = rows if sized is None else sized
+    width = max(width_for(like), _width(like, _PAIRS_IN_MATRICES))
+    dealt = _stored(rows).repartition(width, "user_id").sortWithinPartitions("user_id", "site", *order)
+    return geo.with_vector(dealt)
 
 
 class _Users:
@@ -245,11 +273,13 @@ def _profiles_of_whole_users(spots: DataFrame) -> DataFrame:
                     own = np.arange(rows.shape[1])
                     miles[:, own, own] = np.inf
                     found["nearest"][rows] = miles.min(axis=2)
+            table = table.select(kept.names)
             for name in names:
                 table = table.append_column(name, pa.array(found[name]))
             yield from table.combine_chunks().to_batches()
 
-    schema = StructType([*spots.schema.fields, *(StructField(name, DoubleType()) for name in names)])
+    kept = _stored(spots).schema
+    schema = StructType([*kept.fields, *(StructField(name, DoubleType()) for name in names)])
     return _dealt(spots).mapInArrow(run, schema)
 
 
@@ -311,10 +341,11 @@ def _exemplars_of_whole_users(rows: DataFrame, damping: float, max_rounds: int,
                 s = users.similarities(at, miles, spread)
                 leads[at], done = _rounds(s, damping, max_rounds, settle_rounds)
                 settled[at] = done[:, None]
-            found = table.drop_columns(["tilt"]).append_column("settled", pa.array(settled))
+            found = table.select(kept.names).append_column("settled", pa.array(settled))
             yield from found.filter(pa.array(leads)).combine_chunks().to_batches()
 
-    schema = StructType([*rows.schema.fields, StructField("settled", BooleanType())])
+    kept = _stored(rows).schema
+    schema = StructType([*kept.fields, StructField("settled", BooleanType())])
     return _dealt(rows).withColumn("tilt", _tilt()).mapInArrow(run, schema)
 
 
@@ -342,19 +373,35 @@ def net_similarities(known: DataFrame, chosen: DataFrame) -> DataFrame:
     """(user_id, net): what the places of a user with exemplars lose to their nearest exemplars,
     and what the exemplars cost, as a negative sum."""
     leads = chosen.select("user_id", "site", F.lit(True).alias("leads"))
-    marked = known.join(leads, ["user_id", "site"], "left")
-    ordinary, large = _apart(cut_lineage(marked))
-    found = _net_of_whole_users(ordinary)
-    return found if large is None else found.union(_net_by_joins(large))
+    ordinary, large = _apart(known)
+    found = _net_of_whole_users(ordinary, leads)
+    if large is None:
+        return found
+    marked = cut_lineage(_stored(large).join(leads, ["user_id", "site"], "left"))
+    return found.union(_net_by_joins(geo.with_vector(marked)))
+
 
+def _marked(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The places of the table, in which exemplars follow the places they are, and whether each leads."""
+    of_place = table["leads"].is_null().to_numpy()
+    firsts = whole_users.starts_of(table, "user_id", "site")
+    sizes = np.diff(np.append(firsts, table.num_rows))
+    meets = np.repeat(np.add.reduceat((~of_place).astype(int), firsts), sizes)
+    rows = np.repeat(np.arange(table.num_rows), np.where(of_place, np.maximum(meets, 1), 0))
+    return table.take(pa.array(rows)).combine_chunks(), meets[rows] > 0
 
-def _net_of_whole_users(marked: DataFrame) -> DataFrame:
-    columns = ["user_id", "site", "visits", "vx", "vy", "vz", "spread", "leads"]
-    schema = StructType([marked.schema["user_id"], StructField("net", DoubleType())])
+
+def _net_of_whole_users(places: DataFrame, leads: DataFrame) -> DataFrame:
+    """Places and exemplars are dealt together, so that no join comes before."""
+    columns = ["user_id", "site", "latitude", "longitude", "visits", "spread"]
+    schema = StructType([places.schema["user_id"], StructField("net", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_users.whole(batches):
-            users, leads = _Users(table), whole_users.numbers(table, "leads") > 0
+            table, leads = _marked(table)
+            if not table.num_rows:
+                continue
+            users = _Users(table)
             spread, led, net = whole_users.numbers(table, "spread"), [], []
             for rows in users.alike():
                 rows = rows[leads[rows].any(axis=1)]
@@ -366,7 +413,8 @@ def _net_of_whole_users(marked: DataFrame) -> DataFrame:
             found = table.take(pa.array(led, pa.int64())).select(["user_id"])
             yield from found.append_column("net", pa.array(net, pa.float64())).combine_chunks().to_batches()
 
-    return _dealt(marked.select(columns)).withColumn("tilt", _tilt()).mapInArrow(run, schema)
+    both = places.select(columns).unionByName(leads, allowMissingColumns=True)
+    return _dealt(both, "leads", sized=places).withColumn("tilt", _tilt()).mapInArrow(run, schema)
 
 
 def _net_by_joins(marked: DataFrame) -> DataFrame:
@@ -382,24 +430,34 @@ def exemplars_of(known: DataFrame, damping: float = 0.5, max_rounds: int = 200,
     """(user_id, site, settled) over what :func:`preferences` gives, by the rounds of the sparse form."""
     settings = (damping, max_rounds, settle_rounds)
     ordinary, large = _apart(known)
-    columns = ["user_id", "site", "visits", "vx", "vy", "vz", "spread"]
+    columns = ["user_id", "site", "latitude", "longitude", "visits", "spread"]
     found = _exemplars_of_whole_users(ordinary.select(columns), *settings).select("user_id", "site", "settled")
     return found if large is None else found.union(exemplar_sites(similarities(large), *settings))
 
 
 def dense_exemplar_centers(
-    places: DataFrame, damping: float = 0.5, max_rounds: int = 200, settle_rounds: int = 15
+    places: DataFrame,
+    damping: float = 0.5,
+    max_rounds: int = 200,
+    settle_rounds: int = 15,
+    large_user: int | None = None,
 ) -> DataFrame:
     """Exemplar places of each user over all pairs of its places, and whether the user settled:
-    (user_id, site, latitude, longitude, visits, settled)."""
+    (user_id, site, latitude, longitude, visits, settled). Users with more than ``large_user`` places,
+    ``BLOCK`` by default, take joins."""
+    return centers_of(spots(places, large_user), damping, max_rounds, settle_rounds)
+
+
+def centers_of(spots: DataFrame, damping: float, max_rounds: int, settle_rounds: int) -> DataFrame:
+    """What :func:`dense_exemplar_centers` gives, of what :func:`spots` gives."""
     settings = (damping, max_rounds, settle_rounds)
     columns = ["user_id", "site", "latitude", "longitude", "visits"]
-    ordinary, large = _apart(spots(places))
+    ordinary, large = _apart(spots)
     found = _exemplars_of_whole_users(ordinary.drop("part", "parts"), *settings)
     # Written out, as the rounds are long and what follows may read the exemplars more than once.
     found = cut_lineage(found.select(*columns, "settled"))
     if large is None:
         return found
-    known = cut_lineage(_profiles_by_joins(large))
+    known = geo.with_vector(cut_lineage(_stored(_profiles_by_joins(large))))
     chosen = exemplar_sites(similarities(known), *settings)
     return found.unionByName(known.select(columns).join(chosen, ["user_id", "site"]))

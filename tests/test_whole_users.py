@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from reviewlens.operators import density, exemplars, mixture, visits
+from reviewlens.operators import dense_exemplars, density, exemplars, mixture, visits
 
 PLACES = "user_id bigint, place_id bigint, latitude double, longitude double, visits bigint"
 
@@ -113,3 +113,12 @@ def test_candidates_are_not_exchanged(spark, monkeypatch):
     monkeypatch.setattr(exemplars, "similarities", joined)
     assert exemplars.exemplar_centers(some_places(spark)).count()
     assert exemplars.exemplar_centers(some_places(spark).limit(0)).count() == 0
+
+
+def test_places_are_stored_and_dealt_without_what_follows_from_them(spark):
+    places = some_places(spark)
+    known = dense_exemplars.preferences(dense_exemplars.spots(places))
+    stored = [line for line in known._jdf.queryExecution().executedPlan().toString().split("\n") if "ReadSchema" in line]
+    assert stored and not any("vx:" in line for line in stored)
+    net = dense_exemplars.net_similarities(known, dense_exemplars.exemplars_of(known))
+    assert exchanges(net.limit(5))[1] == 0  # exemplars are dealt with the places, not joined
