@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,30 +88,3 @@ class Grid:
         listed = rows.select("*", column.alias(f"_{name}_column"))
         found = row * _STRIDE + F.pmod(F.col(f"_{name}_column"), cells)
         return listed.select(*df.columns, found.alias(name))
-
-    def _row_cells_of(self, row: np.ndarray) -> np.ndarray:
-        south = row * self.height - 90.0
-        north = south + self.height
-        ends = np.maximum(np.cos(np.radians(south)), np.cos(np.radians(north)))
-        widest = np.where((south <= 0) & (north >= 0), 1.0, ends)
-        return np.maximum(np.ceil(widest * (360.0 * MAX_MILES_PER_DEGREE / self.side)), 1.0)
-
-    def cells_of(self, latitude: np.ndarray, longitude: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, column) of :meth:`cell`, on arrays."""
-        row = np.minimum(np.floor((latitude + 90.0) / self.height), self.last_row)
-        cells = self._row_cells_of(row)
-        return row, np.mod(np.floor((longitude + 180.0) * cells / 360.0), cells)
-
-    def looks_into(
-        self, latitude: np.ndarray, longitude: np.ndarray, radius: float, row: np.ndarray, column: np.ndarray
-    ) -> np.ndarray:
-        """Whether the cell is among those that :meth:`near_cells` lists for the place, on arrays."""
-        high = half_height_degrees(radius)
-        first = np.floor((latitude - high + 90.0) / self.height)
-        last = np.floor((latitude + high + 90.0) / self.height)
-        reach = np.clip(math.sin(math.radians(high)) / np.cos(np.radians(latitude)), -1.0, 1.0)
-        wide = np.where(np.abs(latitude) + high >= 90.0, 180.0, np.degrees(np.arcsin(reach)) + 1e-9)
-        cells = self._row_cells_of(row)
-        west = np.floor((longitude + 180.0 - wide) * cells / 360.0)
-        east = np.minimum(np.floor((longitude + 180.0 + wide) * cells / 360.0), west + cells - 1)
-        return (row >= first) & (row <= last) & (np.mod(column - west, cells) <= east - west)

@@ -1,451 +1,71 @@
-"""Home areas by affinity propagation over bounded candidates.
+"""Home areas by affinity propagation: every place of a user is a site, and may follow every other one.
 
-All pairs of a user's places would grow with the square of the places. Instead places of one
-small grid cell form a *site*, weighted by its visits and standing at its most visited place. A
-site may follow every site within ``reach_miles``, and of the farther ones the most visited site
-of each occupied cell of ever larger grids, up to the whole earth. Candidates per site are bounded
-by the area and the number of grids whatever the data, and no town of a user is out of reach.
+No places are merged and no candidate is left out, however far: sites, candidates and similarities are
+those of :mod:`reviewlens.operators.dense_exemplars`, where users of ordinary size meet in matrices within
+a task and larger ones behind joins of blocks, without the messages that a bound proves can never count.
 
-Candidates and rounds of a user are one array computation, so whole users are dealt over the cluster
-with a single shuffle of their sites and a task takes some of them at a time; no candidate is ever
-exchanged. Users with more sites than a task should pair find their candidates by joins of cells, and
-with more messages than it should hold run through the same rounds as rows spread by site.
+Places without user or longitude are left out. One without a latitude is near to none, so it is an exemplar
+of its own. One without an id gets a number of its coordinates; (user_id, place_id) must be unique otherwise.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import reduce
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
-from reviewlens.functions import geo, geo_arrays
-from reviewlens.functions.grid import Grid
-from reviewlens.operators import whole_users
-from reviewlens.operators.scale import apart_by_size, cut_lineage, width_for
+from reviewlens.operators import dense_exemplars, whole_users
+from reviewlens.operators.affinity_rounds import exemplar_sites
+from reviewlens.operators.scale import cut_lineage
 
-_BLOCK = 5  # rounds between two lineage cuts
-_LARGE = 1_000_000  # messages beyond which a user is spread by site
-_TOGETHER = 500_000  # messages of ordinary users that a task works on at a time
-_WIDER = 4.0  # ratio of the sides of two consecutive grids
-_STEPS = 32.0  # steps per unit of the logarithm in which distances are counted
-_LEAST_SPREAD = 0.01
-_ALONE = -1e9  # stands for "no rival" where a site has no neighbour
+__all__ = ["candidates", "exemplar_centers", "exemplar_sites", "similarities", "sites"]
 
 
-def sites(places: DataFrame, cell_miles: float = 1.0) -> DataFrame:
-    """(user_id, site, latitude, longitude, visits): occupied cells at their main place."""
-    cell = Grid(cell_miles).cell(F.col("latitude"), F.col("longitude"))
-    main = F.min_by(
-        F.struct("latitude", "longitude"), F.struct(-F.col("visits"), F.col("place_id"))
-    )
-    return (
-        places.groupBy("user_id", cell.alias("site"))
-        .agg(F.sum("visits").alias("visits"), main.alias("main"))
-        .select("user_id", "site", "main.latitude", "main.longitude", "visits")
-    )
+def _named(places: DataFrame) -> DataFrame:
+    number = F.pmod(F.xxhash64("latitude", "longitude"), F.lit((1 << 31) - 1))
+    kind = places.schema["place_id"].dataType
+    return places.withColumn("place_id", F.coalesce("place_id", number.cast(kind)))
 
 
-def _ends(spots: DataFrame, grid: Grid, radius: float) -> DataFrame:
-    """Sites as followers, a row per cell in which they look for candidates."""
-    return grid.near_cells(spots, radius).select(
-        "user_id",
-        F.col("site").alias("i"),
-        "visits",
-        *(F.col(f"v{axis}").alias(f"a{axis}") for axis in "xyz"),
-        "cell",
-    )
+def sites(places: DataFrame) -> DataFrame:
+    """(user_id, site, latitude, longitude, visits) of every place, with unit vectors and the blocks of
+    very large users."""
+    return dense_exemplars.spots(_named(places))
 
 
-def candidates(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
-    """(user_id, i, k, visits, miles, weight): sites k that site i may follow, ``visits`` those of
-    i and ``weight`` the number of visit pairs the candidate stands for."""
-    spots = geo.with_vector(sites.repartition(width_for(sites), "user_id", "site"))
-    distance = geo.miles_between(geo.vector_columns("a"), geo.vector_columns("v"))
-    grid = Grid(reach_miles)  # wide cells: a site looks into about nine of them
-    right = spots.select(
-        "user_id",
-        F.col("site").alias("k"),
-        "vx",
-        "vy",
-        "vz",
-        F.col("visits").alias("met"),
-        grid.cell(F.col("latitude"), F.col("longitude")).alias("cell"),
-    )
-    columns = ["user_id", "i", "k", "visits", "miles"]
-    weight = (F.col("visits") * F.col("met")).alias("weight")
-    near = (
-        _ends(spots, grid, reach_miles)
-        .join(right, ["user_id", "cell"])
-        .where(F.col("i") != F.col("k"))
-        .withColumn("miles", distance)
-        .where(F.col("miles") <= reach_miles)
-        .select(*columns, weight)
-    )
-    rings = []
-    side = reach_miles
-    while side < geo.HALF_WAY_ROUND_MILES:
-        side = min(side * _WIDER, geo.HALF_WAY_ROUND_MILES)
-        wide = Grid(side)
-        cell = wide.cell(F.col("latitude"), F.col("longitude"))
-        main = F.min_by(
-            F.struct(F.col("site").alias("k"), "vx", "vy", "vz"),
-            F.struct(-F.col("visits"), F.col("site")),
-        )
-        mains = (
-            spots.groupBy("user_id", cell.alias("cell"))
-            .agg(main.alias("main"), F.sum("visits").alias("met"))
-            .select("user_id", "cell", "main.*", "met")
-        )
-        rings.append(
-            _ends(spots, wide, side)
-            .join(mains, ["user_id", "cell"])
-            .withColumn("miles", distance)
-            .where(F.col("miles") > reach_miles)
-            .select(*columns, weight, F.lit(side).alias("side"))
-        )
-    far = (
-        reduce(DataFrame.union, rings)
-        .groupBy("user_id", "i", "k")
-        .agg(
-            F.min("visits").alias("visits"),
-            F.min("miles").alias("miles"),
-            F.min_by("weight", F.struct("side", "weight")).alias("weight"),
-        )
-    )
-    return near.union(far)
+def candidates(sites: DataFrame) -> DataFrame:
+    """(user_id, i, k, visits, miles, weight): all other sites k of the user of site i, ``visits`` those
+    of i and ``weight`` the number of visit pairs."""
+    return dense_exemplars.candidates(sites)
 
 
-def similarities(sites: DataFrame, reach_miles: float = 25.0) -> DataFrame:
+def similarities(sites: DataFrame) -> DataFrame:
     """(user_id, i, k, s): cost of site i following site k, and of being an exemplar where i = k.
 
     Between sites it is the negative distance times the visits of i. The preference is minus the
     median distance between two visits at different sites of the user. A per-site millionth of it
-    breaks ties between equal sites.
-    """
-    pairs = cut_lineage(candidates(sites, reach_miles))
-    tilt = F.pmod(F.xxhash64("user_id", "site"), F.lit(1_000_000)) / 1e12
-    spread = F.greatest(F.coalesce("spread", F.lit(_LEAST_SPREAD)), F.lit(_LEAST_SPREAD))
-    own = sites.join(_median_miles(pairs), "user_id", "left").select(
-        "user_id",
-        F.col("site").alias("i"),
-        F.col("site").alias("k"),
-        (-spread * (tilt + 1.0)).alias("s"),
-    )
-    return own.union(pairs.select("user_id", "i", "k", (-F.col("miles") * F.col("visits")).alias("s")))
-
-
-def _median_miles(pairs: DataFrame) -> DataFrame:
-    """Weighted median distance of each user's pairs, to about one and a half per cent.
-
-    Distances are counted in logarithmic steps, of which a user has some hundreds at most.
-    """
-    step = F.round(F.ln(F.greatest("miles", F.lit(_LEAST_SPREAD))) * _STEPS).cast("int")
-    counts = pairs.groupBy("user_id", step.alias("step")).agg(F.sum("weight").alias("weight"))
-    by_user = Window.partitionBy("user_id")
-    upto = F.sum("weight").over(by_user.orderBy("step"))
-    total = F.sum("weight").over(by_user)
-    reached = counts.select("user_id", "step", (upto * 2 >= total).alias("half")).where("half")
-    return reached.groupBy("user_id").agg(F.exp(F.min("step") / _STEPS).alias("spread"))
-
-
-class _Messages:
-    """Messages of some whole users as arrays, sorted by follower."""
-
-    def __init__(self, rows: pd.DataFrame):
-        user, self.names = pd.factorize(rows["user_id"], sort=False)
-        i, k = rows["i"].to_numpy(), rows["k"].to_numpy()
-        sites, codes = np.unique(np.concatenate([i, k]), return_inverse=True)
-        follower = user * np.int64(len(sites)) + codes[: len(i)]
-        leader = user * np.int64(len(sites)) + codes[len(i) :]
-        order = np.lexsort((leader, follower))
-        known, self.follower = np.unique(follower[order], return_inverse=True)
-        self.leader = np.searchsorted(known, leader[order])
-        self.s = rows["s"].to_numpy()[order]
-        self.r, self.a = np.zeros(len(order)), np.zeros(len(order))
-        self.site, self.user = sites[known % len(sites)], known // len(sites)
-        self.held, self.chosen = np.zeros(len(known), int), np.zeros(len(known), bool)
-        self._index()
-
-    def _index(self) -> None:
-        self.starts = np.flatnonzero(np.diff(self.follower, prepend=-1))
-        self.own = self.follower == self.leader
-        self.user_starts = np.flatnonzero(np.diff(self.user, prepend=-1))
-
-    def round(self, damping: float) -> None:
-        """One exchange of responsibilities and availabilities, both damped."""
-        v = self.a + self.s
-        best = np.maximum.reduceat(v, self.starts)[self.follower]
-        first = v == best
-        alone = np.add.reduceat(first.astype(int), self.starts)[self.follower] == 1
-        second = np.maximum.reduceat(np.where(first, _ALONE, v), self.starts)[self.follower]
-        rival = np.where(first & alone, second, best)
-        self.r = self.r * damping + (self.s - rival) * (1.0 - damping)
-        backing = np.where(self.own, self.r, np.maximum(self.r, 0.0))
-        total = np.bincount(self.leader, backing, len(self.site))
-        others = total[self.leader] - backing
-        offer = np.where(self.own, others, np.minimum(others, 0.0))
-        self.a = self.a * damping + offer * (1.0 - damping)
-        now = (self.a + self.r)[self.own] > 0
-        self.held = np.where(now == self.chosen, self.held + 1, 1)
-        self.chosen = now
-
-    def settled(self, settle_rounds: int) -> np.ndarray:
-        """Whether the user of each site has settled."""
-        held = np.minimum.reduceat(self.held, self.user_starts)
-        any_chosen = np.logical_or.reduceat(self.chosen, self.user_starts)
-        return np.repeat((held >= settle_rounds) & any_chosen, np.diff(self.user_starts, append=len(self.user)))
-
-    def exemplars(self, of: np.ndarray, settled: bool) -> pd.DataFrame:
-        found = of & self.chosen
-        return pd.DataFrame(
-            {"user_id": self.names[self.user[found]], "k": self.site[found], "settled": settled}
-        )
-
-    def keep(self, sites: np.ndarray) -> None:
-        edges, number = sites[self.follower], np.cumsum(sites) - 1
-        self.follower, self.leader = number[self.follower[edges]], number[self.leader[edges]]
-        self.s, self.r, self.a = self.s[edges], self.r[edges], self.a[edges]
-        self.site, self.user = self.site[sites], self.user[sites]
-        self.held, self.chosen = self.held[sites], self.chosen[sites]
-        self._index()
-
-
-def _whole_users(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by user, cut only between users, about ``_TOGETHER`` at a time."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if batch.empty:
-            continue
-        held.append(batch)
-        if sum(map(len, held)) >= _TOGETHER:
-            rows = pd.concat(held, ignore_index=True)
-            last = rows["user_id"] == rows["user_id"].iloc[-1]
-            if not last.all():
-                yield rows[~last]
-            held = [rows[last]]
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
-def _propagated(
-    rows: pd.DataFrame, damping: float, max_rounds: int, settle_rounds: int
-) -> Iterator[pd.DataFrame]:
-    """The rounds of some whole users."""
-    messages = _Messages(rows)
-    for number in range(1, max_rounds + 1):
-        messages.round(damping)
-        if number % _BLOCK:
-            continue
-        settled = messages.settled(settle_rounds)
-        if settled.any():
-            yield messages.exemplars(settled, True)
-            messages.keep(~settled)
-        if not len(messages.site):
-            return
-    if len(messages.site):
-        yield messages.exemplars(np.ones(len(messages.site), bool), False)
-
-
-def _exemplars_of_whole_users(
-    similarity: DataFrame, damping: float, max_rounds: int, settle_rounds: int
-) -> DataFrame:
-    """The rounds of users that fit into a task, one shuffle for all of them."""
-
-    def propagate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _whole_users(batches):
-            yield from _propagated(rows, damping, max_rounds, settle_rounds)
-
-    user = similarity.schema["user_id"].dataType.simpleString()
-    return (
-        similarity.repartition(width_for(similarity), "user_id")
-        .sortWithinPartitions("user_id")
-        .mapInPandas(propagate, f"user_id {user}, k long, settled boolean")
-    )
-
-
-def _round(messages: DataFrame, damping: float) -> DataFrame:
-    """One exchange of responsibilities ``r`` and availabilities ``a``, both damped."""
-    kept = ["user_id", "i", "k", "s", "held", "chosen"]
-    follower = "OVER (PARTITION BY user_id, i)"
-    leader = "OVER (PARTITION BY user_id, k)"
-    old, new = f"{damping}D", f"{1.0 - damping}D"
-
-    rows = messages.selectExpr("*", "a + s AS v", f"max(a + s) {follower} AS best")
-    # the best offer of all other sites: the second best for the one site that has the best
-    rival = f"""coalesce(
-        if(v = best AND sum(int(v = best)) {follower} = 1, max(if(v < best, v, NULL)) {follower}, best),
-        {_ALONE}D)"""
-    rows = rows.selectExpr(*kept, "a", f"r * {old} + (s - {rival}) * {new} AS r")
-    rows = rows.selectExpr("*", "if(i = k, r, greatest(r, 0D)) AS backing")
-    rows = rows.selectExpr("*", f"sum(backing) {leader} - backing AS others")
-    rows = rows.selectExpr(
-        *kept, "r", f"a * {old} + if(i = k, others, least(0D, others)) * {new} AS a"
-    )
-    chosen = "(i = k AND a + r > 0)"
-    return rows.selectExpr(
-        "user_id",
-        "i",
-        "k",
-        "s",
-        "r",
-        "a",
-        f"if({chosen} = chosen, held + 1, 1) AS held",
-        f"{chosen} AS chosen",
-    )
-
-
-def _exemplars_spread_by_site(
-    similarity: DataFrame, damping: float, max_rounds: int, settle_rounds: int
-) -> list[DataFrame]:
-    """The rounds of very large users as rows; users with settled exemplars leave."""
-    width = width_for(similarity)
-    zero = F.lit(0.0)
-    messages = cut_lineage(
-        similarity.withColumns({"r": zero, "a": zero, "held": F.lit(0), "chosen": F.lit(False)})
-    )
-    done: list[DataFrame] = []
-    own = F.col("i") == F.col("k")
-    for _ in range(0, max_rounds, _BLOCK):
-        if messages.isEmpty():
-            return done
-        step = messages.repartition(width, "user_id", "i")
-        for _ in range(_BLOCK):
-            step = _round(step, damping)
-        step = cut_lineage(step)
-        verdicts = step.where(own).groupBy("user_id").agg(
-            ((F.min("held") >= settle_rounds) & F.max("chosen")).alias("settled")
-        )
-        step = step.join(verdicts, "user_id")
-        left = step.where(own & F.col("chosen") & F.col("settled"))
-        done.append(left.select("user_id", "k", "settled"))
-        messages = step.where(~F.col("settled")).drop("settled")
-    last = messages.where(own & F.col("chosen"))
-    done.append(last.select("user_id", "k", F.lit(False).alias("settled")))
-    return done
-
-
-def exemplar_sites(
-    similarity: DataFrame,
-    damping: float = 0.5,
-    max_rounds: int = 200,
-    settle_rounds: int = 15,
-    large_user: int = _LARGE,
-) -> DataFrame:
-    """Sites that affinity propagation leaves as exemplars: (user_id, site, settled).
-
-    A user leaves the rounds when its exemplars, at least one, have not changed for
-    ``settle_rounds`` rounds; this is looked at every five rounds. Users that ``max_rounds`` left
-    unsettled have the exemplars of the last round, marked as not settled.
+    breaks ties between equal sites. Pairs that can never count are left out.
     """
-    ordinary, large = apart_by_size(cut_lineage(similarity), "user_id", large_user)
-    settings = (damping, max_rounds, settle_rounds)
-    done = [_exemplars_of_whole_users(ordinary, *settings)]
-    if large is not None:
-        done += _exemplars_spread_by_site(large, *settings)
-    return reduce(DataFrame.union, done).select("user_id", F.col("k").alias("site"), "settled")
-
-
-def _similarities_of(
-    table: pa.Table, starts: np.ndarray, reach_miles: float, step_miles: dict[int, float]
-) -> pd.DataFrame:
-    """What :func:`similarities` gives, of some whole users: their numbers, sites as row numbers.
-    ``step_miles`` has the miles of every logarithmic step."""
-    latitude, longitude, visits, tilt = (
-        whole_users.numbers(table, name) for name in ("latitude", "longitude", "visits", "tilt")
-    )
-    site, size = table["site"].to_numpy(), table.num_rows
-    user = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, size)))
-    i, k = whole_users.all_pairs(starts, size)
-    i, k = i[i != k], k[i != k]
-    miles = geo_arrays.miles(tuple(whole_users.numbers(table, f"v{axis}", np.nan) for axis in "xyz"), i, k)
-    met, far = miles <= reach_miles, miles > reach_miles
-    weight = np.where(met, visits[i] * visits[k], 0.0)
-    side = reach_miles
-    while side < geo.HALF_WAY_ROUND_MILES:
-        side = min(side * _WIDER, geo.HALF_WAY_ROUND_MILES)
-        wide = Grid(side)
-        row, column = wide.cells_of(latitude, longitude)
-        order = np.lexsort((site, -visits, column, row, user))
-        firsts = np.ones(size, bool)
-        firsts[1:] = (np.diff(user[order]) != 0) | (np.diff(row[order]) != 0) | (np.diff(column[order]) != 0)
-        cells = np.flatnonzero(firsts)
-        main, of_cell = np.zeros(size, bool), np.zeros(size)
-        main[order[cells]] = True
-        of_cell[order[cells]] = np.add.reduceat(visits[order], cells)
-        new = np.flatnonzero(far & ~met & main[k])
-        one, other = i[new], k[new]
-        new = new[wide.looks_into(latitude[one], longitude[one], side, row[other], column[other])]
-        met[new], weight[new] = True, visits[i[new]] * of_cell[k[new]]
-    i, k, miles, weight = i[met], k[met], miles[met], weight[met]
-    steps = np.log(np.maximum(miles, _LEAST_SPREAD)) * _STEPS
-    steps = np.sign(steps) * np.floor(np.abs(steps) + 0.5)
-    order = np.lexsort((steps, user[i]))
-    of, upto = user[i][order], np.cumsum(weight[order])
-    total = np.bincount(user[i], weight, len(starts))
-    half = np.flatnonzero((upto - (np.cumsum(total) - total)[of]) * 2 >= total[of])
-    known, at = np.unique(of[half], return_index=True)
-    spread = np.full(len(starts), _LEAST_SPREAD)
-    spread[known] = np.maximum([step_miles[step] for step in steps[order][half[at]].astype(int).tolist()], _LEAST_SPREAD)
-    every = np.arange(size)
-    return pd.DataFrame(
-        {
-            "user_id": np.concatenate([user, user[i]]),
-            "i": np.concatenate([every, i]),
-            "k": np.concatenate([every, k]),
-            "s": np.concatenate([-spread[user] * (tilt + 1.0), -miles * visits[i]]),
-        }
-    )
-
-
-def _centers_of_whole_users(
-    spots: DataFrame, reach_miles: float, damping: float, max_rounds: int, settle_rounds: int
-) -> DataFrame:
-    """Exemplar sites of users whose sites fit into a task, one shuffle for all of them."""
-    names = spots.columns
-    ends = (round(math.log(miles) * _STEPS) for miles in (_LEAST_SPREAD, geo.HALF_WAY_ROUND_MILES))
-    steps = spots.sparkSession.range(next(ends) - 1, next(ends) + 2)
-    step_miles = dict(tuple(r) for r in steps.select("id", F.exp(F.col("id") / _STEPS)).collect())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_users.few_users(batches):
-            rows = _similarities_of(table, starts, reach_miles, step_miles)
-            for found in _propagated(rows, damping, max_rounds, settle_rounds):
-                sites = table.take(pa.array(found["k"].to_numpy())).select(names)
-                sites = sites.append_column("settled", pa.array(found["settled"].to_numpy(bool)))
-                yield from sites.combine_chunks().to_batches()
-
-    schema = StructType([*spots.schema.fields, StructField("settled", BooleanType())])
-    tilt = F.pmod(F.xxhash64("user_id", "site"), F.lit(1_000_000)) / 1e12
-    dealt = geo.with_vector(spots.repartition(width_for(spots), "user_id")).withColumn("tilt", tilt)
-    return dealt.sortWithinPartitions("user_id", "site").mapInArrow(run, schema)
+    return dense_exemplars.similarities(dense_exemplars.preferences(sites))
 
 
 def exemplar_centers(
     places: DataFrame,
-    cell_miles: float = 1.0,
-    reach_miles: float = 25.0,
     damping: float = 0.5,
     max_rounds: int = 200,
     settle_rounds: int = 15,
     large_user: int = whole_users.LARGE,
 ) -> DataFrame:
     """Coordinates of each user's exemplar places, and whether the user settled: (user_id, site,
-    latitude, longitude, visits, settled). Users with more than ``large_user`` sites find their
-    candidates by joins."""
-    spots = cut_lineage(sites(places, cell_miles).dropna(subset=["user_id", "site"]))
-    ordinary, large = apart_by_size(spots, "user_id", large_user)
-    settings = (damping, max_rounds, settle_rounds)
-    # Written out, as the rounds are long and what follows may read the exemplars more than once.
-    centers = cut_lineage(_centers_of_whole_users(ordinary, reach_miles, *settings))
-    if large is None:
+    latitude, longitude, visits, settled). Users with more than ``large_user`` places meet their
+    candidates behind joins."""
+    columns = ["user_id", F.col("place_id").alias("site"), "latitude", "longitude", "visits"]
+    known = _named(places).select(*columns).dropna(subset=["user_id", "site", "longitude"])
+    known = cut_lineage(known)
+    spots = dense_exemplars.in_blocks(known.dropna(subset=["latitude"]), large_user)
+    centers = dense_exemplars.centers_of(spots, damping, max_rounds, settle_rounds)
+    alone = known.where("latitude is null")
+    if alone.isEmpty():
         return centers
-    large = cut_lineage(large)
-    chosen = exemplar_sites(similarities(large, reach_miles), *settings)
-    return centers.unionByName(large.join(chosen, ["user_id", "site"]))
+    verdicts = centers.groupBy("user_id").agg(F.min("settled").alias("settled"))
+    settled = F.coalesce("settled", F.lit(max_rounds >= settle_rounds))
+    return centers.unionByName(alone.join(verdicts, "user_id", "left").withColumn("settled", settled))

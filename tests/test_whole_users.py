@@ -115,6 +115,27 @@ def test_candidates_are_not_exchanged(spark, monkeypatch):
     assert exemplars.exemplar_centers(some_places(spark).limit(0)).count() == 0
 
 
+def test_exemplars_leave_out_no_place_and_no_candidate(spark):
+    """Places within a mile, and places of far towns that are not the main ones there, count each for itself."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for user in range(4):
+        towns = [(33.4, -112.0), (34.3, -111.2), (40.0, -80.0)]
+        points = np.concatenate([rng.normal(town, (0.004, 0.1)[user % 2], (8, 2)) for town in towns])
+        rows += [(user, i, float(a), float(b), int(rng.integers(1, 5))) for i, (a, b) in enumerate(points)]
+    places = spark.createDataFrame(rows, PLACES)
+    spots = exemplars.sites(places)
+    assert spots.count() == len(rows)
+    assert exemplars.candidates(spots).count() == sum(24 * 23 for _ in range(4))
+    got = exemplars.exemplar_centers(places)
+    assert sorted(got.collect()) == sorted(dense_exemplars.dense_exemplar_centers(places).collect())
+    odd = [(0, 90, None, 3.0, 1), (0, 91, 3.0, None, 1), (8, None, 33.4, -112.0, 2), (None, 1, 3.0, 3.0, 1)]
+    with_odd = exemplars.exemplar_centers(places.union(spark.createDataFrame(odd, PLACES))).collect()
+    added = [r for r in with_odd if r["site"] == 90 or r["user_id"] == 8]
+    assert len(with_odd) == got.count() + 2
+    assert {(r["user_id"], r["latitude"], r["longitude"], r["visits"]) for r in added} == {(0, None, 3.0, 1), (8, 33.4, -112.0, 2)}
+
+
 def test_places_are_stored_and_dealt_without_what_follows_from_them(spark):
     places = some_places(spark)
     known = dense_exemplars.preferences(dense_exemplars.spots(places))
