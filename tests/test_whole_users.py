@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from reviewlens.operators import dense_exemplars, density, exemplars, mixture, visits
+from reviewlens.operators import dense_exemplars, density, exemplars, mixture, scale, visits
 
 PLACES = "user_id bigint, place_id bigint, latitude double, longitude double, visits bigint"
 
@@ -56,11 +56,12 @@ def test_neighbours_of_whole_users_equal_those_by_cells(spark, radius):
 def test_pairs_of_whole_users_equal_those_by_cells(spark, radius):
     odd = [(5, None, 40.0, 179.9, 1), (5, None, 40.3, 179.9, 1), (5, 970, 40.05, 179.95, 1), (5, 970, 40.01, 179.9, 1)]
     places = some_places(spark).union(spark.createDataFrame(odd, PLACES))
-    whole, by_cells = visits.near_pairs(places, radius), visits.near_pairs(places, radius, large_user=10)
+    whole = visits.near_pairs(places, radius)
+    assert exchanges(whole) == (1, 0)  # places by user, and no cell or pair besides
+    by_cells = visits.near_pairs(places, radius, large_user=10)
     rows = lambda df: sorted(map(tuple, df.collect()), key=str)
     assert rows(whole) == rows(by_cells)
     assert whole.schema.names == by_cells.schema.names and whole.count()
-    assert exchanges(whole) == (1, 0)  # places by user, and no cell or pair besides
     named = places.selectExpr("user_id", "concat('p', lpad(place_id, 5, '0')) as place_id", "latitude", "longitude")
     assert visits.near_pairs(named, radius).where("place_a > place_b").isEmpty()
     assert visits.near_pairs(named, radius).count() == whole.count()
@@ -136,10 +137,17 @@ def test_exemplars_leave_out_no_place_and_no_candidate(spark):
     assert {(r["user_id"], r["latitude"], r["longitude"], r["visits"]) for r in added} == {(0, None, 3.0, 1), (8, 33.4, -112.0, 2)}
 
 
-def test_places_are_stored_and_dealt_without_what_follows_from_them(spark):
-    places = some_places(spark)
-    known = dense_exemplars.preferences(dense_exemplars.spots(places))
-    stored = [line for line in known._jdf.queryExecution().executedPlan().toString().split("\n") if "ReadSchema" in line]
-    assert stored and not any("vx:" in line for line in stored)
-    net = dense_exemplars.net_similarities(known, dense_exemplars.exemplars_of(known))
-    assert exchanges(net.limit(5))[1] == 0  # exemplars are dealt with the places, not joined
+def test_places_are_stored_without_what_follows_from_them(spark, monkeypatch):
+    written = []
+
+    def recorded(df):
+        written.append(set(df.columns))
+        return scale.cut_lineage(df)
+
+    monkeypatch.setattr(dense_exemplars, "cut_lineage", recorded)
+    known = dense_exemplars.preferences(dense_exemplars.spots(some_places(spark)))
+    chosen = scale.cut_lineage(dense_exemplars.exemplars_of(known))
+    net = dense_exemplars.net_similarities(known, chosen)
+    assert net.count() == chosen.select("user_id").distinct().count()
+    assert not any({"vx", "vy", "vz", "leads"} & columns for columns in written)
+    assert exchanges(net)[1] == 0  # exemplars are dealt with the places, not joined
